@@ -90,6 +90,18 @@ _VIEWS = {
                     WHEN 'P' THEN 'Shipped' END AS status
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE o_orderdate < TIMESTAMP '2000-07-01'""",
+    "s_orders": """
+        SELECT * FROM c_orders QUALIFY row_number() OVER (PARTITION BY order_id
+            ORDER BY total_price DESC, customer_id DESC, product_id DESC, quantity DESC,
+                     order_date DESC, status DESC) = 1""",
+    "s_payments": """
+        SELECT * FROM c_payments QUALIFY row_number() OVER (PARTITION BY payment_id
+            ORDER BY amount DESC, order_id DESC, payment_method DESC, status DESC,
+                     payment_date DESC) = 1""",
+    "s_earlier": """
+        SELECT * FROM earlier QUALIFY row_number() OVER (PARTITION BY order_id
+            ORDER BY total_price DESC, customer_id DESC, product_id DESC, quantity DESC,
+                     order_date DESC, status DESC) = 1""",
     "days": """
         SELECT (year(d) * 10000 + month(d) * 100 + day(d))::INTEGER AS date_key, d::DATE AS full_date,
                year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter, month(d)::INTEGER AS month,
@@ -111,18 +123,21 @@ _VIEWS = {
                round((o.total_price / o.quantity)::DECIMAL(38,10), 2)::DOUBLE AS unit_price,
                o.total_price, o.status AS order_status,
                coalesce(y.payment_method, 'Unknown') AS payment_method
-        FROM c_orders o
+        FROM s_orders o
         JOIN k_customers c ON o.customer_id = c.customer_id
         JOIN k_products p ON o.product_id = p.product_id
         JOIN days d ON o.order_date::DATE = d.full_date
         LEFT JOIN (SELECT order_id, arg_max(payment_method, (payment_date, payment_id)) AS payment_method
-                   FROM c_payments GROUP BY order_id) y ON o.order_id = y.order_id""",
+                   FROM s_payments GROUP BY order_id) y ON o.order_id = y.order_id""",
 }
 
 _NEEDS = {
     "k_customers": ("c_customers",),
     "k_products": ("c_products",),
-    "facts": ("c_orders", "c_payments", "k_customers", "k_products", "days"),
+    "s_orders": ("c_orders",),
+    "s_payments": ("c_payments",),
+    "s_earlier": ("earlier",),
+    "facts": ("s_orders", "s_payments", "k_customers", "k_products", "days"),
 }
 
 
@@ -409,11 +424,11 @@ _CLASSIFIED = f"""
            CASE WHEN e.order_id IS NULL THEN '' ELSE concat_ws(',', {", ".join(
                f"CASE WHEN n.{c} IS DISTINCT FROM e.{c} THEN '{c}' END" for c in _COMPARED
            )}) END AS changed_columns
-    FROM c_orders n LEFT JOIN earlier e ON n.order_id = e.order_id"""
+    FROM s_orders n LEFT JOIN s_earlier e ON n.order_id = e.order_id"""
 
 _MERGED = """
-    SELECT * FROM c_orders
-    UNION ALL SELECT * FROM earlier WHERE order_id NOT IN (SELECT order_id FROM c_orders)"""
+    SELECT * FROM s_orders
+    UNION ALL SELECT * FROM s_earlier WHERE order_id NOT IN (SELECT order_id FROM s_orders)"""
 
 
 def _metrics(view: str) -> str:
@@ -439,7 +454,7 @@ _METRIC_DRIFT = f"""
     SELECT column_name, metric, b.value AS baseline, c.value AS current,
            round(change::DECIMAL(38,10), 4)::DOUBLE AS relative_change, 0.2::DOUBLE AS threshold,
            change > 0.2::DOUBLE AS has_drift
-    FROM ({_metrics("earlier")}) b JOIN ({_metrics("c_orders")}) c USING (column_name, metric),
+    FROM ({_metrics("s_earlier")}) b JOIN ({_metrics("c_orders")}) c USING (column_name, metric),
          LATERAL (SELECT CASE WHEN b.value = 0 THEN abs(c.value)
                               ELSE abs(c.value - b.value) / abs(b.value) END AS change) x"""
 
@@ -746,18 +761,18 @@ ORACLE: dict[str, str] = {
             for t, k in _KEYS.items()
         ),
     ),
-    "cdc_classify": _with("c_orders earlier", _CLASSIFIED),
+    "cdc_classify": _with("s_orders s_earlier", _CLASSIFIED),
     "cdc_summary": _with(
-        "c_orders earlier",
+        "s_orders s_earlier",
         f"""SELECT count(*) FILTER (WHERE cdc_action = 'INSERT') AS "INSERT",
                    count(*) FILTER (WHERE cdc_action = 'UPDATE') AS "UPDATE",
                    count(*) FILTER (WHERE cdc_action = 'NO_CHANGE') AS "NO_CHANGE",
                    0::BIGINT AS "REJECT", count(*) AS total_delta_records
             FROM ({_CLASSIFIED}) c""",
     ),
-    "cdc_merge": _with("c_orders earlier", _MERGED),
-    "upsert_orders": _with("c_orders earlier", _MERGED),
-    "stream_merge": _with("c_orders earlier", _MERGED),
+    "cdc_merge": _with("s_orders s_earlier", _MERGED),
+    "upsert_orders": _with("s_orders s_earlier", _MERGED),
+    "stream_merge": _with("s_orders s_earlier", _MERGED),
     "schema_drift": _drift({"k": "double", "source": "string"}, _JSON_KEYS),
     "schema_drift_text": _with(
         "r_payments",
@@ -769,7 +784,7 @@ ORACLE: dict[str, str] = {
             _PAYMENT_TYPES,
         ),
     ),
-    "metric_drift": _with("c_orders earlier", _METRIC_DRIFT),
+    "metric_drift": _with("c_orders s_earlier", _METRIC_DRIFT),
     "etl_row_counts": _with(
         "c_customers c_products c_orders c_payments c_reviews",
         _union(

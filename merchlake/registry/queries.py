@@ -39,6 +39,22 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+# Column whose highest value marks the row that is kept where a key repeats.
+_SEQUENCE = {"orders": "total_price", "payments": "amount"}
+
+
+def _keyed(name: str, table: DataFrame) -> DataFrame:
+    """A relation as a keyed store holds it: one row per key."""
+    return cdc.last_per_key(table, model.RELATIONS[name].key, _SEQUENCE[name])
+
+
+def _keyed_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        name: _keyed(name, table) if name in _SEQUENCE else table
+        for name, table in canonical.relations(spark, sf_dir).items()
+    }
+
+
 # --- sources and sinks ------------------------------------------------------------------
 
 
@@ -321,7 +337,7 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, dict]:
         target = fresh_path(spark, "warehouse")
         days = _order_days(spark, sf_dir)
         counts = warehouse_build.build_warehouse(
-            spark, canonical.relations(spark, sf_dir), target, days, BUCKETS
+            spark, _keyed_relations(spark, sf_dir), target, days, BUCKETS
         )
         _BUILT[key] = (target, counts)
     return _BUILT[key]
@@ -363,7 +379,7 @@ def dim_customer_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = canonical.relations(spark, sf_dir)
+    tables = _keyed_relations(spark, sf_dir)
     return warehouse.fact_sales(
         tables["orders"],
         tables["payments"],
@@ -491,13 +507,12 @@ def constraint_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every relation stored by key, then counted on both sides."""
+    """Every relation stored by key, then counted on both sides; a repeated key shows."""
     source, stored = canonical.relations(spark, sf_dir), {}
     target = fresh_path(spark, "stored")
     for name, table in source.items():
-        keyed_table.upsert(
-            spark, f"{target}/{name}", table, model.RELATIONS[name].key, buckets=BUCKETS
-        )
+        key, sequence = model.RELATIONS[name].key, _SEQUENCE.get(name)
+        keyed_table.upsert(spark, f"{target}/{name}", table, key, sequence, BUCKETS)
         stored[name] = keyed_table.read(spark, f"{target}/{name}")
     return quality.load_verification(source, stored)
 
@@ -506,12 +521,16 @@ def load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return history.orders_before(spark, sf_dir), canonical.orders(spark, sf_dir)
+    """Stored earlier orders, and the present ones as a delta."""
+    return (
+        _keyed("orders", history.orders_before(spark, sf_dir)),
+        canonical.orders(spark, sf_dir),
+    )
 
 
 @_register
 def cdc_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tagged = cdc.classify(*_states(spark, sf_dir), "order_id")
+    tagged = cdc.classify(*_states(spark, sf_dir), "order_id", "total_price")
     return tagged.select(
         "order_id",
         F.col(cdc.ACTION).alias("cdc_action"),
@@ -521,12 +540,12 @@ def cdc_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def cdc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.summary(cdc.classify(*_states(spark, sf_dir), "order_id"))
+    return cdc.summary(cdc.classify(*_states(spark, sf_dir), "order_id", "total_price"))
 
 
 @_register
 def cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.merge(*_states(spark, sf_dir), "order_id")
+    return cdc.merge(*_states(spark, sf_dir), "order_id", "total_price")
 
 
 @_register
@@ -534,7 +553,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier orders stored by key, then the present ones upserted into them."""
     path = f"{fresh_path(spark, 'stored')}/orders"
     for state in _states(spark, sf_dir):
-        keyed_table.upsert(spark, path, state, "order_id", buckets=BUCKETS)
+        keyed_table.upsert(spark, path, state, "order_id", "total_price", BUCKETS)
     return keyed_table.read(spark, path)
 
 
@@ -543,10 +562,16 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The present orders delivered as delta files and merged by a stream."""
     work = fresh_path(spark, "stream")
     earlier, present = _states(spark, sf_dir)
-    keyed_table.upsert(spark, f"{work}/orders", earlier, "order_id", buckets=BUCKETS)
+    keyed_table.upsert(spark, f"{work}/orders", earlier, "order_id", buckets=BUCKETS, unique=True)
     files.export_to_parquet(present, f"{work}/deltas")
     query = delta_merge.merge_stream(
-        spark, f"{work}/deltas", present.schema, f"{work}/orders", f"{work}/checkpoint", "order_id"
+        spark,
+        f"{work}/deltas",
+        present.schema,
+        f"{work}/orders",
+        f"{work}/checkpoint",
+        "order_id",
+        "total_price",
     )
     query.awaitTermination()
     return keyed_table.read(spark, f"{work}/orders")
@@ -582,7 +607,7 @@ def metric_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = fresh_path(spark, "etl")
-    files.write_tables_csv(canonical.relations(spark, sf_dir), f"{work}/raw")
+    files.write_tables_csv(_keyed_relations(spark, sf_dir), f"{work}/raw")
     etl.run_etl(spark, f"{work}/raw", work, BUCKETS)
     return etl.etl_row_counts(spark, work)
 
