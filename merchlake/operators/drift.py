@@ -14,8 +14,12 @@ from merchlake.model import MONEY
 MISSING, ADDED, RETYPED = "missing", "added", "type_mismatch"
 METRICS = ("count", "nulls", "mean", "sum", "min", "max")
 
-# Types a text column may hold, tried from the narrowest; any other content is a string.
-_OBSERVABLE = ("bigint", "double", "timestamp")
+# What a cell must look like before it is read as a type; a failed cast is far dearer.
+_SHAPES = {
+    "bigint": r"^[+-]?\d+$",
+    "double": r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$",
+    "timestamp": r"^\d{4}-\d{2}-\d{2}([ T]|$)",
+}
 
 
 # --- schema -----------------------------------------------------------------------------
@@ -27,20 +31,23 @@ def declared_types(table: DataFrame) -> DataFrame:
     return table.sparkSession.createDataFrame(types, "column_name string, type string")
 
 
-def _fits(value: Column) -> list[Column]:
-    """Per observable type, whether all values seen could be read as it."""
-    seen = value.isNotNull()
-    return [
-        F.bool_and(~seen | value.try_cast(kind).isNotNull()).alias(f"is_{kind}")
-        for kind in _OBSERVABLE
-    ]
+def _cell_type(value: Column) -> Column:
+    kinds = F.when(value.isNull(), None)
+    for kind, shape in _SHAPES.items():
+        kinds = kinds.when(value.rlike(shape) & value.try_cast(kind).isNotNull(), kind)
+    return kinds.otherwise("string")
 
 
-def _narrowest() -> Column:
-    kinds = F.when(F.col("seen") == 0, "void")
-    for kind in _OBSERVABLE:
-        kinds = kinds.when(F.col(f"is_{kind}"), kind)
-    return kinds.otherwise("string")
+def _column_type() -> Column:
+    """The narrowest type that holds every cell seen; whole numbers are doubles too."""
+    seen, whole, number = F.col("seen"), F.col("n_bigint"), F.col("n_double")
+    return (
+        F.when(seen == 0, "void")
+        .when(whole == seen, "bigint")
+        .when(whole + number == seen, "double")
+        .when(F.col("n_timestamp") == seen, "timestamp")
+        .otherwise("string")
+    )
 
 
 def observed_types(table: DataFrame) -> DataFrame:
@@ -61,10 +68,12 @@ def observed_json_types(table: DataFrame, column: str) -> DataFrame:
 
 
 def _observe(cells: DataFrame) -> DataFrame:
+    typed = cells.select("column_name", _cell_type(F.col("value")).alias("kind"))
+    counts = [F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in _SHAPES]
     return (
-        cells.groupBy("column_name")
-        .agg(F.count("value").alias("seen"), *_fits(F.col("value")))
-        .select("column_name", _narrowest().alias("type"))
+        typed.groupBy("column_name")
+        .agg(F.count("kind").alias("seen"), *counts)
+        .select("column_name", _column_type().alias("type"))
     )
 
 

@@ -2,17 +2,16 @@
 
 Rows are laid out in hash buckets of their key, one folder per bucket. An upsert reads only
 the buckets its delta falls into, writes their complete new contents beside the table, and
-then replaces those buckets with a dynamic partition overwrite. The staged contents stay in
-place until the replacement is done, so that a run that dies during it is finished by the
-next one. The bucket count is part of the folder name (``bucket_64=13``); choose it so that
-a bucket holds about a gigabyte.
+then moves those folders into place. Contents that are complete but not yet all in place
+(the driver died in between) are moved by the next call. The bucket count is part of the
+folder name (``bucket_64=13``); choose it so that a bucket holds about a gigabyte.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,21 +31,12 @@ def _with_bucket(table: DataFrame, key: str, column: str) -> DataFrame:
     return table.withColumn(column, F.when(cdc.has_key(key), bucket))
 
 
-def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The table's rows; with a schema given, a table never written to reads as empty."""
-    _finish_replacement(spark, path)
-    if schema is not None and not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    stored = spark.read.parquet(path)
-    return stored.drop(_bucket_column(stored))
+def _beside(path: str, what: str) -> str:
+    return f"{path.rstrip('/')}__{what}"
 
 
-def _stage_path(path: str) -> str:
-    return f"{path.rstrip('/')}__stage"
-
-
-def _log_path(path: str) -> str:
-    return f"{path.rstrip('/')}__batches"
+def _complete(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -54,23 +44,45 @@ def _delete(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
-def _replace_buckets(spark: SparkSession, path: str) -> None:
-    staged = spark.read.parquet(_stage_path(path))
-    (
-        staged.drop(cdc.ACTION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(_bucket_column(staged))
-        .parquet(path)
-    )
-    spark.catalog.refreshByPath(path)
+def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table's rows; with a schema given, a table never written to reads as empty."""
+    _move_into_place(spark, path)
+    if schema is not None and not _complete(spark, path):
+        return spark.createDataFrame([], schema)
+    stored = spark.read.parquet(path)
+    return stored.drop(_bucket_column(stored))
+
 
+def _write_buckets(table: DataFrame, path: str, column: str) -> dict[str, int]:
+    """Write a tagged table by bucket, without the tag, and count the tags.
 
-def _finish_replacement(spark: SparkSession, path: str) -> None:
-    """Complete the replacement of a run that died after staging."""
-    if exists(spark, f"{_stage_path(path)}/_SUCCESS"):
-        _replace_buckets(spark, path)
-        _delete(spark, _stage_path(path))
+    The count is taken in the tasks that write, after the last exchange, where every task
+    counts once however often it is tried.
+    """
+    seen = Observation()
+    tags = (cdc.INSERT, cdc.UPDATE, cdc.NO_CHANGE)
+    counted = table.hint("rebalance", column).observe(
+        seen, *[F.count_if(F.col(cdc.ACTION) == tag).alias(tag) for tag in tags]
+    )
+    counted.drop(cdc.ACTION).write.mode("overwrite").partitionBy(column).parquet(path)
+    return dict(seen.get)
+
+
+def _move_into_place(spark: SparkSession, path: str) -> None:
+    """Move complete staged buckets over those of the table, one folder at a time."""
+    stage = _beside(path, "stage")
+    if not _complete(spark, stage):
+        return
+    staged, store = hadoop_path(spark, stage)
+    for status in store.listStatus(staged):
+        name = status.getPath().getName()
+        if name.startswith(_PREFIX):
+            target, _ = hadoop_path(spark, f"{path}/{name}")
+            store.delete(target, True)
+            if not store.rename(status.getPath(), target):
+                raise OSError(f"cannot move {status.getPath()} to {target}")
+    store.delete(staged, True)
+    spark.catalog.refreshByPath(path)
 
 
 def upsert(
@@ -83,53 +95,74 @@ def upsert(
     batch: int | None = None,
     ignore: Sequence[str] = (),
     unique: bool = False,
-    drop_sequence: bool = False,
 ) -> dict[str, int]:
     """Insert or update the delta's rows and return the change summary.
 
-    ``buckets`` and ``drop_sequence`` count for a new table only: into how many buckets it is
-    laid out and whether the sequence column is left out of it. A ``batch`` number already
-    recorded for this table makes the call a no-op. ``ignore`` and ``unique`` are those of
-    the merge.
+    ``buckets`` is for a new table. A ``batch`` number already recorded for this table makes
+    the call a no-op. ``ignore`` names columns whose change alone is no update. ``unique``
+    says that every row has a key of its own, which spares the check.
     """
-    _finish_replacement(spark, path)
+    _move_into_place(spark, path)
     if batch is not None:
         recorded = _recorded(spark, path, batch)
         if recorded is not None:
             return recorded
 
-    stored = spark.read.parquet(path) if exists(spark, path) else None
+    if unique and not _complete(spark, path):
+        column = f"{_PREFIX}{buckets}"
+        new = _with_bucket(delta.withColumn(cdc.ACTION, F.lit(cdc.INSERT)), key, column)
+        result = _result(_write_buckets(new, path, column), 0)
+    else:
+        result = _merge_staged(spark, path, delta, key, sequence, buckets, ignore, unique)
+    if batch is not None:
+        _record(spark, path, batch, result)
+    return result
+
+
+def _merge_staged(
+    spark: SparkSession,
+    path: str,
+    delta: DataFrame,
+    key: str,
+    sequence: str | None,
+    buckets: int,
+    ignore: Sequence[str],
+    unique: bool,
+) -> dict[str, int]:
+    """Write the delta down, one row per key, so that it is computed once, and merge it."""
+    stored = spark.read.parquet(path) if _complete(spark, path) else None
     column = f"{_PREFIX}{buckets}" if stored is None else _bucket_column(stored)
+    if stored is not None:
+        delta = cdc.aligned(delta, stored.drop(column), sequence)
+    keyed = delta.filter(cdc.has_key(key))
+    ready = keyed if unique else cdc.last_per_key(keyed, key, sequence)
+    staged_delta = _beside(path, "delta")
+    marked = ready if unique else ready.unionByName(cdc.rejects(delta, key))
+    _with_bucket(marked, key, column).write.mode("overwrite").parquet(staged_delta)
+    ready = spark.read.parquet(staged_delta)
+
     # At most one number per bucket comes to the driver.
-    spread = _with_bucket(delta.select(key), key, column).groupBy(column).count().collect()
+    spread = ready.groupBy(column).count().collect()
     hit = [row[0] for row in spread if row[0] is not None]
     without_key = sum(row["count"] for row in spread if row[0] is None)
+    ready = ready.filter(F.col(column).isNotNull()).drop(column)
     if not hit:
-        return _result({}, without_key)
-    if stored is not None:
-        current = stored.filter(F.col(column).isin(hit)).drop(column)
+        counts: dict[str, int] = {}
+    elif stored is None:
+        new = _with_bucket(ready.withColumn(cdc.ACTION, F.lit(cdc.INSERT)), key, column)
+        counts = _write_buckets(new, path, column)
     else:
-        base = delta.drop(sequence) if drop_sequence and sequence else delta
-        current = spark.createDataFrame([], base.schema)
-
-    tagged = cdc.merge_tagged(current, delta, key, sequence, ignore, unique)
-    merged = _with_bucket(tagged, key, column)
-    (
-        merged.hint("rebalance", column)
-        .write.mode("overwrite")
-        .partitionBy(column)
-        .parquet(_stage_path(path))
-    )
-    actions = spark.read.schema(f"{cdc.ACTION} string").parquet(_stage_path(path))
-    counted = actions.filter(F.col(cdc.ACTION).isNotNull()).groupBy(cdc.ACTION).count().collect()
-    result = _result({row[cdc.ACTION]: row["count"] for row in counted}, without_key)
-
-    if result[cdc.INSERT] + result[cdc.UPDATE] > 0 or ignore:
-        _replace_buckets(spark, path)
-    _delete(spark, _stage_path(path))
-    if batch is not None:
-        _record(spark, path, batch, result)
-    return result
+        current = stored.filter(F.col(column).isin(hit)).drop(column)
+        ready = ready.select(*[c for c in ready.columns if c in current.columns])
+        merged = cdc.merge_tagged(current, ready, key, ignore=ignore, unique=True)
+        stage = _beside(path, "stage")
+        counts = _write_buckets(_with_bucket(merged, key, column), stage, column)
+        if counts[cdc.INSERT] + counts[cdc.UPDATE] > 0 or ignore:
+            _move_into_place(spark, path)
+        else:
+            _delete(spark, stage)
+    _delete(spark, staged_delta)
+    return _result(counts, without_key)
 
 
 def _result(counts: dict[str, int], without_key: int) -> dict[str, int]:
@@ -140,9 +173,10 @@ def _result(counts: dict[str, int], without_key: int) -> dict[str, int]:
 
 
 def _recorded(spark: SparkSession, path: str, batch: int) -> dict[str, int] | None:
-    if not exists(spark, _log_path(path)):
+    log = _beside(path, "batches")
+    if not _complete(spark, log):
         return None
-    found = spark.read.parquet(_log_path(path)).filter(F.col("batch") == batch).drop("batch").first()
+    found = spark.read.parquet(log).filter(F.col("batch") == batch).drop("batch").first()
     return found.asDict() if found else None
 
 
@@ -150,4 +184,4 @@ def _record(spark: SparkSession, path: str, batch: int, result: dict[str, int])
     names = ["batch", *result]
     schema = ", ".join(f"`{name}` bigint" for name in names)
     line = spark.createDataFrame([(batch, *result.values())], schema)
-    line.coalesce(1).write.mode("append").parquet(_log_path(path))
+    line.coalesce(1).write.mode("append").parquet(_beside(path, "batches"))
