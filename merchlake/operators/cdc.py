@@ -35,15 +35,21 @@ def last_per_key(delta: DataFrame, key: str, sequence: str | None = None) -> Dat
 
     Grouping pre-aggregates, so a key repeated millions of times stays one row per task.
     """
+    # The key stays a column of its own, so that joins on it keep to this partitioning.
+    rest = F.struct(*[c for c in delta.columns if c != key])
+    grouped = delta.groupBy(key)
     if sequence:
-        picked = F.max(F.struct(F.col(sequence).alias("_at"), F.struct(*delta.columns).alias("_row")))
-        return delta.groupBy(F.col(key).alias("_key")).agg(picked.alias("_last")).select("_last._row.*")
-    message = F.concat(F.lit("key repeated in delta, give a sequence column: "), F.col("_key").cast("string"))
-    grouped = delta.groupBy(F.col(key).alias("_key")).agg(
-        F.max(F.struct(*delta.columns)).alias("_row"), F.count(F.lit(1)).alias("_rows")
+        last = grouped.agg(F.max(F.struct(F.col(sequence).alias("at"), rest.alias("row"))).alias("_last"))
+    else:
+        message = F.concat(
+            F.lit("key repeated in delta, give a sequence column: "), F.col(key).cast("string")
+        )
+        counted = grouped.agg(F.max(F.struct(rest.alias("row"))).alias("_one"), F.count(F.lit(1)).alias("_n"))
+        only = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_one"))
+        last = counted.select(key, only.alias("_last"))
+    return last.select(
+        *[F.col(c) if c == key else F.col(f"_last.row.{c}").alias(c) for c in delta.columns]
     )
-    only = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col("_row"))
-    return grouped.select(only.alias("_row")).select("_row.*")
 
 
 def rejects(delta: DataFrame, key: str) -> DataFrame:

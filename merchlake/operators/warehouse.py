@@ -122,18 +122,19 @@ def _resolved(
     """Orders with their dimension keys (NULL where unknown) and one payment method.
 
     Payments are brought down to the latest per order before the join, so that a second
-    payment cannot repeat its order. A hot customer or product is split by the adaptive
+    payment cannot repeat its order; they are joined first, where both sides may already be
+    partitioned by order. A hot customer or product is split by the adaptive
     skew join; the calendar is matched on a key computed from the date.
     """
     latest = payments.groupBy("order_id").agg(
         F.max(F.struct("payment_date", "payment_id", "payment_method")).alias("latest")
     )
     return (
-        orders.withColumn("_day", date_key(F.col("order_date").cast("timestamp")))
+        orders.join(latest, "order_id", "left")
+        .withColumn("_day", date_key(F.col("order_date").cast("timestamp")))
         .join(days.select("date_key"), F.col("_day") == F.col("date_key"), "left")
         .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
         .join(products.select("product_id", "product_key"), "product_id", "left")
-        .join(latest, "order_id", "left")
     )
 
 

@@ -36,20 +36,24 @@ def local_session(app: str = "merchlake", cores: int | str = "*", memory: str =
     return configure(builder.getOrCreate())
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
     A temporary folder stands in only for a local master with the setting unset:
     a folder on one machine would not survive the loss of an executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(context.applicationId)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="merchlake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        _LOCAL_DIRS[context.applicationId] = folder
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
