@@ -16,16 +16,22 @@ MOMENT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Four-digit years from 0001 on.
 _MOMENT_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 _LONGEST_TOKEN = max(map(len, MISSING_TOKENS))
+_TOKEN_LIST = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
 
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def missing_as_null(text: Column) -> Column:
-    """NULL for a missing-value token; the length is compared first, being cheaper."""
-    token = (F.octet_length(text) <= _LONGEST_TOKEN) & text.isin(*MISSING_TOKENS)
-    return F.when(~token, text)
+def missing_as_null(name: str) -> Column:
+    """A text column with NULL for the missing-value tokens.
+
+    The length is compared first, being cheaper. Written as SQL text, the expression reaches
+    the JVM in one call instead of one per token.
+    """
+    return F.expr(
+        f"IF(octet_length(`{name}`) <= {_LONGEST_TOKEN} AND `{name}` IN ({_TOKEN_LIST}), NULL, `{name}`)"
+    )
 
 
 def is_moment(text: Column) -> Column:

@@ -30,7 +30,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def mark_missing(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All-text tables with the usual tokens for a missing value turned into NULL."""
     return {
-        name: table.select(*[missing_as_null(F.col(c)).alias(c) for c in table.columns])
+        name: table.select(*[missing_as_null(c).alias(c) for c in table.columns])
         for name, table in tables.items()
     }
 
@@ -52,24 +52,18 @@ def key_ledger(tables: dict[str, DataFrame]) -> DataFrame:
     entries = []
     for name, table in tables.items():
         relation = RELATIONS[name]
-        held = [(name, relation.key, "holds")]
-        used = [(parent, c, _count_name(name, c)) for c, parent in relation.references.items()]
-        pairs = F.array(
-            *[
-                F.struct(
-                    F.lit(owner).alias("relation"),
-                    F.col(column).cast("string").alias("key"),
-                    F.lit(role).alias("role"),
-                )
-                for owner, column, role in held + used
-            ]
+        named = [(name, relation.key, "holds")]
+        named += [(parent, c, _count_name(name, c)) for c, parent in relation.references.items()]
+        parts = ", ".join(
+            f"struct('{owner}' AS relation, CAST(`{column}` AS STRING) AS key, '{role}' AS role)"
+            for owner, column, role in named
         )
-        entries.append(table.select(F.inline(pairs)))
+        entries.append(table.selectExpr(f"inline(array({parts}))"))
     roles = ["holds"] + [_count_name(child, column) for child, column, _ in _uses()]
     return (
         _union(entries)
         .groupBy("relation", "key")
-        .agg(*[F.count_if(F.col("role") == role).alias(role) for role in roles])
+        .agg(*[F.expr(f"count_if(role = '{role}') AS {role}") for role in roles])
     )
 
 

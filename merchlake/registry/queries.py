@@ -552,8 +552,9 @@ def cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier orders stored by key, then the present ones upserted into them."""
     path = f"{fresh_path(spark, 'stored')}/orders"
-    for state in _states(spark, sf_dir):
-        keyed_table.upsert(spark, path, state, "order_id", "total_price", BUCKETS)
+    earlier, present = _states(spark, sf_dir)
+    keyed_table.upsert(spark, path, earlier, "order_id", buckets=BUCKETS, unique=True)
+    keyed_table.upsert(spark, path, present, "order_id", "total_price")
     return keyed_table.read(spark, path)
 
 

@@ -32,6 +32,8 @@ def local_session(app: str = "merchlake", cores: int | str = "*", memory: str =
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        # Noting the Python call site of every expression takes longer than planning does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return configure(builder.getOrCreate())
 

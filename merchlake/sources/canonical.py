@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Order status by header status, for lines that were not returned.
 STATUS_OF_HEADER = {"F": "Completed", "O": "Pending", "P": "Shipped"}
@@ -17,8 +18,16 @@ NO_PAYMENT_PRIORITY = "5-LOW"
 FIRST_DAY = "1995-01-01 00:00:00"
 
 
+# Schemas found so far, by session and path: finding one is a job of its own.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    found = (spark.sparkContext.applicationId, path)
+    if found not in _SCHEMAS:
+        _SCHEMAS[found] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[found]).parquet(path)
 
 
 def _line_id() -> Column:
