@@ -369,25 +369,25 @@ def _typed_break(column: str) -> str:
 
 _VIOLATION_ROWS = _union(
     [
-        f"SELECT '{n}' AS dataset, 'duplicate primary ids' AS error, NULL::VARCHAR AS row_id,"
-        f" NULL::VARCHAR AS value WHERE EXISTS"
+        f"SELECT '{n}' AS dataset, 'duplicate primary ids' AS error, '' AS row_id,"
+        f" '' AS value WHERE EXISTS"
         f" (SELECT 1 FROM r_{n} GROUP BY {k} HAVING count(*) > 1)"
         for n, k in _KEYS.items()
     ]
     + [
-        f"SELECT '{n}', 'missing value', NULL, NULL WHERE EXISTS"
+        f"SELECT '{n}', 'missing value', '', '' WHERE EXISTS"
         f" (SELECT 1 FROM {_typed(n)} t WHERE {_empty_cell(n)})"
         for n in _KEYS
     ]
     + [
-        f"SELECT '{n}', 'invalid {c}', {_KEYS[n]}, {c}::VARCHAR FROM {_typed(n)} t"
+        f"SELECT '{n}', 'invalid {c}', coalesce({_KEYS[n]}, ''), {c}::VARCHAR FROM {_typed(n)} t"
         f" WHERE {_typed_break(c)}"
         for n, _, c, _ in _VALUE_RULES
         if c != "stock"
     ]
     + [
-        f"SELECT '{c}', 'Broken FK: {col}', {_KEYS[c]}, {col} FROM r_{c}"
-        f" WHERE {_dangling(c, col, p)}"
+        f"SELECT '{c}', 'Broken FK: {col}', coalesce({_KEYS[c]}, ''), coalesce({col}, '')"
+        f" FROM r_{c} WHERE {_dangling(c, col, p)}"
         for c, col, p in _USES
     ]
 )
@@ -472,10 +472,11 @@ def _drift(expected: dict[str, str], found: str) -> str:
     wanted = ", ".join(f"('{c}', '{t}')" for c, t in expected.items())
     return f"""
         SELECT column_name,
-               CASE WHEN actual IS NULL THEN 'missing' WHEN expected IS NULL THEN 'added'
-                    ELSE 'type_mismatch' END AS kind, expected, actual
+               CASE WHEN f.actual IS NULL THEN 'missing' WHEN w.expected IS NULL THEN 'added'
+                    ELSE 'type_mismatch' END AS kind,
+               coalesce(w.expected, '') AS expected, coalesce(f.actual, '') AS actual
         FROM (VALUES {wanted}) w(column_name, expected) FULL JOIN ({found}) f USING (column_name)
-        WHERE expected IS DISTINCT FROM actual"""
+        WHERE w.expected IS DISTINCT FROM f.actual"""
 
 
 _JSON_KEYS = f"""
@@ -652,7 +653,9 @@ ORACLE: dict[str, str] = {
         """SELECT customer_id, count(*) AS order_count, sum(quantity)::BIGINT AS units
            FROM c_orders GROUP BY customer_id ORDER BY units DESC, customer_id LIMIT 100""",
     ),
-    "dim_date": _with("days", "SELECT * FROM days"),
+    "dim_date": _with(
+        "days", "SELECT * REPLACE (strftime(full_date, '%Y-%m-%d') AS full_date) FROM days"
+    ),
     "dim_customer": _with("k_customers", "SELECT * FROM k_customers"),
     "dim_product": _with("k_products", "SELECT * FROM k_products"),
     "dim_customer_reload": _with(

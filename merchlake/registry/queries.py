@@ -349,7 +349,8 @@ def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @_register
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_days(spark, sf_dir)
+    """The calendar with its dates as text, YYYY-MM-DD."""
+    return _order_days(spark, sf_dir).withColumn("full_date", F.col("full_date").cast("string"))
 
 
 @_register
@@ -487,7 +488,8 @@ def fk_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def dq_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.violations(_parsed(spark, sf_dir))
+    """Errors found; those of a whole table have an empty row id and value."""
+    return quality.violations(_parsed(spark, sf_dir)).fillna("")
 
 
 @_register
@@ -586,7 +588,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys found in the events' JSON against an expected record."""
     expected = {"k": "double", "source": "string"}
     events = canonical.table(spark, sf_dir, "events")
-    return drift.schema_drift(expected, drift.observed_json_types(events, "props"))
+    return drift.schema_drift(expected, drift.observed_json_types(events, "props")).fillna("")
 
 
 @_register
@@ -594,7 +596,7 @@ def schema_drift_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the raw payments hold against the types payments should have."""
     expected = {f.name: f.dataType.simpleString() for f in model.PAYMENTS.fields if f.name != "status"}
     payments = quality.mark_missing({"payments": raw_feed.payments(spark, sf_dir)})["payments"]
-    return drift.schema_drift(expected, drift.observed_types(payments))
+    return drift.schema_drift(expected, drift.observed_types(payments)).fillna("")
 
 
 @_register

@@ -10,6 +10,7 @@ folder name (``bucket_64=13``); choose it so that a bucket holds about a gigabyt
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,23 +65,32 @@ def _write_buckets(table: DataFrame, path: str, column: str) -> dict[str, int]:
     counted = table.hint("rebalance", column).observe(
         seen, *[F.count_if(F.col(cdc.ACTION) == tag).alias(tag) for tag in tags]
     )
-    counted.drop(cdc.ACTION).write.mode("overwrite").partitionBy(column).parquet(path)
+    (
+        counted.drop(cdc.ACTION)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(column)
+        .parquet(path)
+    )
     return dict(seen.get)
 
 
 def _move_into_place(spark: SparkSession, path: str) -> None:
-    """Move complete staged buckets over those of the table, one folder at a time."""
+    """Move complete staged buckets over those of the table, folder by folder."""
     stage = _beside(path, "stage")
     if not _complete(spark, stage):
         return
     staged, store = hadoop_path(spark, stage)
-    for status in store.listStatus(staged):
-        name = status.getPath().getName()
-        if name.startswith(_PREFIX):
-            target, _ = hadoop_path(spark, f"{path}/{name}")
-            store.delete(target, True)
-            if not store.rename(status.getPath(), target):
-                raise OSError(f"cannot move {status.getPath()} to {target}")
+
+    def move(source) -> None:
+        target, _ = hadoop_path(spark, f"{path}/{source.getName()}")
+        store.delete(target, True)
+        if not store.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
+    folders = [status.getPath() for status in store.listStatus(staged)]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, [f for f in folders if f.getName().startswith(_PREFIX)]))
     store.delete(staged, True)
     spark.catalog.refreshByPath(path)
 
@@ -92,14 +102,14 @@ def upsert(
     key: str,
     sequence: str | None = None,
     buckets: int = 64,
-    batch: int | None = None,
+    batch: tuple[str, int] | None = None,
     ignore: Sequence[str] = (),
     unique: bool = False,
 ) -> dict[str, int]:
     """Insert or update the delta's rows and return the change summary.
 
-    ``buckets`` is for a new table. A ``batch`` number already recorded for this table makes
-    the call a no-op. ``ignore`` names columns whose change alone is no update. ``unique``
+    ``buckets`` is for a new table. A ``batch`` (its source and number) already recorded for
+    this table makes the call a no-op. ``ignore`` names columns whose change alone is no update. ``unique``
     says that every row has a key of its own, which spares the check.
     """
     _move_into_place(spark, path)
@@ -172,16 +182,17 @@ def _result(counts: dict[str, int], without_key: int) -> dict[str, int]:
     return result
 
 
-def _recorded(spark: SparkSession, path: str, batch: int) -> dict[str, int] | None:
+def _recorded(spark: SparkSession, path: str, batch: tuple[str, int]) -> dict[str, int] | None:
     log = _beside(path, "batches")
     if not _complete(spark, log):
         return None
-    found = spark.read.parquet(log).filter(F.col("batch") == batch).drop("batch").first()
+    source, number = batch
+    same = (F.col("source") == source) & (F.col("batch") == number)
+    found = spark.read.parquet(log).filter(same).drop("source", "batch").first()
     return found.asDict() if found else None
 
 
-def _record(spark: SparkSession, path: str, batch: int, result: dict[str, int]) -> None:
-    names = ["batch", *result]
-    schema = ", ".join(f"`{name}` bigint" for name in names)
-    line = spark.createDataFrame([(batch, *result.values())], schema)
+def _record(spark: SparkSession, path: str, batch: tuple[str, int], result: dict[str, int]) -> None:
+    schema = "source string, batch bigint, " + ", ".join(f"`{name}` bigint" for name in result)
+    line = spark.createDataFrame([(*batch, *result.values())], schema)
     line.coalesce(1).write.mode("append").parquet(_beside(path, "batches"))

@@ -24,12 +24,15 @@ def merge_stream(
 ) -> StreamingQuery:
     """Start merging the delta files of a folder into a keyed table.
 
-    The table itself is the state. A batch is recorded under its number, so one that is
-    delivered again after a failure changes nothing. Without ``continuous`` (a trigger
+    The table itself is the state. A batch is recorded under its number and the id that the
+    checkpoint gives the query, so one that is delivered again after a failure changes
+    nothing, while a new query on the same table starts its own count. Without ``continuous`` (a trigger
     interval) all files present are merged and the query ends.
     """
 
-    def apply(delta: DataFrame, batch: int) -> None:
+    def apply(delta: DataFrame, number: int) -> None:
+        metadata = delta.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata")
+        batch = (metadata.first()["id"], number)
         keyed_table.upsert(delta.sparkSession, target, delta, key, sequence, buckets, batch)
 
     reader = spark.readStream.format(file_format).schema(schema)

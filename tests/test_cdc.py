@@ -101,11 +101,11 @@ def _write_delta(spark, folder, rows):
 
 
 def test_stream_of_deltas(spark, work, current):
-    deltas, target, checkpoint = f"{work}/deltas", f"{work}/orders", f"{work}/checkpoint"
+    deltas, target = f"{work}/deltas", f"{work}/orders"
     keyed_table.upsert(spark, target, current, "order_id", buckets=4)
     schema = spark.createDataFrame([], SCHEMA + ", seq int").schema
 
-    def run():
+    def run(checkpoint=f"{work}/checkpoint"):
         query = delta_merge.merge_stream(
             spark, deltas, schema, target, checkpoint, "order_id", "seq", files_per_batch=1
         )
@@ -120,3 +120,6 @@ def test_stream_of_deltas(spark, work, current):
     log = spark.read.parquet(f"{target}__batches")
     assert sorted((r.batch, r.INSERT, r.UPDATE) for r in log.collect()) == [(0, 1, 1), (1, 0, 1)]
     assert run() == expected and log.count() == 2
+    # A new query on the same table is not taken for a repeated one.
+    _write_delta(spark, deltas, [("ORD009", "CUST09", 9.0, "Shipped", 9)])
+    assert run(f"{work}/checkpoint2") == [*expected, ("ORD009", "CUST09", 9.0, "Shipped")]

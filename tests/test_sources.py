@@ -137,8 +137,10 @@ def test_interrupted_replacement_is_finished(spark, work, tables, monkeypatch):
 
 def test_recorded_batch_is_not_applied_again(spark, work, tables):
     path = f"{work}/orders"
-    first = keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=2, batch=7)
+    first = keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=2, batch=("q", 7))
     other = tables["orders"].withColumn("status", F.lit("Shipped"))
-    again = keyed_table.upsert(spark, path, other, "order_id", batch=7)
+    again = keyed_table.upsert(spark, path, other, "order_id", batch=("q", 7))
     assert again == first
     assert "Shipped" not in {r.status for r in keyed_table.read(spark, path).collect()}
+    keyed_table.upsert(spark, path, other, "order_id", batch=("another query", 7))
+    assert {r.status for r in keyed_table.read(spark, path).collect()} == {"Shipped"}
