@@ -3,3 +3,47 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op7_quality_rules"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body FROM documents
+), split AS (
+    SELECT *, list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
+        list_filter(string_split(body, chr(10)), x -> regexp_replace(x, '[\x20\x09-\x0D]', '', 'g') <> '') AS lines
+    FROM d
+), places AS (
+    SELECT id, words, unnest(range(1, len(words) - 3)) AS at FROM split
+), windows AS (
+    SELECT id, at, array_to_string(words[at:at + 4], ' ') AS win FROM places
+), repeated AS (
+    SELECT id, at FROM windows
+    QUALIFY count(*) OVER (PARTITION BY id, win) > 1
+), covered AS (
+    SELECT id, count(DISTINCT word) AS n FROM (SELECT id, unnest(range(at, at + 5)) AS word FROM repeated) GROUP BY id
+), texts AS (
+    SELECT DISTINCT host, body, lines FROM split
+), each_line AS (
+    SELECT host, body, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+    FROM (SELECT host, body, unnest(lines) AS line FROM texts)
+), per_text AS (
+    SELECT host, body, line, count(*) * (1 + len(line) - len(replace(line, ' ', ''))) AS words
+    FROM each_line GROUP BY host, body, line
+), frequent AS (
+    SELECT host, line FROM per_text GROUP BY host, line HAVING count(*) > 20
+), removed AS (
+    SELECT host, body, sum(words)::BIGINT AS n FROM per_text JOIN frequent USING (host, line) GROUP BY host, body
+), counted AS (
+    SELECT s.doc_id, len(s.words)::BIGINT AS n_words,
+        len(regexp_replace(s.body, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+        (len(s.body) - len(regexp_replace(s.body, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(s.lines) - len(list_distinct(s.lines)))::BIGINT AS n_dup_lines,
+        coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(r.n, 0)::BIGINT AS n_removed_words
+    FROM split s LEFT JOIN covered c USING (id) LEFT JOIN removed r ON r.host = s.host AND r.body = s.body
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        n_words - n_removed_words AS remaining FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND remaining >= 10 AND 100 * remaining >= 30 * n_words AS kept, n_removed_words
+FROM judged
+"""

@@ -1,0 +1,70 @@
+import re
+from collections import Counter, defaultdict
+
+from merchlake.llm.line_quality import quality
+
+BREAK = "[\x20\x09-\x0d]+"
+
+
+def normal(line):
+    return re.sub(BREAK, " ", line.lower()).strip(" ")
+
+
+def brute_force(rows, max_documents, min_left):
+    seen = defaultdict(set)
+    for _, text, host in rows:
+        for line in (text or "").split("\n"):
+            if normal(line):
+                seen[host or "", normal(line)].add(text)
+    found = []
+    for doc_id, text, host in rows:
+        text = text or ""
+        words = [w for w in re.split(BREAK, text) if w]
+        lines = [x for x in text.split("\n") if normal(x)]
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        counts = Counter(windows)
+        covered = {j for i, w in enumerate(windows) if counts[w] > 1 for j in range(i, i + 5)}
+        gone = sum(len(normal(x).split(" ")) for x in lines if len(seen[host or "", normal(x)]) > max_documents)
+        failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+        left = len(words) - gone
+        kept = not failed and left >= 10 and 100 * left >= min_left * len(words)
+        symbols = sum(c in "#*$%&|<>" for c in text)
+        found.append(
+            (doc_id, len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed, kept, gone)
+        )
+    return sorted(found, key=repr)
+
+
+def run(spark, rows, schema="doc_id long, text string, source string", **limits):
+    docs = spark.createDataFrame([r + (None,) * (len(schema.split(",")) - 3) for r in rows], schema)
+    return sorted(map(tuple, quality(docs, **limits).collect()), key=repr)
+
+
+def test_matches_brute_force_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    rows = [tuple(r) for r in docs.collect()]
+    for limit in (2, 20):
+        assert sorted(map(tuple, quality(docs, max_documents=limit).collect()), key=repr) == brute_force(rows, limit, 30)
+
+
+def test_boilerplate_depletes_and_copies_count_once(spark):
+    shared = "all rights are reserved by the owner of this very page"
+    own = [" ".join(f"w{n}x{i}" for i in range(12)) for n in range(6)]
+    rows = [(n, f"{shared}\n{own[n]}", "a") for n in range(4)]
+    rows += [(10 + n, f"  {shared.upper()} \n{own[4]}", "b") for n in range(5)]  # five copies of one text
+    rows += [(20, shared, "a"), (21, None, "a"), (22, "", None), (None, own[5], None), (23, "é ü " * 12, None)]
+    found = run(spark, rows, max_documents=3)
+    assert found == brute_force(rows, 3, 30)
+    kept = {r[0]: r[7] for r in found}
+    assert kept[0] and kept[10] and kept[None] and not kept[20] and not kept[21] and not kept[22]
+    assert {r[0]: r[8] for r in found}[0] == 11 and {r[0]: r[8] for r in found}[10] == 0
+
+
+def test_repeated_windows_and_empty_table(spark):
+    rows = [
+        (1, "a b c d e a b c d e", "s"), (2, "a a a a a a", "s"), (3, "a b c d", "s"), (4, "x y z v w u x y z v w", "s"),
+        (5, "a|b #c\n\n a \n a\na", "s"), (5, "a|b #c\n\n a \n a\na", "s"),
+    ]
+    schema = "doc_id long, text string, source string, words int, line string, host string"
+    assert run(spark, rows, schema) == brute_force(rows, 20, 30)
+    assert quality(spark.createDataFrame([], schema)).collect() == []
