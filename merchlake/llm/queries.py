@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from merchlake.llm import token_counts
+from merchlake.llm import line_quality, packing, sharding, token_counts
 from merchlake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,8 @@ _QUERIES: dict[str, Query] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 1024
+END_ID = 2
+SHARDS = 24
 
 
 def _register(query: Query) -> Query:
@@ -37,3 +39,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under the public byte-level vocabulary."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), BYTE_BPE, MAX_TOKENS)
+
+
+@_register
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written to 24 shards in random order; where each one went."""
+    return sharding.shard_digest(_table(spark, sf_dir, "documents"), SHARDS)
+
+
+@_register
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of at most 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), BYTE_BPE, MAX_TOKENS, END_ID)
+
+
+@_register
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the line frequency rules on every document."""
+    return line_quality.quality(_table(spark, sf_dir, "documents"))

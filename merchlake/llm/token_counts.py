@@ -37,7 +37,7 @@ class MergeRanks:
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
         ids = stored["model"]["vocab"]
-        self.first = [ids[name] for name in _byte_names()]
+        self.first = [ids[name] for name in byte_names()]
         self.pairs = {}
         for rank, (left, right) in enumerate(stored["model"]["merges"]):
             self.pairs[ids[left], ids[right]] = (rank, ids[left + right])
@@ -76,7 +76,7 @@ class MergeRanks:
         return size - merges
 
 
-def _byte_names() -> list[str]:
+def byte_names() -> list[str]:
     """How a byte-level vocabulary writes each byte: printable ones as themselves, the rest from U+0100 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     spare = iter(range(0x100, 0x200))
