@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from merchlake.llm import line_quality, packing, sharding, token_counts
+from merchlake.llm import language_id, line_quality, packing, sharding, token_counts, toxicity
+from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +23,7 @@ SHARDS = 24
 
 def _register(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        return query(ship_package(configure(spark)), sf_dir)
 
     _QUERIES[query.__name__] = run
     return query
@@ -35,12 +37,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_remainder(modulus: int) -> Column:
+    """crc32 of the id written as text, modulo ``modulus``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
 @_register
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under the public byte-level vocabulary."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), BYTE_BPE, MAX_TOKENS)
 
 
+@_register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; a quarter of the ids is held out from learning."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_remainder(4) == 2, F.lit(False))
+    model = toxicity.fit(docs, labels.where(id_remainder(4) != 2))
+    return toxicity.score(docs, model, held_out, threshold=0.3)
+
+
 @_register
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to 24 shards in random order; where each one went."""
@@ -57,3 +73,17 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the line frequency rules on every document."""
     return line_quality.quality(_table(spark, sf_dir, "documents"))
+
+
+def language_dictionaries(docs: DataFrame) -> dict[str, bytes]:
+    """Dictionaries learned from the rows whose id is not held out, the languages being those of ``lang``."""
+    learned = docs.where(id_remainder(3) != 1)
+    return language_id.fit(learned.select("text", "lang", F.xxhash64("doc_id").alias("rank")))
+
+
+@_register
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; a third of the ids is held out from learning."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(3) == 1, F.lit(False))
+    return language_id.identify(docs, language_dictionaries(docs), held_out)
