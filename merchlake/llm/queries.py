@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import language_id, line_quality, packing, sharding, token_counts, toxicity
+from merchlake.llm import decontaminate, language_id, line_quality, packing, sharding, token_counts, toxicity
 from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
@@ -48,6 +48,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), BYTE_BPE, MAX_TOKENS)
 
 
+@_register
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window for each item."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_register
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; a quarter of the ids is held out from learning."""
