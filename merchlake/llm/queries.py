@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import decontaminate, language_id, line_quality, packing, sharding, token_counts, toxicity
+from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, sharding, token_counts, toxicity
 from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
@@ -93,3 +93,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(id_remainder(3) == 1, F.lit(False))
     return language_id.identify(docs, language_dictionaries(docs), held_out)
+
+
+@_register
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near and exact copies that every document belongs to."""
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))

@@ -1,0 +1,147 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from merchlake.llm.components import components
+from merchlake.llm.near_dedup import aligned_similarity, classes, similar, sketches
+
+
+def words(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def grams(w):
+    return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+
+
+def jaccard(a, b):
+    x, y = grams(words(a)), grams(words(b))
+    both = sum((x & y).values())
+    return both / (sum(x.values()) + sum(y.values()) - both) if x and y else 0
+
+
+def full_alignment(a, b):
+    """Edit distance by the whole table."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=5, max_size=40), st.lists(st.tuples(st.integers(0, 39), st.integers(0, 3)), max_size=4))
+def test_alignment_never_beats_shared_shingles(a, edits):
+    b = list(a)
+    for at, kind in edits:
+        at = min(at, len(b))
+        b[at : at + (kind != 1)] = [] if kind == 0 else [99]
+    x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+    found = aligned_similarity(x, y, 0.0)
+    left, right = grams(a), grams(b)
+    both = sum((left & right).values())
+    most = both / max(1, sum(left.values()) + sum(right.values()) - both)
+    assert found <= most + 1e-9
+    if a == b:
+        assert found == 1
+    # Each edit of the best alignment breaks at most five shingles on either side.
+    distance = full_alignment(a, b)
+    n = min(len(a), len(b)) - 4
+    if n > 5 * distance:
+        assert found >= (n - 5 * distance) / (len(a) + len(b) - 8 - (n - 5 * distance)) - 1e-9
+
+
+def test_sketch_follows_order_and_repeats():
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    moved = base[100:] + base[:100]
+    _, found = sketches([" ".join(x).encode() for x in (base, base, moved, base + base)])
+    assert np.array_equal(found[0], found[1])
+    agree = lambda x, y: (found[x] == found[y]).mean(axis=0)
+    assert agree(0, 2)[0] < 0.9 and agree(0, 2)[2] < 0.5 and agree(0, 3)[1] < 0.5
+    having, _ = sketches([b"", b"one two", b"one two three four five", b""])
+    assert having.tolist() == [2]
+
+
+def partition(ids, links):
+    parent = {i: i for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {i: root(i) for i in ids}
+
+
+def test_classes_match_brute_force_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    met = defaultdict(set)
+    for i, text in texts.items():
+        for gram in grams(words(text)):
+            met[gram].add(i)
+    pairs = {(a, b) for group in met.values() for a in group for b in group if a < b}
+    by_text = defaultdict(list)
+    for i, text in texts.items():
+        by_text[text].append(i)
+    links = [(g[0], i) for g in by_text.values() for i in g]
+    links += [(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.8 and similar(texts[a].encode(), texts[b].encode())]
+    strict = [(a, b) for a, b in pairs if jaccard(texts[a], texts[b]) >= 0.8]
+    expected = partition(texts, links)
+    rows = {r.doc_id: r for r in classes(docs).collect()}
+    assert {i: r.class_id for i, r in rows.items()} == expected
+    sizes = Counter(expected.values())
+    assert all(r.class_size == sizes[expected[i]] and r.kept == (i == expected[i]) for i, r in rows.items())
+    together = sum(rows[a].class_id == rows[b].class_id for a, b in strict)
+    assert together / len(strict) > 0.97  # the rest have their passages in another order
+
+
+def test_large_groups_and_common_passages(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(5))
+    base, passage = [word() for _ in range(120)], [word() for _ in range(60)]
+    rows = []
+    for n in range(150):  # one large group of near copies
+        copy = list(base)
+        copy[rng.randrange(120)] = word()
+        rows.append((n, " ".join(copy)))
+    for n in range(200, 400):  # different texts that share a passage
+        own = [word() for _ in range(80)]
+        rows.append((n, " ".join(own[:40] + passage + own[40:])))
+    rows += [(1000 + n, " ".join(base)) for n in range(50)]
+    found = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == (i if 200 <= i < 400 else 0) for i, _ in rows)
+
+
+def test_nulls_short_texts_repeats_and_clashes(spark):
+    text = "one two three four five six seven eight nine ten " * 3
+    schema = "doc_id long, text string, key string, class_id int"
+    rows = [
+        (1, None, "", 1), (2, None, "", 1), (3, "", "", 1), (4, "", "", 1), (5, "a b", "", 1), (6, "a b", "", 1), (7, "a c", "", 1),
+        (9, text, "", 1), (8, text + "x", "", 1), (9, text, "", 1), (None, text, "", 1), (None, "z", None, None),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    found = sorted(((r.doc_id, r.class_id, r.class_size, r.kept) for r in classes(docs).collect()), key=repr)
+    assert found == sorted([
+        (1, 1, 1, True), (2, 2, 1, True), (3, 3, 2, True), (4, 3, 2, False), (5, 5, 2, True), (6, 5, 2, False), (7, 7, 1, True),
+        (8, 8, 4, True), (9, 8, 4, False), (9, 8, 4, False), (None, 8, 4, False), (None, None, 1, True),
+    ], key=repr)
+    assert classes(docs.where("false")).collect() == []
+
+
+def test_components_match_union_find(spark):
+    rng = random.Random(7)
+    for n, m in ((60, 40), (200, 120)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(n, n + 40)]
+        expected = partition(range(n + 41), links)
+        edges = spark.createDataFrame([(f"{a:05}".encode(), f"{b:05}".encode()) for a, b in links], "a binary, b binary")
+        found = {int(r.node.decode()): int(r.root.decode()) for r in components(edges).collect()}
+        assert {i: found.get(i, i) for i in range(n + 41)} == expected
