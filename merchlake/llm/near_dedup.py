@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchlake.llm.alignment import align
 from merchlake.llm.components import components
 from merchlake.llm.words import chunks, mix, shingles, words_of
 from merchlake.session import fresh_path
@@ -147,59 +148,16 @@ def candidate_pairs(sketched: DataFrame) -> DataFrame:
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
-    """Share of five-word shingles matched by the best alignment of two word sequences, or 0 if below ``least``.
-
-    Furthest-reaching alignment: with e edits only the diagonals within e of the main one can be reached,
-    and each keeps how far down it one can get; matches cost nothing.
-    """
+    """Share of five-word shingles matched by the best alignment of two word sequences, or 0 if below ``least``."""
     total = len(a) + len(b) - 2 * (SHINGLE - 1)
     if min(len(a), len(b)) < SHINGLE:
         return 0.0
-    # m matched of n1 + n2 - m: at least this many, and each edit beyond them takes one away.
+    # m matched of n1 + n2 - m: at least this many, and every word that is not matched takes one away.
     needed = least * total / (1 + least)
-    most_edits = int(max(len(a), len(b)) - needed)
-    target = len(b) - len(a)
-    breaks: dict[int, np.ndarray] = {}
-
-    def slide(diagonal: int, at: int) -> int:
-        """How far matches lead from a[at], b[at + diagonal] on."""
-        if diagonal not in breaks:
-            low, high = max(0, -diagonal), min(len(a), len(b) - diagonal)
-            unequal = np.flatnonzero(a[low:high] != b[low + diagonal : high + diagonal]) + low
-            breaks[diagonal] = np.append(unequal, max(high, low))
-        stops = breaks[diagonal]
-        return int(stops[np.searchsorted(stops, at)])
-
-    reached: list[dict[int, tuple[int, int, int]]] = []  # per edits: diagonal -> (from, to, diagonal before)
-    for edits in range(most_edits + 1):
-        row: dict[int, tuple[int, int, int]] = {}
-        last = reached[-1] if reached else {}
-        for diagonal in range(max(-edits, -len(a)), min(edits, len(b)) + 1):
-            if not edits:
-                start, before = 0, 0
-            else:
-                options = []
-                if diagonal in last:
-                    options.append((last[diagonal][1] + 1, diagonal))  # replaced
-                if diagonal + 1 in last:
-                    options.append((last[diagonal + 1][1] + 1, diagonal + 1))  # only in a
-                if diagonal - 1 in last:
-                    options.append((last[diagonal - 1][1], diagonal - 1))  # only in b
-                options = [(s, d) for s, d in options if s <= len(a) and 0 <= s + diagonal <= len(b)]
-                if not options:
-                    continue
-                start, before = max(options)
-            row[diagonal] = (start, slide(diagonal, start) if start < len(a) and start + diagonal < len(b) else start, before)
-        reached.append(row)
-        if target in row and row[target][1] == len(a):
-            matched, diagonal = 0, target
-            for step in range(edits, -1, -1):
-                start, end, before = reached[step][diagonal]
-                matched += max(0, end - start - SHINGLE + 1)
-                diagonal = before
-            found = matched / (total - matched)
-            return found if found >= least else 0.0
-    return 0.0
+    runs = align(a, b, int(max(len(a), len(b)) - needed))
+    matched = sum(max(0, length - SHINGLE + 1) for _, _, length in runs or ())
+    found = matched / (total - matched)
+    return found if found >= least else 0.0
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:

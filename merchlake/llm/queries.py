@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, sharding, token_counts, toxicity
+from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, passages, sharding, token_counts, toxicity
 from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
@@ -99,3 +99,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near and exact copies that every document belongs to."""
     return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages of 50 words and more that documents share."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
