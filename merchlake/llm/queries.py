@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, passages, sharding, token_counts, toxicity
+from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, passages, sharding, suffix_dedup, token_counts, toxicity
 from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
@@ -54,6 +54,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_register
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the 400-byte strings that start at another place too."""
+    kept = suffix_dedup.strip_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_register
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; a quarter of the ids is held out from learning."""

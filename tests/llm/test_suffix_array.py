@@ -1,0 +1,62 @@
+import random
+import time
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from merchlake.llm import suffix_array as module
+from merchlake.llm.suffix_array import repeated_windows, suffix_array
+
+
+def plain(text):
+    return sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 3), max_size=60), st.booleans())
+def test_suffix_array_matches_sorting(body, in_order):
+    text = [*body, 0]
+    limit, module.BUCKET_ALPHABET = module.BUCKET_ALPHABET, 0 if in_order else 1_024
+    try:
+        assert suffix_array(np.array(text, np.uint16), 4).tolist() == plain(text)
+    finally:
+        module.BUCKET_ALPHABET = limit
+
+
+@pytest.mark.parametrize("body", [b"", b"a" * 500, b"ab" * 300, bytes(range(256)) * 3, b"mississippi" * 20])
+def test_suffix_array_of_runs_and_periods(body):
+    text = [*(b + 1 for b in body), 0]
+    assert suffix_array(np.array(text, np.uint16), 257).tolist() == plain(text)
+
+
+def brute_force(texts, length):
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    return [[seen[t[i : i + length]] > 1 for i in range(max(0, len(t) - length + 1))] for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab\0", max_size=30), max_size=6), st.integers(2, 7))
+def test_windows_match_counting(texts, length):
+    data = [t.encode() for t in texts]
+    assert [w.tolist() for w in repeated_windows(data, length)] == brute_force(data, length)
+
+
+def test_windows_of_edited_copies():
+    rng = random.Random(3)
+    base = bytes(rng.choice(b"abcdefgh ") for _ in range(3000))
+    texts = [base, base[500:2500], base[:1200] + b"#" + base[1201:], b"x" * 900, b"y" + b"x" * 450, base[100:499]]
+    assert [w.tolist() for w in repeated_windows(texts, 400)] == brute_force(texts, 400)
+
+
+def test_a_megabyte_takes_seconds():
+    rng = np.random.default_rng(1)
+    words = [bytes(rng.integers(97, 123, 6, dtype=np.uint8)) for _ in range(3000)]
+    body = b" ".join(words[i] for i in rng.integers(0, 3000, 70_000))
+    texts = [body[i : i + 600] for i in range(0, len(body) - 600, 300)]
+    began = time.time()
+    found = repeated_windows(texts, 400)
+    assert time.time() - began < 30
+    assert not any(w.any() for w in found)
