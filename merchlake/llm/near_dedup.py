@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from merchlake.llm.alignment import align
 from merchlake.llm.components import components
+from merchlake.llm.text import spare_name
 from merchlake.llm.words import chunks, mix, shingles, words_of
 from merchlake.session import fresh_path
 
@@ -212,6 +213,43 @@ def class_roots(keyed: DataFrame) -> DataFrame:
     return components(verified(pairs, keyed))
 
 
+def _rooted(ids: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, root, least id and number of rows of each distinct text of ``ids`` (doc_id, key)."""
+    texts = ids.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
+    return texts.join(roots, texts["key"] == roots["node"], "left").select(
+        "key", F.coalesce("root", "key").alias("root"), "low", "n"
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each class (see ``classes``) keeps one.
+
+    The row with the least id stays; a null id stays only where its class has no other. Of rows alike in id
+    and text one stays. Rows with a null text all stay.
+    """
+    key, first, low = (spare_name(docs, name) for name in ("key", "first", "low"))
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    ids = rows.select("doc_id", text_key(F.col("text")).alias("key"))
+    roots = class_roots(rows.where(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text"))
+    # Nulls sort last: a class's first text is one with the least id.
+    rank = F.struct(F.col("low").isNull(), F.col("low"), F.col("key"))
+    firsts = _rooted(ids, roots).groupBy("root").agg(F.min(rank).alias("first"))
+    firsts = _written(firsts.select("first.key", "first.low"), "firsts")
+    # Rows that repeat a kept row in id and text; as a rule there are none, and the texts needn't be shuffled for them.
+    repeats = ids.groupBy("key", "doc_id").agg(F.count("*").alias("n")).where("n > 1").join(firsts, "key")
+    repeated = repeats.where(F.col("doc_id").eqNullSafe(F.col("low"))).limit(1).count() > 0
+    marked = firsts.select(F.col("key").alias(first), F.col("low").alias(low))
+    keyed = docs.withColumn(key, text_key(F.col("text")))
+    kept = keyed.join(marked, F.col(key) == F.col(first), "left").where(
+        F.col("text").isNull() | (F.col(first).isNotNull() & F.col("doc_id").eqNullSafe(F.col(low)))
+    )
+    if repeated:
+        kept = kept.where(F.col("text").isNull()).unionByName(
+            kept.where(F.col("text").isNotNull()).dropDuplicates(["doc_id", key])
+        )
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (the least id in the class), class_size and whether the row is the one to keep.
 
@@ -224,11 +262,7 @@ def classes(docs: DataFrame) -> DataFrame:
     keyed = rows.where(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), "text")
     roots = class_roots(keyed)
     ids = rows.select("doc_id", text_key(F.col("text")).alias("key"))
-    # Ids of equal texts come together before anything is joined: one row for each text and id.
-    texts = ids.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
-    rooted = texts.join(roots, texts["key"] == roots["node"], "left").select(
-        "key", F.coalesce("root", "key").alias("root"), "low", "n"
-    )
+    rooted = _rooted(ids, roots)
     whole = rooted.groupBy("root").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"))
     by_key = rooted.join(whole, "root").select("key", "class_id", "class_size")
     return ids.join(by_key, "key", "left").select(
