@@ -8,18 +8,18 @@ ORACLE["op7_quality_rules"] = r"""
 WITH d AS (
     SELECT row_number() OVER () AS id, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body FROM documents
 ), split AS (
-    SELECT *, list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-        list_filter(string_split(body, chr(10)), x -> regexp_replace(x, '[\x20\x09-\x0D]', '', 'g') <> '') AS lines
+    SELECT *, list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(body, chr(10)), lambda x: regexp_replace(x, '[\x20\x09-\x0D]', '', 'g') <> '') AS lines
     FROM d
 ), places AS (
-    SELECT id, words, unnest(range(1, len(words) - 3)) AS at FROM split
+    SELECT id, words, unnest(range(1, len(words) - 3)) AS pos FROM split
 ), windows AS (
-    SELECT id, at, array_to_string(words[at:at + 4], ' ') AS win FROM places
+    SELECT id, pos, array_to_string(list_slice(words, pos, pos + 4), ' ') AS win FROM places
 ), repeated AS (
-    SELECT id, at FROM windows
+    SELECT id, pos FROM windows
     QUALIFY count(*) OVER (PARTITION BY id, win) > 1
 ), covered AS (
-    SELECT id, count(DISTINCT word) AS n FROM (SELECT id, unnest(range(at, at + 5)) AS word FROM repeated) GROUP BY id
+    SELECT id, count(DISTINCT word) AS n FROM (SELECT id, unnest(range(pos, pos + 5)) AS word FROM repeated) GROUP BY id
 ), texts AS (
     SELECT DISTINCT host, body, lines FROM split
 ), each_line AS (
