@@ -1,9 +1,9 @@
-"""Exact amounts of money from double columns, without decimal arithmetic per row.
+"""Amounts from double columns, summed exactly and rounded once, at the end.
 
-A double sum depends on the order of its rows, and casting every row to a decimal costs
-about ten times the sum itself. Amounts are counted in whole cents instead, and each amount
-is split into a high and a low part, both summed as plain 64-bit integers: exact in any
-order and safe from overflow for more than 8 * 10**12 rows per group.
+A double sum depends on the order of its rows, and casting every row to a decimal costs about ten
+times the sum itself. Each amount is split into whole units and 10^-8 parts, which are summed as plain
+64-bit integers (the units in a high and a low half): exact to 8 digits in any order, and safe from
+overflow up to 9 * 10**10 rows per group, beyond which the job fails rather than errs.
 """
 
 from __future__ import annotations
@@ -12,36 +12,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _LOW_BITS = 20
+_PARTS = 10**8
+# Doubles from here on have no 64-bit integer.
+_LIMIT = 9.0e18
 
 
-def cents(amount: Column) -> Column:
-    return F.rint(amount * 100).cast("bigint")
+def known(amount: Column) -> Column:
+    """The amount, or NULL if it is no finite number that can be summed (NaN counts as missing)."""
+    return F.when(F.abs(amount) < _LIMIT, amount)
+
+
+def counted(amount: Column) -> Column:
+    """Aggregate: rows that have an amount."""
+    return F.count(known(amount))
+
+
+def exact(amount: Column) -> Column:
+    """Aggregate: the unrounded sum as decimal(38,8); NULL over no amounts."""
+    value = known(amount)
+    units = F.floor(value)
+    parts = F.rint((value - units) * _PARTS).cast("bigint")
+
+    def summed(column: Column) -> Column:
+        return F.sum(column).cast("decimal(20,0)")
+
+    high = summed(F.shiftright(units, _LOW_BITS)) * F.lit(1 << _LOW_BITS).cast("decimal(7,0)")
+    low = summed(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    fraction = summed(parts) * F.lit("0.00000001").cast("decimal(8,8)")
+    return (high + low + fraction).cast("decimal(38,8)")
+
+
+def rounded(sum_of: Column) -> Column:
+    """An exact sum to the cent, as double; 0.0 over no rows."""
+    return F.coalesce(F.round(sum_of, 2).cast("double"), F.lit(0.0))
 
 
 def total(amount: Column) -> Column:
-    """Aggregate: the exact sum of an amount, as double; 0.0 over no rows."""
-    whole = cents(amount)
-    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    exact = high * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low
-    return F.coalesce((exact * F.lit("0.01").cast("decimal(3,2)")).cast("double"), F.lit(0.0))
+    """Aggregate: the sum of an amount to the cent, as double; 0.0 over no rows."""
+    return rounded(exact(amount))
 
 
 def to_cent(amount: Column) -> Column:
-    """An amount rounded to the cent, ties to even, in plain double arithmetic."""
+    """One amount rounded to the cent, ties to even, in plain double arithmetic."""
     return F.rint(amount * 100) / 100
 
 
 def per_unit(amount: Column, quantity: Column) -> Column:
-    """Amount per unit to the cent, ties away from zero; NULL for no units.
-
-    The quotient of whole cents and a whole quantity is at least 1/(2*quantity) off a tie
-    unless it is one, so double arithmetic rounds it right.
-    """
-    quotient = F.try_divide(F.rint(amount * 100), quantity)
-    return F.signum(quotient) * F.floor(F.abs(quotient) + 0.5) / 100
+    """Amount per unit to the cent, ties away from zero; NULL for no units."""
+    quotient = F.try_divide(known(amount), quantity)
+    return F.round(quotient.cast("decimal(38,10)"), 2).cast("double")
 
 
 def average(sum_of: Column, rows: Column) -> Column:
-    """A total divided by a row count, to the cent; 0.0 over no rows."""
-    return F.coalesce(per_unit(sum_of, rows), F.lit(0.0))
+    """A sum, not rounded before, divided by a row count, to the cent; 0.0 over no rows."""
+    return F.coalesce(per_unit(sum_of.cast("double"), rows), F.lit(0.0))

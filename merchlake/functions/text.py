@@ -13,7 +13,7 @@ from merchlake.model import MISSING_TOKENS
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
 MOMENT_FORMAT = "yyyy-MM-dd HH:mm:ss"
-# Four-digit years from 0001 on.
+# Fixed value: the shape of a moment, with four-digit years from 0001 on.
 _MOMENT_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 _LONGEST_TOKEN = max(map(len, MISSING_TOKENS))
 _TOKEN_LIST = ", ".join(f"'{token}'" for token in MISSING_TOKENS)

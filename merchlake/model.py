@@ -58,9 +58,6 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Columns holding amounts of money in units and cents.
-MONEY = ("price", "unit_price", "total_price", "amount")
-
 
 @dataclass(frozen=True)
 class ValueRule:

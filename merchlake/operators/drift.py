@@ -6,12 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, NumericType
+from pyspark.sql.types import DoubleType, FloatType, LongType, NumericType
 
 from merchlake.functions import money
-from merchlake.model import MONEY
 
 MISSING, ADDED, RETYPED = "missing", "added", "type_mismatch"
+UNREADABLE = "(unreadable)"
 METRICS = ("count", "nulls", "mean", "sum", "min", "max")
 
 # What a cell must look like before it is read as a type; a failed cast is far dearer.
@@ -62,9 +62,20 @@ def observed_types(table: DataFrame) -> DataFrame:
 
 
 def observed_json_types(table: DataFrame, column: str) -> DataFrame:
-    """(column_name, type) of the keys of a JSON object column."""
+    """(column_name, type) of the keys of a JSON object column.
+
+    A cell that is no JSON object shows as a key ``UNREADABLE`` of type string, so that none is lost.
+    """
     parsed = F.from_json(F.col(column), "map<string,string>")
-    return _observe(table.select(F.explode(parsed).alias("column_name", "value")))
+    unreadable = F.when(F.col(column).isNotNull(), F.create_map(F.lit(UNREADABLE), F.lit("?")))
+    return _observe(table.select(F.explode(F.coalesce(parsed, unreadable)).alias("column_name", "value")))
+
+
+def unreadable_json(table: DataFrame, column: str) -> DataFrame:
+    """One row: cells that hold something, and those of them that are no JSON object."""
+    filled = F.col(column).isNotNull()
+    lost = filled & F.from_json(F.col(column), "map<string,string>").isNull()
+    return table.agg(F.count_if(filled).alias("cells"), F.count_if(lost).alias("unreadable"))
 
 
 def _observe(cells: DataFrame) -> DataFrame:
@@ -96,15 +107,16 @@ def schema_drift(expected: Mapping[str, str], actual: DataFrame) -> DataFrame:
 
 def _column_metrics(name: str, kind: NumericType) -> list[Column]:
     value = F.col(name)
-    if name in MONEY:
-        total = F.when(F.count(value) > 0, money.total(value))
+    filled = F.count(value)
+    if isinstance(kind, (DoubleType, FloatType)):
+        total, filled = money.exact(value.cast("double")), money.counted(value)
     else:
         # 64-bit integers may overflow their own type when summed.
         total = F.sum(value.cast("decimal(20,0)") if isinstance(kind, LongType) else value)
     figures = (
         F.count(F.lit(1)),
         F.count_if(value.isNull()),
-        F.try_divide(total.cast("double"), F.count(value)),
+        F.try_divide(total.cast("double"), filled),
         total,
         F.min(value),
         F.max(value),

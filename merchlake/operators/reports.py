@@ -1,7 +1,8 @@
 """Sales, product, customer, payment, review and time reports.
 
 Facts are aggregated to one row per key below every join: a hot key is reduced where it is
-read, only one row per key and task is shuffled, and fan-out cannot arise. Two definitions
+read, only one row per key and task is shuffled, and fan-out cannot arise. Money is summed
+exactly and rounded once, in the result. Two definitions
 of revenue live side by side: the catalog reports count every order status, while
 ``product_sales_summary`` and ``category_revenue`` count completed orders only. Orders and
 payments are keyed relations, so a count of their ids is a count of rows. Every ranking
@@ -10,11 +11,14 @@ ends with the entity's key, which makes ties come out the same each time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.functions import money
 
+# The labels of the rating classes.
 SENTIMENTS = (
     "Positive (4-5 Stars)",
     "Neutral (3 Stars)",
@@ -49,8 +53,8 @@ def executive_kpis(
     sales = orders.agg(
         F.struct(
             _rows().alias("total_orders"),
-            money.total(F.col("total_price")).alias("total_revenue"),
-            F.count("total_price").alias("priced_orders"),
+            money.exact(F.col("total_price")).alias("revenue"),
+            money.counted(F.col("total_price")).alias("priced_orders"),
             _units().alias("total_quantity_sold"),
         )
     )
@@ -66,8 +70,8 @@ def executive_kpis(
         "total_customers",
         "total_products",
         "sales.total_orders",
-        "sales.total_revenue",
-        money.average(F.col("sales.total_revenue"), F.col("sales.priced_orders")).alias(
+        money.rounded(F.col("sales.revenue")).alias("total_revenue"),
+        money.average(F.col("sales.revenue"), F.col("sales.priced_orders")).alias(
             "average_order_value"
         ),
         "sales.total_quantity_sold",
@@ -82,7 +86,7 @@ def overall_sales_summary(orders: DataFrame) -> DataFrame:
         _rows().alias("total_orders"),
         _units().alias("total_units_sold"),
         money.total(price).alias("total_revenue"),
-        money.average(money.total(price), F.count(price)).alias("avg_order_value"),
+        money.average(money.exact(price), money.counted(price)).alias("avg_order_value"),
         F.coalesce(F.round(F.min(price), 2), F.lit(0.0)).alias("min_order_value"),
         F.coalesce(F.round(F.max(price), 2), F.lit(0.0)).alias("max_order_value"),
     )
@@ -124,8 +128,8 @@ def _sales_per(orders: DataFrame, key: str) -> DataFrame:
     return orders.groupBy(key).agg(
         _rows().alias("orders"),
         _units().alias("units"),
-        money.total(F.col("total_price")).alias("revenue"),
-        F.count("total_price").alias("priced"),
+        money.exact(F.col("total_price")).alias("revenue"),
+        money.counted(F.col("total_price")).alias("priced"),
     )
 
 
@@ -139,7 +143,7 @@ def top_selling_products(orders: DataFrame, products: DataFrame, limit: int = 10
             "category",
             F.col("price").alias("unit_price"),
             F.coalesce("units", F.lit(0)).alias("total_quantity_sold"),
-            F.coalesce("revenue", F.lit(0.0)).alias("total_revenue"),
+            money.rounded(F.col("revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "product_id")
         .limit(limit)
@@ -151,9 +155,9 @@ def revenue_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
         products.join(_sales_per(orders, "product_id"), "product_id", "left")
         .groupBy("category")
         .agg(
-            F.count("product_id").alias("product_count"),
+            F.count_distinct("product_id").alias("product_count"),
             F.coalesce(F.sum("units"), F.lit(0)).alias("total_quantity_sold"),
-            money.total(F.col("revenue")).alias("total_revenue"),
+            money.rounded(F.sum("revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "category")
     )
@@ -165,15 +169,16 @@ def completed_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def _completed_product_sales(
-    products: DataFrame, orders: DataFrame, order_items: DataFrame | None
+def exact_product_sales(
+    products: DataFrame, orders: DataFrame, order_items: DataFrame | None = None
 ) -> DataFrame:
+    """Units and unrounded revenue (decimal) per product sold in completed orders."""
     sales = orders.filter(F.col("status") == "Completed")
     if order_items is not None:
         items = order_items.select("order_id", "product_id", "quantity", "total_price")
         sales = sales.select("order_id").join(items, "order_id")
     per_product = sales.groupBy("product_id").agg(
-        F.sum("quantity").alias("units"), money.total(F.col("total_price")).alias("revenue")
+        F.sum("quantity").alias("units"), money.exact(F.col("total_price")).alias("revenue")
     )
     # The second grouping keeps to the join's partitioning and merges catalog rows that
     # repeat a product.
@@ -183,11 +188,17 @@ def _completed_product_sales(
         .groupBy("product_id", "name", "category")
         .agg(
             F.sum("units").alias("total_quantity_sold"),
-            money.total(F.col("revenue")).alias("total_revenue"),
+            F.sum("revenue").cast("decimal(38,8)").alias("total_revenue"),
         )
     )
 
 
+def summary_of(product_sales: DataFrame) -> DataFrame:
+    """Exact product sales with their revenue to the cent, best first."""
+    revenue = money.rounded(F.col("total_revenue"))
+    return product_sales.withColumn("total_revenue", revenue).orderBy(F.desc("total_revenue"), "product_id")
+
+
 def product_sales_summary(
     products: DataFrame, orders: DataFrame, order_items: DataFrame | None = None
 ) -> DataFrame:
@@ -195,24 +206,22 @@ def product_sales_summary(
 
     With ``order_items`` given, quantities and prices come from the items of those orders.
     """
-    return _completed_product_sales(products, orders, order_items).orderBy(
-        F.desc("total_revenue"), "product_id"
-    )
+    return summary_of(exact_product_sales(products, orders, order_items))
 
 
 def category_revenue(
     products: DataFrame, orders: DataFrame, order_items: DataFrame | None = None
 ) -> DataFrame:
-    return category_revenue_of(_completed_product_sales(products, orders, order_items))
+    return category_revenue_of(exact_product_sales(products, orders, order_items))
 
 
 def category_revenue_of(product_sales: DataFrame) -> DataFrame:
-    """Roll a product sales summary up to its categories."""
+    """Roll exact product sales up to their categories."""
     return (
         product_sales.groupBy("category")
         .agg(
             F.sum("total_quantity_sold").alias("total_items_sold"),
-            money.total(F.col("total_revenue")).alias("total_revenue"),
+            money.rounded(F.sum("total_revenue")).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "category")
     )
@@ -232,7 +241,7 @@ def customer_analytics(customers: DataFrame, orders: DataFrame, limit: int | Non
             "signup_channel",
             F.coalesce("orders", F.lit(0)).alias("total_orders"),
             F.coalesce("units", F.lit(0)).alias("total_items_purchased"),
-            F.coalesce("revenue", F.lit(0.0)).alias("total_spend"),
+            money.rounded(F.col("revenue")).alias("total_spend"),
             money.average(F.col("revenue"), F.col("priced")).alias("avg_order_spend"),
         )
         .orderBy(F.desc("total_spend"), "customer_id")
@@ -321,15 +330,15 @@ def monthly_trends(orders: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("total_orders"),
             _units().alias("total_units_sold"),
-            money.total(F.col("total_price")).alias("monthly_revenue"),
-            F.count("total_price").alias("priced"),
+            money.exact(F.col("total_price")).alias("revenue"),
+            money.counted(F.col("total_price")).alias("priced"),
         )
         .select(
             F.date_format("month", "yyyy-MM").alias("order_month"),
             "total_orders",
             "total_units_sold",
-            "monthly_revenue",
-            money.average(F.col("monthly_revenue"), F.col("priced")).alias("avg_order_value"),
+            money.rounded(F.col("revenue")).alias("monthly_revenue"),
+            money.average(F.col("revenue"), F.col("priced")).alias("avg_order_value"),
         )
         .orderBy("order_month")
     )
@@ -347,11 +356,23 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return combined
 
 
-def capped_sql(spark, query: str, cap: int = 100) -> DataFrame:
-    """Run one ad-hoc SELECT, returning at most ``cap`` rows.
+_OWN_LIMIT = re.compile(r"\blimit\b", re.IGNORECASE)
+_READS = re.compile(r"(select|with|explain)\b", re.IGNORECASE)
+
+
+def capped_sql(spark: SparkSession, query: str, cap: int = 100) -> DataFrame:
+    """Run one ad-hoc SELECT, WITH or EXPLAIN; a query without a LIMIT of its own returns at most ``cap`` rows.
 
-    Wrapped as a subquery, DDL, DML and stacked statements do not parse, and a larger LIMIT
-    in the query itself does not lift the cap.
+    Anything but a query is refused: a SELECT or WITH is run as a subquery, where DDL, DML and
+    stacked statements do not parse.
     """
-    inner = query.strip().removesuffix(";")
-    return spark.sql(f"SELECT * FROM (\n{inner}\n) capped LIMIT {int(cap)}")
+    inner = query.strip().removesuffix(";").strip()
+    found = _READS.match(inner)
+    if not found:
+        raise ValueError("only SELECT, WITH and EXPLAIN are allowed")
+    if found[1].lower() == "explain":
+        rest = re.sub(r"^(extended|codegen|cost|formatted)\s+", "", inner[found.end() :].strip(), flags=re.IGNORECASE)
+        capped_sql(spark, rest, cap)  # refuses what may not be run
+        return spark.sql(inner)
+    limit = "" if _OWN_LIMIT.search(inner) else f" LIMIT {int(cap)}"
+    return spark.sql(f"SELECT * FROM (\n{inner}\n) adhoc{limit}")

@@ -197,7 +197,7 @@ def category_drilldown(fact: DataFrame, products: DataFrame, days: DataFrame) ->
         .agg(
             F.count(F.lit(1)).alias("orders"),
             F.sum("quantity").alias("items"),
-            money.total(F.col("total_price")).alias("revenue"),
+            money.exact(F.col("total_price")).alias("revenue"),
         )
     )
     return (
@@ -206,7 +206,7 @@ def category_drilldown(fact: DataFrame, products: DataFrame, days: DataFrame) ->
         .agg(
             F.sum("orders").alias("total_orders"),
             F.sum("items").alias("total_items_sold"),
-            money.total(F.col("revenue")).alias("category_revenue"),
+            money.rounded(F.sum("revenue")).alias("category_revenue"),
         )
         .orderBy("year", "quarter", F.desc("category_revenue"), "category")
     )
@@ -217,18 +217,19 @@ def weekend_performance(fact: DataFrame, days: DataFrame) -> DataFrame:
     per_day = fact.groupBy("date_key").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("quantity").alias("items"),
-        money.total(F.col("total_price")).alias("revenue"),
+        money.exact(F.col("total_price")).alias("revenue"),
+        money.counted(F.col("total_price")).alias("priced"),
     )
     day_type = F.when(F.col("is_weekend") == 1, "Weekend").otherwise("Weekday")
-    revenue = money.total(F.col("revenue"))
+    revenue = F.sum("revenue")
     return (
         per_day.join(days.select("date_key", "is_weekend"), "date_key")
         .groupBy(day_type.alias("day_type"))
         .agg(
             F.sum("orders").alias("total_orders"),
             F.sum("items").alias("total_items_sold"),
-            revenue.alias("total_revenue"),
-            money.average(revenue, F.sum("orders")).alias("avg_order_value"),
+            money.rounded(revenue).alias("total_revenue"),
+            money.average(revenue, F.sum("priced")).alias("avg_order_value"),
         )
     )
 
@@ -246,7 +247,7 @@ def top_customers(fact: DataFrame, customers: DataFrame, limit: int = 5) -> Data
     )
     return (
         customers.select("customer_key", "name", "email")
-        .join(F.broadcast(best), "customer_key")
+        .join(best, "customer_key")
         .orderBy(F.desc("total_spend"), "customer_key")
         .select("name", "email", "total_orders", "total_spend")
     )

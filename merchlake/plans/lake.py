@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from merchlake.operators import reports
+from merchlake.session import scratch
 from merchlake.sources import files
 
 PRODUCT_SALES, CATEGORY_REVENUE = "product_sales_summary", "category_revenue"
@@ -23,13 +24,13 @@ def read_raw(spark: SparkSession, source: str) -> dict[str, DataFrame]:
 def run_lake(spark: SparkSession, source: str, target: str) -> dict[str, int]:
     """Write both summaries and return the row counts of the raw tables.
 
-    Category revenue is rolled up from the written product summary, which is therefore
-    computed once.
+    Exact product sales are computed once and written aside; both summaries are made of them.
     """
     raw = read_raw(spark, source)
     items = files.read_order_items(spark, f"{source}/order_items.csv")
-    summary = reports.product_sales_summary(raw["products"], raw["orders"], items)
-    written = files.export_to_parquet(summary, f"{target}/{PRODUCT_SALES}")
-    categories = reports.category_revenue_of(spark.read.parquet(written))
-    files.export_to_parquet(categories, f"{target}/{CATEGORY_REVENUE}")
+    sales = reports.exact_product_sales(raw["products"], raw["orders"], items)
+    with scratch(spark, "product-sales") as folder:
+        exact = spark.read.parquet(files.export_to_parquet(sales, f"{folder}/exact"))
+        files.export_to_parquet(reports.summary_of(exact), f"{target}/{PRODUCT_SALES}")
+        files.export_to_parquet(reports.category_revenue_of(exact), f"{target}/{CATEGORY_REVENUE}")
     return {r["table_name"]: r["row_count"] for r in reports.table_row_counts(raw).collect()}

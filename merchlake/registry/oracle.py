@@ -26,13 +26,13 @@ _VIEWS = {
                p_retailprice AS price, p_size AS stock
         FROM part""",
     "c_payments": f"""
-        SELECT {_LINE_ID} AS payment_id, {_LINE_ID} AS order_id, o_orderpriority AS payment_method,
+        SELECT {_LINE_ID} AS payment_id, {_LINE_ID} AS order_id,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS payment_method,
                l_extendedprice AS amount,
                CASE WHEN l_returnflag = 'R' THEN 'Refunded' WHEN o_orderstatus = 'O' THEN 'Pending'
                     ELSE 'Completed' END AS status,
                l_shipdate AS payment_date
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE o_orderpriority <> '5-LOW'""",
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "c_reviews": """
         SELECT event_id AS review_id, user_id AS customer_id,
                json_extract_string(props, '$.k')::BIGINT AS product_id,
@@ -44,17 +44,17 @@ _VIEWS = {
                floor(l_extendedprice * (1 - l_discount) * 100 + 0.5) / 100 AS total_price
         FROM lineitem""",
     "r_customers": """
-        SELECT c_custkey::VARCHAR AS customer_id, c_name AS name,
+        SELECT CASE WHEN c_acctbal >= 0 THEN '' ELSE 'X-' END || c_custkey AS customer_id, c_name AS name,
                CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_name || '@example.com' END AS email,
                CASE WHEN c_nationkey = 24 THEN '31/01/1995 00:00:00'
                     ELSE '1995-01-01 00:00:00' END AS created_at,
                c_mktsegment AS signup_channel
-        FROM customer WHERE c_acctbal >= 0""",
+        FROM customer""",
     "r_products": """
-        SELECT p_partkey::VARCHAR AS product_id, p_name AS name, p_type AS category,
-               CASE WHEN p_type = 'PROMO' THEN '0.0' ELSE p_retailprice::VARCHAR END AS price,
+        SELECT CASE WHEN p_size >= 6 THEN '' ELSE 'X-' END || p_partkey AS product_id, p_name AS name,
+               p_type AS category, CASE WHEN p_type = 'PROMO' THEN '0.0' ELSE p_retailprice::VARCHAR END AS price,
                (p_size - 10)::VARCHAR AS stock
-        FROM part WHERE p_size >= 6""",
+        FROM part""",
     "r_orders": """
         SELECT concat_ws('-', l_orderkey, l_linenumber) AS order_id, o_custkey::VARCHAR AS customer_id,
                l_partkey::VARCHAR AS product_id,
@@ -141,16 +141,25 @@ _NEEDS = {
 }
 
 
+def _exact(column: str) -> str:
+    return f"sum({column}::DECIMAL(38,10))"
+
+
 def _money(column: str) -> str:
-    return f"coalesce(sum({column}::DECIMAL(18,2)), 0)::DOUBLE"
+    return f"coalesce(round({_exact(column)}, 2), 0)::DOUBLE"
 
 
 def _cents(expression: str) -> str:
     return f"round(({expression})::DECIMAL(38,10), 2)::DOUBLE"
 
 
+def _as_double(decimal: str) -> str:
+    """The nearest double; a direct cast divides in doubles and may be one digit off."""
+    return f"({decimal})::VARCHAR::DOUBLE"
+
+
 def _average(column: str) -> str:
-    return f"coalesce({_cents(f'sum({column}::DECIMAL(18,2))::DOUBLE / count({column})')}, 0.0)"
+    return f"coalesce({_cents(f'{_as_double(_exact(column))} / count({column})')}, 0.0)"
 
 
 def _with(views: str, body: str, more: str = "") -> str:
@@ -434,7 +443,7 @@ _MERGED = """
 def _metrics(view: str) -> str:
     parts = []
     for column in ("customer_id", "product_id", "quantity", "total_price"):
-        exact = f"sum({column}::DECIMAL(18,2))::DOUBLE"
+        exact = _as_double(f"sum({column}::DECIMAL(38,8))")
         for metric, figure in (
             ("count", "count(*)"),
             ("nulls", f"count(*) - count({column})"),
@@ -506,6 +515,10 @@ _SCAN_REVIEWS = _scan(
 )
 _STATUS_COUNTS = "customers products orders payments reviews"
 
+_ADHOC = """
+    SELECT customer_id, count(*) AS order_count, sum(quantity)::BIGINT AS units
+    FROM c_orders GROUP BY customer_id ORDER BY units DESC, customer_id"""
+
 ORACLE: dict[str, str] = {
     "scan_products": _scan("c_products", "product_id", "", "name category price stock"),
     "scan_customers": _scan("c_customers", "customer_id", "created_at", "name email signup_channel"),
@@ -648,11 +661,8 @@ ORACLE: dict[str, str] = {
             FROM c_orders GROUP BY 1""",
     ),
     "analytics_summary": _with("c_customers c_products c_orders c_payments c_reviews", _SUMMARY),
-    "adhoc_capped": _with(
-        "c_orders",
-        """SELECT customer_id, count(*) AS order_count, sum(quantity)::BIGINT AS units
-           FROM c_orders GROUP BY customer_id ORDER BY units DESC, customer_id LIMIT 100""",
-    ),
+    "adhoc_capped": _with("c_orders", f"{_ADHOC} LIMIT 100"),
+    "adhoc_own_limit": _with("c_orders", f"{_ADHOC} LIMIT 500"),
     "dim_date": _with(
         "days", "SELECT * REPLACE (strftime(full_date, '%Y-%m-%d') AS full_date) FROM days"
     ),
@@ -795,6 +805,13 @@ ORACLE: dict[str, str] = {
             for t, k in _KEYS.items()
         ),
     ),
+    "etl_stored_orders": _with(
+        "s_orders c_products",
+        f"""SELECT order_id, o.customer_id::VARCHAR AS customer_id, o.product_id::VARCHAR AS product_id, quantity,
+                   {_cents("o.quantity * p.price")} AS total_price,
+                   strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, status
+            FROM s_orders o LEFT JOIN c_products p ON o.product_id = p.product_id""",
+    ),
     "lake_outputs": _with(
         "c_products c_orders",
         f"""SELECT 'product_sales_summary' AS output, product_id::VARCHAR AS item,

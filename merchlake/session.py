@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +64,19 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh path in the shared folder whose contents go when the job that needed them ends."""
+    path = fresh_path(spark, name)
+    try:
+        yield path
+    finally:
+        delete(spark, path)

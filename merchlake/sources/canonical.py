@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 # Order status by header status, for lines that were not returned.
 STATUS_OF_HEADER = {"F": "Completed", "O": "Pending", "P": "Shipped"}
 RETURNED = "R"
-NO_PAYMENT_PRIORITY = "5-LOW"
+NO_METHOD_PRIORITY = "5-LOW"
 FIRST_DAY = "1995-01-01 00:00:00"
 
 
@@ -100,17 +100,18 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    headers = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") != NO_PAYMENT_PRIORITY)
+    """One payment per order line; of orders of the lowest priority the method is not known."""
+    lines, headers = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    method = F.when(F.col("o_orderpriority") != NO_METHOD_PRIORITY, F.col("o_orderpriority"))
     status = (
         F.when(F.col("l_returnflag") == RETURNED, "Refunded")
         .when(F.col("o_orderstatus") == "O", "Pending")
         .otherwise("Completed")
     )
-    return lines.join(headers, lines.l_orderkey == headers.o_orderkey).select(
+    return lines.join(headers, lines.l_orderkey == headers.o_orderkey, "left").select(
         _line_id().alias("payment_id"),
         _line_id().alias("order_id"),
-        F.col("o_orderpriority").alias("payment_method"),
+        method.alias("payment_method"),
         F.col("l_extendedprice").alias("amount"),
         status.alias("status"),
         F.col("l_shipdate").cast("timestamp").alias("payment_date"),

@@ -1,4 +1,4 @@
-"""An earlier state of the canonical orders, to classify and merge the present ones against."""
+"""Earlier states of the canonical relations, to classify, merge and load the present ones against."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from merchlake.sources import canonical
 
 CUTOVER = "2000-07-01"
+SMALLEST_LISTED = 6
 
 
 def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,3 +34,17 @@ def orders_before(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("order_date"),
         status.alias("status"),
     )
+
+
+def customers_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as a first load found them: only those not in debt, all created on the first day."""
+    return canonical.accounts(spark, sf_dir).join(
+        canonical.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0).select("c_custkey"),
+        F.col("customer_id") == F.col("c_custkey"),
+        "left_semi",
+    ).withColumn("created_at", F.lit(canonical.FIRST_DAY).cast("timestamp"))
+
+
+def products_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog before its smallest parts were listed."""
+    return canonical.products(spark, sf_dir).filter(F.col("stock") >= SMALLEST_LISTED)

@@ -102,6 +102,11 @@ def test_money_is_exact_in_any_order_and_beyond_64_bits(spark):
         F.when(F.col("id") % 3 == 0, 0.1).when(F.col("id") % 3 == 1, -0.3).otherwise(0.7).alias("x")
     )
     assert table.agg(money.total(F.col("x"))).first()[0] == 500.0
+    small = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert small.agg(money.total(F.col("x"))).first()[0] == 4.0
+    odd = spark.createDataFrame([(float("nan"),), (1.5,), (None,), (float("inf"),)], "x double")
+    row = odd.agg(money.total(F.col("x")).alias("t"), money.counted(F.col("x")).alias("n")).first()
+    assert tuple(row) == (1.5, 1)
     huge = spark.range(4).select(F.lit(5e16).alias("x"))
     assert huge.agg(money.total(F.col("x"))).first()[0] == 2e17
     assert spark.range(0).select(F.lit(1.0).alias("x")).agg(money.total(F.col("x"))).first()[0] == 0.0
@@ -121,7 +126,12 @@ def test_capped_sql(spark):
     spark.range(300).createOrReplaceTempView("numbers")
     assert reports.capped_sql(spark, "SELECT id FROM numbers").count() == 100
     assert reports.capped_sql(spark, "SELECT id FROM numbers LIMIT 10;").count() == 10
-    assert reports.capped_sql(spark, "SELECT id FROM numbers LIMIT 250").count() == 100
+    assert reports.capped_sql(spark, "SELECT id FROM numbers LIMIT 250").count() == 250
+    assert reports.capped_sql(spark, "WITH n AS (SELECT * FROM numbers) SELECT id FROM n").count() == 100
+    assert "Range" in reports.capped_sql(spark, "EXPLAIN SELECT id FROM numbers").first()[0]
+    for refused in ("DROP VIEW numbers", "EXPLAIN DROP VIEW numbers", "SELECT 1; SELECT 2", ""):
+        with pytest.raises((ValueError, ParseException)):
+            reports.capped_sql(spark, refused).count()
     assert reports.capped_sql(spark, "WITH n AS (SELECT 'UPDATE' AS word) SELECT * FROM n").count() == 1
     for text in ("DROP VIEW numbers", "SELECT 1; SELECT 2", "INSERT INTO numbers VALUES (1)"):
         with pytest.raises(ParseException):
