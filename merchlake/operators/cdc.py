@@ -1,19 +1,19 @@
 """Change classification and key-based merge.
 
-Columns are compared as typed values after casting the delta to the current table's types.
-Both operators first reduce the current table to the keys of the delta with a semi join:
-while Spark measures the delta as small it is broadcast and the current table is not
-shuffled at all; otherwise both joins share one partitioning by key.
+Columns are compared as typed values after casting the delta to the current table's types. Both operators
+are one join on the key; for a delta known to be small they first reduce the current table to its keys,
+which broadcasts the delta and leaves the current table unshuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INSERT, UPDATE, NO_CHANGE, REJECT = "INSERT", "UPDATE", "NO_CHANGE", "REJECT"
+STALE = "STALE"  # a delta row older than the stored one; only stored tables know it
 ACTION, CHANGED = "_cdc_action", "_changed_columns"
 
 
@@ -33,23 +33,19 @@ def aligned(delta: DataFrame, current: DataFrame, sequence: str | None = None) -
 def last_per_key(delta: DataFrame, key: str, sequence: str | None = None) -> DataFrame:
     """One row per key: the last by ``sequence``, or a failure on repeated keys without it.
 
-    Grouping pre-aggregates, so a key repeated millions of times stays one row per task.
+    Keys are counted by hash; only rows of repeated keys are sorted, and of those each task keeps its
+    last before any is shuffled. Rows without a key all stay.
     """
-    # The key stays a column of its own, so that joins on it keep to this partitioning.
-    rest = F.struct(*[c for c in delta.columns if c != key])
-    grouped = delta.groupBy(key)
-    if sequence:
-        last = grouped.agg(F.max(F.struct(F.col(sequence).alias("at"), rest.alias("row"))).alias("_last"))
-    else:
-        message = F.concat(
-            F.lit("key repeated in delta, give a sequence column: "), F.col(key).cast("string")
-        )
-        counted = grouped.agg(F.max(F.struct(rest.alias("row"))).alias("_one"), F.count(F.lit(1)).alias("_n"))
-        only = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_one"))
-        last = counted.select(key, only.alias("_last"))
-    return last.select(
-        *[F.col(c) if c == key else F.col(f"_last.row.{c}").alias(c) for c in delta.columns]
-    )
+    counts = delta.filter(has_key(key)).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if not sequence:
+        message = F.concat(F.lit("key repeated in delta, give a sequence column: "), F.col(key).cast("string"))
+        fails = F.when(F.col("_rows") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
+        return delta.join(counts.filter(fails).select(key), key, "left_anti").select(delta.columns)
+    repeated = counts.filter("_rows > 1").select(key)
+    rest = [c for c in delta.columns if c not in (key, sequence)]
+    last = Window.partitionBy(key).orderBy(F.desc(sequence), *[F.desc(c) for c in rest])
+    several = delta.join(repeated, key, "left_semi").withColumn("_nth", F.row_number().over(last)).filter("_nth = 1")
+    return delta.join(repeated, key, "left_anti").select(delta.columns).unionByName(several.select(delta.columns))
 
 
 def rejects(delta: DataFrame, key: str) -> DataFrame:
@@ -57,32 +53,42 @@ def rejects(delta: DataFrame, key: str) -> DataFrame:
     return delta.filter(~has_key(key))
 
 
-def _matched(current: DataFrame, delta: DataFrame, key: str, ignore: Sequence[str]) -> DataFrame:
-    """Each delta row beside its current row (``_old``, NULL if new), classified."""
-    keys = delta.select(F.col(key).alias("_delta_key"))
-    touched = current.join(keys, F.col(key) == F.col("_delta_key"), "left_semi")
-    old = touched.select(F.col(key).alias("_old_key"), F.struct(*current.columns).alias("_old"))
-    compared = [c for c in delta.columns if c in current.columns and c != key and c not in ignore]
+def _touched(current: DataFrame, delta: DataFrame, key: str, small_delta: bool) -> DataFrame:
+    """The current rows that the delta may meet: all, or for a small delta those with its keys."""
+    if not small_delta:
+        return current
+    return current.join(delta.select(F.col(key).alias("_delta_key")), F.col(key) == F.col("_delta_key"), "left_semi")
+
+
+def _differing(columns: Sequence[str], current: DataFrame, key: str, ignore: Sequence[str]) -> Column:
+    """Names of the shared columns that differ between a delta row and its current row, ``_old``."""
+    compared = [c for c in columns if c in current.columns and c != key and c not in ignore]
+    none = F.array().cast("array<string>")
+    if not compared:
+        return none
     differing = F.array_compact(
         F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_old.{c}")), F.lit(c)) for c in compared])
     )
-    none = F.array().cast("array<string>")
-    changed = F.when(F.col("_old").isNull(), none).otherwise(differing if compared else none)
-    action = (
-        F.when(F.col("_old").isNull(), INSERT).when(F.size(CHANGED) > 0, UPDATE).otherwise(NO_CHANGE)
-    )
+    return F.when(F.col("_old").isNull(), none).otherwise(differing)
+
+
+def _action(key: str) -> Column:
     return (
-        delta.join(old, F.col(key) == F.col("_old_key"), "left")
-        .drop("_old_key")
-        .withColumn(CHANGED, changed)
-        .withColumn(ACTION, action)
+        F.when(~has_key(key), REJECT)
+        .when(F.col("_old").isNull(), INSERT)
+        .when(F.size(CHANGED) > 0, UPDATE)
+        .otherwise(NO_CHANGE)
     )
 
 
+def _old(current: DataFrame, key: str) -> DataFrame:
+    return current.select(F.col(key).alias("_old_key"), F.struct(*current.columns).alias("_old"))
+
+
 def _prepared(
     current: DataFrame, delta: DataFrame, key: str, sequence: str | None, unique: bool = False
 ) -> DataFrame:
-    ready = aligned(delta, current, sequence).filter(has_key(key))
+    ready = aligned(delta, current, sequence)
     if not unique:
         ready = last_per_key(ready, key, sequence)
     return ready.drop(sequence) if sequence and sequence not in current.columns else ready
@@ -94,20 +100,23 @@ def classify(
     key: str,
     sequence: str | None = None,
     ignore: Sequence[str] = (),
+    small_delta: bool = False,
 ) -> DataFrame:
     """Delta rows tagged with ``_cdc_action`` and the array ``_changed_columns``.
 
     A row is an INSERT if its key is new, an UPDATE if a shared column differs, else a
-    NO_CHANGE; rows without a key are tagged REJECT.
+    NO_CHANGE; rows without a key are tagged REJECT. ``small_delta`` reduces the current table to the
+    delta's keys first, so that it need not be shuffled while the delta can be broadcast.
     """
     ready = _prepared(current, delta, key, sequence)
-    tagged = _matched(current, ready, key, ignore).drop("_old")
-    without_key = rejects(aligned(delta, current, sequence), key).select(
-        *ready.columns,
-        F.array().cast("array<string>").alias(CHANGED),
-        F.lit(REJECT).alias(ACTION),
+    old = _old(_touched(current, ready, key, small_delta), key)
+    return (
+        ready.join(old, F.col(key) == F.col("_old_key"), "left")
+        .drop("_old_key")
+        .withColumn(CHANGED, _differing(ready.columns, current, key, ignore))
+        .withColumn(ACTION, _action(key))
+        .drop("_old")
     )
-    return tagged.unionByName(without_key)
 
 
 def summary(classified: DataFrame) -> DataFrame:
@@ -122,35 +131,32 @@ def summary(classified: DataFrame) -> DataFrame:
     )
 
 
-def merge_tagged(
-    current: DataFrame,
-    delta: DataFrame,
-    key: str,
-    sequence: str | None = None,
-    ignore: Sequence[str] = (),
-    unique: bool = False,
+def merge(
+    current: DataFrame, delta: DataFrame, key: str, sequence: str | None = None, small_delta: bool = False
 ) -> DataFrame:
-    """The merged table with ``_cdc_action`` on the rows that came from the delta.
+    """Current rows overlaid by the delta; columns the delta lacks keep their value.
 
-    ``unique`` skips the reduction to one row per key, for a delta known to have no more.
+    One full outer join. For a ``small_delta`` the rows it meets and the rows it does not are found by
+    its keys instead, which leaves the current table unshuffled while the delta can be broadcast.
     """
-    ready = _prepared(current, delta, key, sequence, unique)
-    tagged = _matched(current, ready, key, ignore)
-    merged = tagged.select(
+    ready = _prepared(current, delta, key, sequence).filter(has_key(key))
+    kept = [c for c in current.columns if c not in ready.columns]
+    if small_delta:
+        old = _old(_touched(current, ready, key, True), key)
+        met = ready.join(old, F.col(key) == F.col("_old_key"), "left").select(
+            *[F.col(f"_old.{c}").alias(c) if c in kept else F.col(c) for c in current.columns]
+        )
+        keys = ready.select(F.col(key).alias("_delta_key"))
+        untouched = current.join(keys, F.col(key) == F.col("_delta_key"), "left_anti")
+        return untouched.unionByName(met)
+    new = ready.select(*[F.col(c).alias(f"_new_{c}") for c in ready.columns], F.lit(True).alias("_new"))
+    given = F.col("_new").isNotNull()
+    return current.join(new, F.col(key) == F.col(f"_new_{key}"), "full").select(
         *[
-            F.col(c) if c in ready.columns else F.col(f"_old.{c}").alias(c)
+            F.col(c) if c in kept else F.when(given, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             for c in current.columns
-        ],
-        ACTION,
+        ]
     )
-    keys = ready.select(F.col(key).alias("_delta_key"))
-    untouched = current.join(keys, F.col(key) == F.col("_delta_key"), "left_anti")
-    return untouched.withColumn(ACTION, F.lit(None).cast("string")).unionByName(merged)
-
-
-def merge(current: DataFrame, delta: DataFrame, key: str, sequence: str | None = None) -> DataFrame:
-    """Current rows overlaid by the delta; columns the delta lacks keep their value."""
-    return without_tags(merge_tagged(current, delta, key, sequence))
 
 
 def without_tags(table: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from merchlake.functions.text import is_moment, missing_as_null
@@ -362,17 +362,21 @@ def _table_error(signal: DataFrame, name: str, error: str) -> DataFrame:
     )
 
 
-def require_valid(tables: dict[str, DataFrame], shown: int = 20) -> None:
-    """Raise with the number of errors and the first few of them, if there are any."""
-    errors = violations(tables)
-    per_kind = errors.groupBy("dataset", "error").count().collect()
-    if per_kind:
-        number = sum(row["count"] for row in per_kind)
-        sample = [
-            f"{r['error']} in {r['dataset']} {r['row_id'] or ''} ({r['value']})"
-            for r in errors.limit(shown).collect()
-        ]
-        raise DataQualityError(f"{number} errors, among them: {sample}")
+def write_findings(findings: DataFrame, path: str) -> int:
+    """Write all rows of a list of findings as Parquet and return their number."""
+    seen = Observation()
+    findings.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+def require_valid(tables: dict[str, DataFrame], path: str) -> None:
+    """Write all errors of typed tables to ``path`` and raise if there are any."""
+    errors = write_findings(violations(tables), path)
+    if errors:
+        spark = next(iter(tables.values())).sparkSession
+        kinds = spark.read.parquet(path).groupBy("dataset", "error").count().collect()
+        listed = ", ".join(sorted(f"{k['error']} in {k['dataset']}: {k['count']}" for k in kinds))
+        raise DataQualityError(f"{errors} errors ({listed}), all listed in {path}")
 
 
 # --- load constraints -------------------------------------------------------------------
@@ -420,8 +424,3 @@ def load_verification(source: dict[str, DataFrame], stored: dict[str, DataFrame]
             ).select(F.lit(name).alias("table_name"), "source_count", "stored_count")
         )
     return _union(lines).withColumn("matched", F.col("source_count") == F.col("stored_count"))
-
-
-def report_of(spark: SparkSession, path: str) -> DataFrame:
-    """A written audit report."""
-    return spark.read.json(path)

@@ -126,8 +126,12 @@ def _resolved(
     partitioned by order. A hot customer or product is split by the adaptive
     skew join; the calendar is matched on a key computed from the date.
     """
-    latest = payments.groupBy("order_id").agg(
-        F.max(F.struct("payment_date", "payment_id", "payment_method")).alias("latest")
+    newest = Window.partitionBy("order_id").orderBy(F.desc("payment_date"), F.desc("payment_id"), F.desc("payment_method"))
+    latest = (
+        payments.select("order_id", "payment_date", "payment_id", "payment_method")
+        .withColumn("_nth", F.row_number().over(newest))
+        .filter("_nth = 1")
+        .select("order_id", "payment_method")
     )
     return (
         orders.join(latest, "order_id", "left")
@@ -156,7 +160,7 @@ def fact_sales(
         money.per_unit(F.col("total_price"), F.col("quantity")).alias("unit_price"),
         "total_price",
         F.col("status").alias("order_status"),
-        F.coalesce("latest.payment_method", F.lit(UNKNOWN_METHOD)).alias("payment_method"),
+        F.coalesce("payment_method", F.lit(UNKNOWN_METHOD)).alias("payment_method"),
     )
 
 

@@ -1,98 +1,192 @@
 """Parquet tables with insert-or-update by primary key.
 
-Rows are laid out in hash buckets of their key, one folder per bucket. An upsert reads only
-the buckets its delta falls into, writes their complete new contents beside the table, and
-then moves those folders into place. Contents that are complete but not yet all in place
-(the driver died in between) are moved by the next call. The bucket count is part of the
-folder name (``bucket_64=13``); choose it so that a bucket holds about a gigabyte.
+Rows lie in hash buckets of their key. Below the table's path, ``data/<version>`` folders hold buckets and
+``commits/<number>.json`` files name the folder of every bucket. Readers follow the highest complete
+commit and change nothing. An upsert writes the new contents of the buckets its delta falls into to a
+version folder of its own and then adds the next commit, which no two writers can both do; the one who
+comes second starts over from the other's commit. What a lost driver left behind is in no commit and is
+deleted by ``vacuum``. Choose the bucket count so that a bucket holds about a gigabyte.
+
+Rows without a key are kept beside the table (``rejects``). With a ``sequence`` column, the last value
+applied to a row is stored with it, and a delta row with a lower one changes nothing.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from merchlake.operators import cdc
-from merchlake.sources.files import exists, hadoop_path
+from merchlake.session import delete
+from merchlake.sources.files import hadoop_path
 
-_PREFIX = "bucket_"
+_BUCKET, _SEQUENCE = "__bucket", "__sequence"
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"  # the folder Spark writes rows with a NULL bucket to
+_ACTIONS = (cdc.INSERT, cdc.UPDATE, cdc.NO_CHANGE, cdc.STALE, cdc.REJECT)
+_ATTEMPTS = 5
 
 
-def _bucket_column(table: DataFrame) -> str:
-    return next(c for c in table.columns if c.startswith(_PREFIX))
+class ConcurrentWriteError(RuntimeError):
+    """Other writers kept committing first."""
 
 
-def _with_bucket(table: DataFrame, key: str, column: str) -> DataFrame:
-    count = int(column.removeprefix(_PREFIX))
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(count)).cast("int")
-    return table.withColumn(column, F.when(cdc.has_key(key), bucket))
+@dataclass
+class _Commit:
+    number: int
+    buckets: int
+    schema: StructType  # the table's columns, and the stored sequence if there is one
+    folders: dict[str, str] = field(default_factory=dict)  # bucket -> version
+    rejects: list[str] = field(default_factory=list)  # versions
+    batches: dict[str, list] = field(default_factory=dict)  # source -> [last number, its result]
 
+    @property
+    def columns(self) -> list[str]:
+        return [name for name in self.schema.fieldNames() if name != _SEQUENCE]
 
-def _beside(path: str, what: str) -> str:
-    return f"{path.rstrip('/')}__{what}"
+    def text(self) -> str:
+        return json.dumps({**vars(self), "schema": self.schema.jsonValue(), "complete": True})
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    return exists(spark, f"{path}/_SUCCESS")
+def _commit_path(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/commits/{number:012d}.json"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target, store = hadoop_path(spark, path)
-    store.delete(target, True)
+def _commit_numbers(spark: SparkSession, path: str) -> list[int]:
+    folder, store = hadoop_path(spark, f"{path.rstrip('/')}/commits")
+    if not store.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    return sorted((int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n)), reverse=True)
+
+
+def _read_commit(spark: SparkSession, path: str, number: int) -> _Commit | None:
+    try:
+        stored = json.loads(spark.read.text(_commit_path(path, number), wholetext=True).first()[0])
+    except (ValueError, TypeError):
+        return None  # its writer was lost in the middle
+    if not stored.pop("complete", False):
+        return None
+    return _Commit(**{**stored, "schema": StructType.fromJson(stored["schema"])})
+
+
+def _latest(spark: SparkSession, path: str) -> _Commit | None:
+    for number in _commit_numbers(spark, path):
+        if found := _read_commit(spark, path, number):
+            return found
+    return None
+
+
+def _add_commit(spark: SparkSession, path: str, commit: _Commit) -> bool:
+    """Write the commit unless its number is taken."""
+    target, store = hadoop_path(spark, _commit_path(path, commit.number))
+    try:
+        out = store.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(commit.text().encode())
+    out.close()
+    return True
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    return _latest(spark, path) is not None
+
+
+def _folder(path: str, version: str, bucket: str) -> str:
+    return f"{path.rstrip('/')}/data/{version}/{_BUCKET}={bucket}"
+
+
+def _rows(spark: SparkSession, path: str, commit: _Commit, folders: dict[str, str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], commit.schema)
+    paths = [_folder(path, version, bucket) for bucket, version in folders.items()]
+    return spark.read.schema(commit.schema).parquet(*paths)
 
 
 def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The table's rows; with a schema given, a table never written to reads as empty."""
-    _move_into_place(spark, path)
-    if schema is not None and not _complete(spark, path):
+    commit = _latest(spark, path)
+    if commit is None:
+        if schema is None:
+            raise FileNotFoundError(f"no table at {path}")
         return spark.createDataFrame([], schema)
-    stored = spark.read.parquet(path)
-    return stored.drop(_bucket_column(stored))
+    return _rows(spark, path, commit, commit.folders).select(commit.columns)
+
+
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that came without a key."""
+    commit = _latest(spark, path)
+    if commit is None:
+        raise FileNotFoundError(f"no table at {path}")
+    if not commit.rejects:
+        return spark.createDataFrame([], commit.schema).select(commit.columns)
+    paths = [_folder(path, version, _NO_KEY) for version in commit.rejects]
+    return spark.read.schema(commit.schema).parquet(*paths).select(commit.columns)
+
+
+def batches(spark: SparkSession, path: str) -> dict[str, tuple[int, dict[str, int]]]:
+    """The last batch applied from each source, with its summary."""
+    commit = _latest(spark, path)
+    return {source: (number, result) for source, (number, result) in commit.batches.items()} if commit else {}
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete what only commits before the last ``keep`` name, and what no commit names.
+
+    No writer may be at work; readers of the kept commits are not disturbed.
+    """
+    numbers = _commit_numbers(spark, path)
+    kept = [c for n in numbers if (c := _read_commit(spark, path, n))][:keep]
+    used = {version for commit in kept for version in (*commit.folders.values(), *commit.rejects)}
+    for part in ("data", "staging"):
+        folder, store = hadoop_path(spark, f"{path.rstrip('/')}/{part}")
+        for status in store.listStatus(folder) if store.exists(folder) else ():
+            if part == "staging" or status.getPath().getName() not in used:
+                store.delete(status.getPath(), True)
+    for number in set(numbers) - {commit.number for commit in kept}:
+        delete(spark, _commit_path(path, number))
 
 
-def _write_buckets(table: DataFrame, path: str, column: str) -> dict[str, int]:
+def _bucket_of(key: str, buckets: int) -> Column:
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    return F.when(cdc.has_key(key), bucket).alias(_BUCKET)
+
+
+def _write(table: DataFrame, target: str) -> dict[str, int]:
     """Write a tagged table by bucket, without the tag, and count the tags.
 
     The count is taken in the tasks that write, after the last exchange, where every task
     counts once however often it is tried.
     """
     seen = Observation()
-    tags = (cdc.INSERT, cdc.UPDATE, cdc.NO_CHANGE)
-    counted = table.hint("rebalance", column).observe(
-        seen, *[F.count_if(F.col(cdc.ACTION) == tag).alias(tag) for tag in tags]
-    )
-    (
-        counted.drop(cdc.ACTION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(column)
-        .parquet(path)
+    counted = table.hint("rebalance", _BUCKET).observe(
+        seen, *[F.count_if(F.col(cdc.ACTION) == action).alias(action) for action in _ACTIONS]
     )
+    counted.drop(cdc.ACTION).write.partitionBy(_BUCKET).parquet(target)
     return dict(seen.get)
 
 
-def _move_into_place(spark: SparkSession, path: str) -> None:
-    """Move complete staged buckets over those of the table, folder by folder."""
-    stage = _beside(path, "stage")
-    if not _complete(spark, stage):
-        return
-    staged, store = hadoop_path(spark, stage)
+def _with_sequence(delta: DataFrame, sequence: str | None, columns: Sequence[str]) -> DataFrame:
+    """The delta with its sequence under the stored name; the column itself stays only if the table has it."""
+    if not sequence:
+        return delta
+    return delta.withColumn(_SEQUENCE, F.col(sequence)).select(*[c for c in delta.columns if c in columns], _SEQUENCE)
 
-    def move(source) -> None:
-        target, _ = hadoop_path(spark, f"{path}/{source.getName()}")
-        store.delete(target, True)
-        if not store.rename(source, target):
-            raise OSError(f"cannot move {source} to {target}")
 
-    folders = [status.getPath() for status in store.listStatus(staged)]
-    with ThreadPoolExecutor(16) as pool:
-        list(pool.map(move, [f for f in folders if f.getName().startswith(_PREFIX)]))
-    store.delete(staged, True)
-    spark.catalog.refreshByPath(path)
+def _result(counts: dict[str, int]) -> dict[str, int]:
+    result = {action: counts.get(action, 0) for action in _ACTIONS}
+    result["total_delta_records"] = sum(result.values())
+    return result
 
 
 def upsert(
@@ -108,91 +202,141 @@ def upsert(
 ) -> dict[str, int]:
     """Insert or update the delta's rows and return the change summary.
 
-    ``buckets`` is for a new table. A ``batch`` (its source and number) already recorded for
-    this table makes the call a no-op. ``ignore`` names columns whose change alone is no update. ``unique``
-    says that every row has a key of its own, which spares the check.
+    ``buckets`` is for a new table. A ``batch`` (its source and number) that is not above the last one
+    recorded from its source makes the call a no-op. ``ignore`` names columns whose change alone is no
+    update. ``unique`` says that no key repeats, which spares the check; rows without a key are rejected
+    either way.
     """
-    _move_into_place(spark, path)
-    if batch is not None:
-        recorded = _recorded(spark, path, batch)
-        if recorded is not None:
-            return recorded
-
-    if unique and not _complete(spark, path):
-        column = f"{_PREFIX}{buckets}"
-        new = _with_bucket(delta.withColumn(cdc.ACTION, F.lit(cdc.INSERT)), key, column)
-        result = _result(_write_buckets(new, path, column), 0)
-    else:
-        result = _merge_staged(spark, path, delta, key, sequence, buckets, ignore, unique)
-    if batch is not None:
-        _record(spark, path, batch, result)
-    return result
-
-
-def _merge_staged(
+    for _ in range(_ATTEMPTS):
+        base = _latest(spark, path)
+        if batch and base and batch[0] in base.batches:
+            number, result = base.batches[batch[0]]
+            if batch[1] <= number:
+                return result if batch[1] == number else _result({})
+        version = uuid.uuid4().hex
+        if base is None:
+            commit, result = _first_load(path, delta, key, sequence, buckets, unique, version)
+        else:
+            commit, result = _merge(spark, path, base, delta, key, sequence, ignore, unique, version)
+        if batch:
+            commit = commit or _Commit(**{**vars(base), "number": base.number + 1, "batches": dict(base.batches)})
+            commit.batches[batch[0]] = [batch[1], result]
+        if commit is None:
+            return result
+        # A number whose writer was lost in the middle stays taken.
+        later = [n for n in _commit_numbers(spark, path) if n >= commit.number]
+        commit.number = max([commit.number - 1, *(n for n in later if _read_commit(spark, path, n) is None)]) + 1
+        if _add_commit(spark, path, commit):
+            return result
+        delete(spark, f"{path.rstrip('/')}/data/{version}")
+    raise ConcurrentWriteError(f"{path}: other writers committed first {_ATTEMPTS} times")
+
+
+def _reduced(delta: DataFrame, key: str, sequence: str | None, unique: bool) -> DataFrame:
+    return delta if unique else cdc.last_per_key(delta, key, sequence)
+
+
+def _version_buckets(spark: SparkSession, target: str) -> list[str]:
+    folder, store = hadoop_path(spark, target)
+    names = [status.getPath().getName() for status in store.listStatus(folder)] if store.exists(folder) else []
+    return [name.partition("=")[2] for name in names if name.startswith(f"{_BUCKET}=")]
+
+
+def _first_load(
+    path: str, delta: DataFrame, key: str, sequence: str | None, buckets: int, unique: bool, version: str
+) -> tuple[_Commit, dict[str, int]]:
+    spark = delta.sparkSession
+    ready = _with_sequence(_reduced(delta, key, sequence, unique), sequence, delta.columns)
+    action = F.when(cdc.has_key(key), cdc.INSERT).otherwise(cdc.REJECT).alias(cdc.ACTION)
+    target = f"{path.rstrip('/')}/data/{version}"
+    counts = _write(ready.select("*", action, _bucket_of(key, buckets)), target)
+    written = _version_buckets(spark, target)
+    folders = {bucket: version for bucket in written if bucket != _NO_KEY}
+    schema = StructType([StructField(f.name, f.dataType, True) for f in ready.schema.fields])
+    return _Commit(1, buckets, schema, folders, [version] * (_NO_KEY in written)), _result(counts)
+
+
+def _merge(
     spark: SparkSession,
     path: str,
+    base: _Commit,
     delta: DataFrame,
     key: str,
     sequence: str | None,
-    buckets: int,
     ignore: Sequence[str],
     unique: bool,
-) -> dict[str, int]:
-    """Write the delta down, one row per key, so that it is computed once, and merge it."""
-    stored = spark.read.parquet(path) if _complete(spark, path) else None
-    column = f"{_PREFIX}{buckets}" if stored is None else _bucket_column(stored)
-    if stored is not None:
-        delta = cdc.aligned(delta, stored.drop(column), sequence)
-    keyed = delta.filter(cdc.has_key(key))
-    ready = keyed if unique else cdc.last_per_key(keyed, key, sequence)
-    staged_delta = _beside(path, "delta")
-    marked = ready if unique else ready.unionByName(cdc.rejects(delta, key))
-    _with_bucket(marked, key, column).write.mode("overwrite").parquet(staged_delta)
-    ready = spark.read.parquet(staged_delta)
-
-    # At most one number per bucket comes to the driver.
-    spread = ready.groupBy(column).count().collect()
-    hit = [row[0] for row in spread if row[0] is not None]
-    without_key = sum(row["count"] for row in spread if row[0] is None)
-    ready = ready.filter(F.col(column).isNotNull()).drop(column)
-    if not hit:
-        counts: dict[str, int] = {}
-    elif stored is None:
-        new = _with_bucket(ready.withColumn(cdc.ACTION, F.lit(cdc.INSERT)), key, column)
-        counts = _write_buckets(new, path, column)
-    else:
-        current = stored.filter(F.col(column).isin(hit)).drop(column)
-        ready = ready.select(*[c for c in ready.columns if c in current.columns])
-        merged = cdc.merge_tagged(current, ready, key, ignore=ignore, unique=True)
-        stage = _beside(path, "stage")
-        counts = _write_buckets(_with_bucket(merged, key, column), stage, column)
-        if counts[cdc.INSERT] + counts[cdc.UPDATE] > 0 or ignore:
-            _move_into_place(spark, path)
-        else:
-            _delete(spark, stage)
-    _delete(spark, staged_delta)
-    return _result(counts, without_key)
-
-
-def _result(counts: dict[str, int], without_key: int) -> dict[str, int]:
-    result = {action: counts.get(action, 0) for action in (cdc.INSERT, cdc.UPDATE, cdc.NO_CHANGE)}
-    result[cdc.REJECT] = without_key
-    result["total_delta_records"] = sum(result.values())
-    return result
-
-
-def _recorded(spark: SparkSession, path: str, batch: tuple[str, int]) -> dict[str, int] | None:
-    log = _beside(path, "batches")
-    if not _complete(spark, log):
-        return None
-    source, number = batch
-    same = (F.col("source") == source) & (F.col("batch") == number)
-    found = spark.read.parquet(log).filter(same).drop("source", "batch").first()
-    return found.asDict() if found else None
-
+    version: str,
+) -> tuple[_Commit | None, dict[str, int]]:
+    """Write the delta down, one row per key, so that it is computed once, and merge it in one join."""
+    target, staged = f"{path.rstrip('/')}/data/{version}", f"{path.rstrip('/')}/staging/{version}"
+    empty = spark.createDataFrame([], base.schema).select(base.columns)
+    ready = _reduced(cdc.aligned(delta, empty, sequence), key, sequence, unique)
+    ready = _with_sequence(ready, sequence, base.columns)
+    ready.select("*", _bucket_of(key, base.buckets)).write.parquet(staged)
+    try:
+        ready = spark.read.parquet(staged)
+        # At most one number per bucket comes to the driver.
+        hit = {str(row[0]) for row in ready.select(_BUCKET).distinct().collect()}
+        current = _rows(spark, path, base, {b: v for b, v in base.folders.items() if b in hit})
+        stored_type = next((f.dataType for f in base.schema.fields if f.name == _SEQUENCE), None)
+        if sequence and stored_type is None:
+            stored_type = ready.schema[_SEQUENCE].dataType
+            current = current.withColumn(_SEQUENCE, F.lit(None).cast(stored_type))
+        merged = _merged(current, ready, base.columns, key, stored_type, ignore)
+        counts = _write(merged.select("*", _bucket_of(key, base.buckets)), target)
+    finally:
+        delete(spark, staged)
+    result = _result(counts)
+    changes = any(result[action] for action in (cdc.INSERT, cdc.UPDATE, cdc.REJECT))
+    if not changes and not sequence and not ignore:
+        delete(spark, target)
+        return None, result
+    written = _version_buckets(spark, target)
+    schema = base.schema
+    if stored_type is not None and _SEQUENCE not in schema.fieldNames():
+        schema = StructType([*schema.fields, StructField(_SEQUENCE, stored_type, True)])
+    folders = base.folders | {bucket: version for bucket in written if bucket != _NO_KEY}
+    rejected = base.rejects + [version] * (_NO_KEY in written)
+    return _Commit(base.number + 1, base.buckets, schema, folders, rejected, dict(base.batches)), result
+
+
+def _merged(
+    current: DataFrame, delta: DataFrame, columns: list[str], key: str, stored_type, ignore: Sequence[str]
+) -> DataFrame:
+    """Every row of the buckets and every delta row, tagged, from one full outer join on the key."""
+    given = [c for c in delta.columns if c != _BUCKET]
+    new = delta.select(*[F.col(c).alias(f"_new_{c}") for c in given], F.lit(True).alias("_new"))
+    joined = current.join(new, F.col(key) == F.col(f"_new_{key}"), "full")
+    is_old, has_new = F.col(key).isNotNull(), F.col("_new").isNotNull()
+    stale = F.lit(False)
+    if stored_type is not None and _SEQUENCE in given:
+        stale = F.coalesce(is_old & (F.col(f"_new_{_SEQUENCE}").cast(stored_type) < F.col(_SEQUENCE)), F.lit(False))
+    applies = ~stale & F.coalesce(cdc.has_key(f"_new_{key}"), F.lit(False))
+    compared = [c for c in given if c in columns and c != key and c not in ignore]
+    differs = F.lit(False)
+    for column in compared:
+        differs = differs | ~F.col(column).eqNullSafe(F.col(f"_new_{column}"))
+    action = (
+        F.when(~has_new, None)
+        .when(~cdc.has_key(f"_new_{key}"), cdc.REJECT)
+        .when(~is_old, cdc.INSERT)
+        .when(stale, cdc.STALE)
+        .when(differs, cdc.UPDATE)
+        .otherwise(cdc.NO_CHANGE)
+    )
+    taken = applies | ~is_old
+
+    def value(column: str) -> Column:
+        if column not in given:
+            return F.col(column)
+        return F.when(taken, F.col(f"_new_{column}")).otherwise(F.col(column)).alias(column)
+
+    out = [value(c) for c in columns]
+    if stored_type is not None:
+        old = F.col(_SEQUENCE)
+        if _SEQUENCE in given:
+            fresh = F.col(f"_new_{_SEQUENCE}").cast(stored_type)
+            old = F.when(taken, F.coalesce(fresh, old)).otherwise(old)
+        out.append(old.alias(_SEQUENCE))
+    return joined.select(*out, action.alias(cdc.ACTION))
 
-def _record(spark: SparkSession, path: str, batch: tuple[str, int], result: dict[str, int]) -> None:
-    schema = "source string, batch bigint, " + ", ".join(f"`{name}` bigint" for name in result)
-    line = spark.createDataFrame([(*batch, *result.values())], schema)
-    line.coalesce(1).write.mode("append").parquet(_beside(path, "batches"))

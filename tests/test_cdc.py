@@ -88,7 +88,7 @@ def test_small_delta_leaves_the_current_table_unshuffled(spark):
     current, present = history.orders_before(spark, SMALL), canonical.orders(spark, SMALL)
     path = files.export_to_parquet(present, f"{spark.conf.get('spark.checkpoint.dir', '/tmp')}/present-{id(present)}")
     delta = spark.createDataFrame([("1-1-1-1", "Shipped")], "order_id string, status string")
-    merged = cdc.merge(spark.read.parquet(path), delta, "order_id")
+    merged = cdc.merge(spark.read.parquet(path), delta, "order_id", small_delta=True)
     merged.collect()
     plan = merged._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
@@ -117,9 +117,32 @@ def test_stream_of_deltas(spark, work, current):
     _write_delta(spark, deltas, [("ORD003", "CUST03", 1.0, "Shipped", 5), ("ORD003", "CUST03", 2.0, "Shipped", 4)])
     expected = [CURRENT[0], DELTA[1], ("ORD003", "CUST03", 1.0, "Shipped")]
     assert run() == expected
-    log = spark.read.parquet(f"{target}__batches")
-    assert sorted((r.batch, r.INSERT, r.UPDATE) for r in log.collect()) == [(0, 1, 1), (1, 0, 1)]
-    assert run() == expected and log.count() == 2
+    (number, last), = keyed_table.batches(spark, target).values()
+    assert (number, last["INSERT"], last["UPDATE"]) == (1, 0, 1)
+    assert run() == expected and len(keyed_table.batches(spark, target)) == 1
+    # A delta that comes late does not overwrite what is newer.
+    _write_delta(spark, deltas, [("ORD003", "CUST03", 7.0, "Pending", 2), ("ORD002", "CUST02", 8.0, "Shipped", 3)])
+    expected = [CURRENT[0], ("ORD002", "CUST02", 8.0, "Shipped"), expected[2]]
+    assert run() == expected
+    (number, last), = keyed_table.batches(spark, target).values()
+    assert (number, last["UPDATE"], last["STALE"]) == (2, 1, 1)
     # A new query on the same table is not taken for a repeated one.
     _write_delta(spark, deltas, [("ORD009", "CUST09", 9.0, "Shipped", 9)])
     assert run(f"{work}/checkpoint2") == [*expected, ("ORD009", "CUST09", 9.0, "Shipped")]
+
+
+def test_plans_sort_no_aggregate(spark):
+    earlier, present = history.orders_before(spark, SMALL), canonical.orders(spark, SMALL)
+    for frame in (
+        cdc.classify(earlier, present, "order_id", "total_price"),
+        cdc.merge(earlier, present, "order_id", "total_price"),
+    ):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_and_large_deltas_merge_alike(spark, current, delta):
+    more = delta.unionByName(spark.createDataFrame([("", "C", 1.0, "s"), (None, "C", 1.0, "s")], SCHEMA)).drop("customer_id")
+    one, other = (cdc.merge(current, more, "order_id", small_delta=small) for small in (False, True))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+    tags = [_actions(cdc.classify(current, more, "order_id", small_delta=small)) for small in (False, True)]
+    assert tags[0] == tags[1] and tags[0][None] == ("REJECT", [])

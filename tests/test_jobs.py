@@ -86,6 +86,27 @@ def test_report_files(spark, work, tables):
 
 
 def test_registered_queries_have_sql():
-    from __spark_entry__ import oracle_sql, queries
+    from merchlake.registry.oracle import ORACLE
+    from merchlake.registry.queries import queries
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) == set(ORACLE)
+
+
+def test_padded_keys_end_as_one_row(spark, work):
+    first = CLEAN["orders"][0]
+    padded = ("ORD-1 ", *first[1:5], first[5].replace(hour=10), "Shipped")
+    files.write_tables_csv(frames(spark, {**CLEAN, "orders": [*CLEAN["orders"], padded]}), f"{work}/raw")
+    done = etl.run_etl(spark, f"{work}/raw", work, buckets=2)
+    assert done["row_counts"]["orders"] == 2
+    stored = {r.order_id: r.status for r in etl.stored_tables(spark, work)["orders"].collect()}
+    assert stored == {"ORD-1": "Shipped", "ORD-2": "Cancelled"}
+
+
+def test_halt_lists_every_row_at_fault(spark, work):
+    when = CLEAN["reviews"][0][5]
+    bad = [(f"REV-{n}", "CUST-1", "PROD-1", 99, "t", when) for n in range(60)]
+    files.write_tables_csv(frames(spark, {**CLEAN, "reviews": bad}), f"{work}/raw")
+    with pytest.raises(etl.EtlError, match="60 data quality issues"):
+        etl.run_etl(spark, f"{work}/raw", work)
+    listed = spark.read.parquet(etl.violations_path(work)).filter("error = 'invalid rating'")
+    assert listed.count() == 60

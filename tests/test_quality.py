@@ -113,14 +113,15 @@ def test_stored_reference_check_skips_nulls(spark, tables):
     assert [(r.dataset, r.row_id, r.missing_key) for r in rows] == [("orders", "ORD-1", "CUST-X")]
 
 
-def test_fail_fast(spark, tables):
-    quality.require_valid(tables)
+def test_fail_fast(spark, tables, work):
+    quality.require_valid(tables, f"{work}/errors")
     broken = frames(
         spark,
         {**CLEAN, "orders": [("ORD-1", "CUST-NONEXISTENT", "PROD-1", 0, 20.0, at("2025-02-01 09:00:00"), "")] * 2},
     )
     with pytest.raises(quality.DataQualityError, match="Broken FK"):
-        quality.require_valid(broken)
+        quality.require_valid(broken, f"{work}/errors")
+    assert spark.read.parquet(f"{work}/errors").count() == quality.violations(broken).count()
     errors = {(r.dataset, r.error): r["count"] for r in
               quality.violations(broken).groupBy("dataset", "error").count().collect()}
     assert errors == {

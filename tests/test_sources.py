@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
@@ -84,12 +85,12 @@ def test_upsert_is_idempotent_and_touches_only_its_buckets(spark, work, tables):
     path = f"{work}/orders"
     first = keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=16)
     assert first["INSERT"] == 2
-    before = {f: f.stat().st_mtime_ns for f in __import__("pathlib").Path(path).rglob("*.parquet")}
+    before = {f: f.read_bytes() for f in Path(path).rglob("*.parquet")}
     delta = tables["orders"].filter("order_id = 'ORD-2'").withColumn("status", F.lit("Shipped"))
     second = keyed_table.upsert(spark, path, delta, "order_id")
     assert (second["INSERT"], second["UPDATE"], second["NO_CHANGE"]) == (0, 1, 0)
-    after = set(__import__("pathlib").Path(path).rglob("*.parquet"))
-    assert len(set(before) & after) == len(before) - 1
+    after = {f: f.read_bytes() for f in Path(path).rglob("*.parquet")}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
     third = keyed_table.upsert(spark, path, delta, "order_id")
     assert (third["INSERT"], third["UPDATE"], third["NO_CHANGE"]) == (0, 0, 1)
     stored = {r.order_id: r.status for r in keyed_table.read(spark, path).collect()}
@@ -115,24 +116,87 @@ def test_upsert_of_nothing_and_of_rows_without_key(spark, work, tables):
     assert keyed_table.read(spark, path).count() == 2
 
 
-def test_interrupted_replacement_is_finished(spark, work, tables, monkeypatch):
+def _files(path):
+    return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*") if f.is_file()}
+
+
+def test_lost_driver_leaves_the_table_as_it_was(spark, work, tables, monkeypatch):
     path = f"{work}/orders"
     keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=4)
+    before = sorted(keyed_table.read(spark, path).collect())
     delta = tables["orders"].withColumn("status", F.lit("Shipped"))
-    with monkeypatch.context() as broken:
-        # The driver dies after staging, before the first bucket is moved.
-        real, calls = keyed_table._move_into_place, []
 
-        def die(*args):
-            calls.append(args)
-            if len(calls) > 1:
-                raise RuntimeError("driver lost")
-            return real(*args)
+    def die(*args):
+        raise RuntimeError("driver lost")
 
-        broken.setattr(keyed_table, "_move_into_place", die)
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed_table, "_add_commit", die)
         with pytest.raises(RuntimeError):
             keyed_table.upsert(spark, path, delta, "order_id")
+    assert sorted(keyed_table.read(spark, path).collect()) == before
+    # A commit cut off in the middle is passed over, and its number stays taken.
+    Path(f"{path}/commits/000000000002.json").write_text('{"number": 2, "fold')
+    assert sorted(keyed_table.read(spark, path).collect()) == before
+    keyed_table.upsert(spark, path, delta, "order_id")
     assert {r.status for r in keyed_table.read(spark, path).collect()} == {"Shipped"}
+    assert Path(f"{path}/commits/000000000003.json").exists()
+
+
+def test_reads_change_nothing_and_vacuum_keeps_what_is_used(spark, work, tables):
+    path = f"{work}/orders"
+    for status in ("Pending", "Shipped", "Completed", "Cancelled"):
+        keyed_table.upsert(spark, path, tables["orders"].withColumn("status", F.lit(status)), "order_id", buckets=4)
+    files_before, held = _files(path), keyed_table.read(spark, path)
+    rows = sorted(held.collect())
+    keyed_table.rejects(spark, path).collect()
+    assert _files(path) == files_before
+    keyed_table.vacuum(spark, path)
+    assert len(_files(path)) < len(files_before) and sorted(held.collect()) == rows
+    assert sorted(keyed_table.read(spark, path).collect()) == rows and rows[0].status == "Cancelled"
+
+
+def test_second_of_two_writers_starts_over(spark, work, tables, monkeypatch):
+    path = f"{work}/orders"
+    keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=1)
+    real, raced = keyed_table._add_commit, []
+
+    def race(*args):
+        if not raced:  # another writer commits between this one's read and its commit
+            raced.append(True)
+            other = tables["orders"].filter("order_id = 'ORD-1'").withColumn("status", F.lit("Shipped"))
+            keyed_table.upsert(spark, path, other, "order_id")
+        return real(*args)
+
+    monkeypatch.setattr(keyed_table, "_add_commit", race)
+    delta = tables["orders"].filter("order_id = 'ORD-2'").withColumn("status", F.lit("Pending"))
+    keyed_table.upsert(spark, path, delta, "order_id")
+    assert {r.order_id: r.status for r in keyed_table.read(spark, path).collect()} == {
+        "ORD-1": "Shipped", "ORD-2": "Pending",
+    }
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_rows_without_a_key_are_kept_aside_on_every_path(spark, work, tables, unique):
+    path, orders = f"{work}/orders", tables["orders"]
+    keyless = orders.limit(1).withColumn("order_id", F.lit(None).cast("string"))
+    blank = orders.limit(1).withColumn("order_id", F.lit(""))
+    for turn in (1, 2):
+        done = keyed_table.upsert(spark, path, orders.unionByName(keyless).unionByName(blank), "order_id", buckets=2, unique=unique)
+        assert (done["REJECT"], done["total_delta_records"]) == (2, 4)
+        assert sorted(r.order_id for r in keyed_table.read(spark, path).collect()) == ["ORD-1", "ORD-2"]
+        assert keyed_table.rejects(spark, path).count() == 2 * turn
+    assert keyed_table.rejects(spark, path).columns == orders.columns
+
+
+def test_an_older_sequence_never_wins(spark, work):
+    path, schema = f"{work}/t", "k string, v int, seq int"
+    load = lambda *rows: keyed_table.upsert(spark, path, spark.createDataFrame(rows, schema), "k", "seq", buckets=2)
+    load(("a", 1, 5), ("b", 1, 1))
+    done = load(("a", 2, 1), ("b", 2, 2), ("c", 2, None))
+    assert (done["STALE"], done["UPDATE"], done["INSERT"]) == (1, 1, 1)
+    load(("a", 3, 5), ("c", 3, 0))
+    found = {r.k: (r.v, r.seq) for r in keyed_table.read(spark, path).collect()}
+    assert found == {"a": (3, 5), "b": (2, 2), "c": (3, 0)}
 
 
 def test_recorded_batch_is_not_applied_again(spark, work, tables):
