@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from merchlake.functions.skew import SALT, for_every_salt, salted
 from merchlake.functions.text import is_moment, missing_as_null
 from merchlake.model import RELATIONS, Relation, ValueRule
 from merchlake.sources.files import write_json
@@ -47,31 +48,54 @@ def _count_name(child: str, column: str) -> str:
     return f"{child}_{column}"
 
 
-def key_ledger(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per relation and key: rows holding it and rows referring to it, by column."""
+_ISSUES = "#issues"  # stands for a relation in the ledger; its keys name checks
+
+
+def _entry(owner: str, key: Column, role: str, number: Column | None = None) -> Column:
+    return F.struct(
+        F.lit(owner).alias("relation"),
+        key.cast("string").alias("key"),
+        F.lit(role).alias("role"),
+        (F.lit(1) if number is None else number).cast("bigint").alias("n"),
+    )
+
+
+def _issue(dataset: str, check: str, detail: str, number: Column) -> Column:
+    """An entry for a row's issues with one check, NULL if it has none."""
+    return F.when(number > 0, _entry(_ISSUES, F.lit(f"{dataset}/{check}/{detail}"), "issue", number))
+
+
+def key_ledger(tables: dict[str, DataFrame], issues: dict[str, list[Column]] | None = None) -> DataFrame:
+    """Per relation and key: rows holding it and rows referring to it, by column.
+
+    ``issues`` by table are entered in the same pass (see ``_issue``).
+    """
     entries = []
     for name, table in tables.items():
         relation = RELATIONS[name]
-        named = [(name, relation.key, "holds")]
-        named += [(parent, c, _count_name(name, c)) for c, parent in relation.references.items()]
-        parts = ", ".join(
-            f"struct('{owner}' AS relation, CAST(`{column}` AS STRING) AS key, '{role}' AS role)"
-            for owner, column, role in named
-        )
-        entries.append(table.selectExpr(f"inline(array({parts}))"))
+        named = [_entry(name, F.col(relation.key), "holds")]
+        named += [_entry(parent, F.col(c), _count_name(name, c)) for c, parent in relation.references.items()]
+        found = F.array(*named, *(issues or {}).get(name, []))
+        entries.append(table.select(F.inline(F.array_compact(found) if issues else found)))
     roles = ["holds"] + [_count_name(child, column) for child, column, _ in _uses()]
     return (
         _union(entries)
         .groupBy("relation", "key")
-        .agg(*[F.expr(f"count_if(role = '{role}') AS {role}") for role in roles])
+        .agg(
+            *[F.expr(f"count_if(role = '{role}') AS {role}") for role in roles],
+            F.sum(F.when(F.col("role") == "issue", F.col("n"))).alias("issues"),
+        )
     )
 
 
-def _key_findings(ledger: DataFrame) -> DataFrame:
-    """(dataset, check, detail, issues) for repeated keys and dangling references."""
+def _ledger_findings(ledger: DataFrame) -> DataFrame:
+    """(dataset, check, detail, issues) for repeated keys, dangling references, rows and entered issues."""
     dangling = F.col("key").isNull() | (F.col("holds") == 0)
     uses = _uses()
-    per_relation = ledger.groupBy("relation").agg(
+    check = F.when(F.col("relation") == _ISSUES, F.col("key")).alias("check")
+    per_relation = ledger.groupBy("relation", check).agg(
+        F.sum("holds").alias("rows"),
+        F.sum("issues").alias("issues"),
         F.sum(F.greatest(F.col("holds") - 1, F.lit(0))).alias("repeated"),
         *[
             F.sum(F.when(dangling, F.col(_count_name(child, column))).otherwise(0)).alias(
@@ -80,24 +104,24 @@ def _key_findings(ledger: DataFrame) -> DataFrame:
             for child, column, _ in uses
         ],
     )
-    lines = [
-        F.struct(
-            F.col("relation").alias("dataset"),
-            F.lit("duplicate_ids").alias("check"),
-            F.lit("duplicate_ids").alias("detail"),
-            F.col("repeated").alias("issues"),
+
+    def line(dataset: Column, check: Column, detail: Column, issues: str) -> Column:
+        return F.struct(
+            dataset.alias("dataset"), check.alias("check"), detail.alias("detail"), F.col(issues).alias("issues")
         )
+
+    held = F.col("relation") != _ISSUES
+    parts = F.split("check", "/")
+    lines = [
+        F.when(held, line(F.col("relation"), F.lit("duplicate_ids"), F.lit("duplicate_ids"), "repeated")),
+        F.when(held, line(F.col("relation"), F.lit("rows"), F.lit("rows"), "rows")),
+        F.when(~held, line(F.get(parts, 0), F.get(parts, 1), F.get(parts, 2), "issues")),
     ]
     for child, column, parent in uses:
         lines.append(
             F.when(
                 F.col("relation") == parent,
-                F.struct(
-                    F.lit(child).alias("dataset"),
-                    F.lit("foreign_keys").alias("check"),
-                    F.lit(column).alias("detail"),
-                    F.col(_count_name(child, column)).alias("issues"),
-                ),
+                line(F.lit(child), F.lit("foreign_keys"), F.lit(column), _count_name(child, column)),
             )
         )
     return per_relation.select(F.explode(F.array_compact(F.array(*lines))).alias("line")).select("line.*")
@@ -118,7 +142,7 @@ def duplicate_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def reference_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per reference whose parent key is missing; a NULL reference counts."""
     return (
-        _key_findings(key_ledger(tables))
+        _ledger_findings(key_ledger(tables))
         .filter(F.col("check") == "foreign_keys")
         .select("dataset", F.col("detail").alias("column_name"), F.col("issues").alias("violations"))
     )
@@ -130,31 +154,50 @@ def dangling_rows(
     """Child rows whose reference finds no parent.
 
     Only the distinct references are compared with the parent; the few that fail are then
-    looked up in the child, as a broadcast when Spark finds them small.
+    looked up in the child, as a broadcast when Spark finds them small, else by a salted join.
     """
     key = F.col(column).cast("string")
     known = parent.select(F.col(parent_key).cast("string").alias("_ref")).filter("_ref IS NOT NULL")
     used = child.select(key.alias("_ref")).filter("_ref IS NOT NULL").distinct()
-    lost = used.join(known, "_ref", "left_anti")
-    rows = child.join(lost, key == lost["_ref"], "left_semi")
+    lost = for_every_salt(used.join(known, "_ref", "left_anti")).withColumnRenamed(SALT, "_lost_salt")
+    found = salted(child).join(lost, (key == lost["_ref"]) & (F.col(SALT) == F.col("_lost_salt")), "left_semi")
+    rows = found.drop(SALT)
     return rows.unionByName(child.filter(F.col(column).isNull())) if nulls_count else rows
 
 
+_CANDIDATE = ("dataset", "error", "row_id", "value", "parent", "ref")
+
+
+def _candidate(name: str, error: str, value: Column, parent: str | None, ref: Column) -> Column:
+    """A possible error of one row: certain if it names no parent, else one if ``ref`` is a lost key."""
+    values = (F.lit(name), F.lit(error), F.col(RELATIONS[name].key), value, F.lit(parent or ""), ref)
+    return F.struct(*[v.cast("string").alias(n) for v, n in zip(values, _CANDIDATE)])
+
+
+def _confirmed(candidates: list[DataFrame], ledger: DataFrame) -> DataFrame:
+    """The candidates that are errors, by one salted join with the lost keys."""
+    uses = sum((F.col(_count_name(child, column)) for child, column, _ in _uses()), F.lit(0))
+    lost = ledger.filter(F.col("key").isNotNull() & (F.col("holds") == 0) & (uses > 0)).select(
+        F.col("relation").alias("parent"), F.col("key").alias("ref"), F.lit(True).alias("lost")
+    )
+    joined = salted(_union(candidates)).join(for_every_salt(lost), ["parent", "ref", SALT], "left")
+    return joined.filter((F.col("parent") == "") | F.col("lost")).select("dataset", "error", "row_id", "value")
+
+
 def reference_violation_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """Stored rows with a dangling reference; NULL references do not count here."""
-    found = []
-    for child, column, parent in _uses():
-        relation = RELATIONS[child]
-        rows = dangling_rows(tables[child], column, tables[parent], RELATIONS[parent].key)
-        found.append(
-            rows.select(
-                F.lit(child).alias("dataset"),
-                F.col(relation.key).cast("string").alias("row_id"),
-                F.lit(column).alias("column_name"),
-                F.col(column).cast("string").alias("missing_key"),
-            )
-        )
-    return _union(found)
+    candidates = []
+    for name, table in tables.items():
+        references = RELATIONS[name].references
+        if references:
+            found = [
+                F.when(F.col(c).isNotNull(), _candidate(name, c, F.col(c), parent, F.col(c)))
+                for c, parent in references.items()
+            ]
+            candidates.append(table.select(F.inline(F.array_compact(F.array(*found)))))
+    return _confirmed(candidates, key_ledger(tables)).select(
+        "dataset", "row_id", F.col("error").alias("column_name"), F.col("value").alias("missing_key")
+    )
 
 
 # --- values, dates, statuses ------------------------------------------------------------
@@ -175,29 +218,27 @@ def _audit_breaks(rule: ValueRule) -> Column:
     return F.coalesce(_breaks(rule, number), F.lit(missing_counts))
 
 
-def _column_checks(relation: Relation, columns: list[str]) -> list[tuple[str, str, Column]]:
-    """(check, detail, number of issues) of the checks that look at one row at a time."""
+def _row_checks(relation: Relation, columns: list[str]) -> list[tuple[str, str, Column]]:
+    """(check, detail, a row's number of issues) of the checks that look at one row at a time."""
     missing = sum((F.col(c).isNull().cast("int") for c in columns), F.lit(0))
-    checks = [("missing_values", "missing_values", F.sum(missing))]
+    checks = [("missing_values", "missing_values", missing)]
     for rule in relation.rules:
-        checks.append(("invalid_values", rule.check, F.count_if(_audit_breaks(rule))))
+        checks.append(("invalid_values", rule.check, _audit_breaks(rule).cast("int")))
     if relation.moment:
-        checks.append(("dates", relation.moment, F.count_if(~is_moment(F.col(relation.moment)))))
+        checks.append(("dates", relation.moment, (~is_moment(F.col(relation.moment))).cast("int")))
     if relation.statuses:
         known = F.coalesce(F.col("status").isin(*relation.statuses), F.lit(False))
-        checks.append(("statuses", "status", F.count_if(~known)))
+        checks.append(("statuses", "status", (~known).cast("int")))
     return checks
 
 
-def _row_findings(name: str, table: DataFrame, only: str | None = None) -> DataFrame | None:
-    """The row-wise checks and the row count of one table, in one aggregate."""
-    checks = _column_checks(RELATIONS[name], table.columns)
-    checks.append(("rows", "rows", F.count(F.lit(1))))
-    checks = [c for c in checks if only in (None, c[0])]
+def _row_findings(name: str, table: DataFrame, only: str) -> DataFrame | None:
+    """The row-wise checks of one kind of one table, in one aggregate."""
+    checks = [c for c in _row_checks(RELATIONS[name], table.columns) if c[0] == only]
     if not checks:
         return None
     counted = table.agg(
-        *[F.coalesce(issues, F.lit(0)).alias(f"_{i}") for i, (_, _, issues) in enumerate(checks)]
+        *[F.coalesce(F.sum(issues), F.lit(0)).alias(f"_{i}") for i, (_, _, issues) in enumerate(checks)]
     )
     lines = F.array(
         *[
@@ -242,12 +283,24 @@ def status_errors(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def audit_findings(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every check of every table as (dataset, check, detail, issues).
+    """Every check of every table as (dataset, check, detail, issues), from one pass over each table.
 
     ``tables`` are all-text with missing values already NULL (see ``mark_missing``).
     """
-    rows = [_row_findings(name, table) for name, table in tables.items()]
-    return _union(rows + [_key_findings(key_ledger(tables))])
+    spark = next(iter(tables.values())).sparkSession
+    issues, wanted = {}, []
+    for name, table in tables.items():
+        checks = _row_checks(RELATIONS[name], table.columns)
+        issues[name] = [_issue(name, check, detail, number) for check, detail, number in checks]
+        wanted += [(name, check, detail) for check, detail, _ in checks]
+        wanted += [(name, "duplicate_ids", "duplicate_ids"), (name, "rows", "rows")]
+        wanted += [(name, "foreign_keys", column) for column in RELATIONS[name].references]
+    # A check without issues, or a table without rows, leaves no entry.
+    every = spark.createDataFrame(wanted, "dataset string, check string, detail string")
+    found = _ledger_findings(key_ledger(tables, issues))
+    return every.join(found, ["dataset", "check", "detail"], "left").withColumn(
+        "issues", F.coalesce("issues", F.lit(0))
+    )
 
 
 def audit_report(findings: DataFrame) -> DataFrame:
@@ -302,64 +355,38 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
     Repeated keys and missing values are one error per table; broken values and references
     are one error per row.
     """
-    found = []
+    gaps, candidates = {}, []
     for name, table in tables.items():
         relation = RELATIONS[name]
         key = F.col(relation.key)
-        whole = table.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).agg(
-            F.coalesce(F.max("rows"), F.lit(0)).alias("most")
-        )
-        found.append(_table_error(whole.filter("most > 1"), name, "duplicate primary ids"))
         empty = reduce(
             Column.__or__,
             [F.col(c).isNull() | (F.col(c).cast("string") == "") for c in table.columns],
         )
-        gaps = table.agg(F.coalesce(F.bool_or(empty), F.lit(False)).alias("gaps"))
-        found.append(_table_error(gaps.filter("gaps"), name, "missing value"))
-
-        rules = [rule for rule in relation.rules if rule.fail_fast]
-        if rules:
-            errors = F.array_compact(
-                F.array(
-                    *[
-                        F.when(
-                            _breaks(rule, F.col(rule.column)),
-                            F.struct(
-                                F.lit(f"invalid {rule.column}").alias("error"),
-                                F.col(rule.column).cast("string").alias("value"),
-                            ),
-                        )
-                        for rule in rules
-                    ]
-                )
-            )
-            found.append(
-                table.select(key.cast("string").alias("row_id"), F.inline(errors)).select(
-                    F.lit(name).alias("dataset"), "error", "row_id", "value"
-                )
-            )
+        gaps[name] = [_issue(name, "missing value", "", empty.cast("int"))]
+        found = [
+            F.when(_breaks(rule, F.col(rule.column)), _candidate(name, f"invalid {rule.column}", F.col(rule.column), None, key))
+            for rule in relation.rules
+            if rule.fail_fast
+        ]
         for column, parent in relation.references.items():
-            rows = dangling_rows(
-                table, column, tables[parent], RELATIONS[parent].key, nulls_count=True
-            )
+            error, used = f"Broken FK: {column}", F.col(column)
             found.append(
-                rows.select(
-                    F.lit(name).alias("dataset"),
-                    F.lit(f"Broken FK: {column}").alias("error"),
-                    key.cast("string").alias("row_id"),
-                    F.col(column).cast("string").alias("value"),
+                F.when(used.isNull(), _candidate(name, error, used, None, key)).otherwise(
+                    _candidate(name, error, used, parent, used)
                 )
             )
-    return _union(found)
-
-
-def _table_error(signal: DataFrame, name: str, error: str) -> DataFrame:
-    return signal.select(
-        F.lit(name).alias("dataset"),
-        F.lit(error).alias("error"),
-        F.lit(None).cast("string").alias("row_id"),
-        F.lit(None).cast("string").alias("value"),
+        if found:
+            candidates.append(table.select(F.inline(F.array_compact(F.array(*found)))))
+    ledger = key_ledger(tables, gaps)
+    whole = _ledger_findings(ledger).filter("issues > 0")
+    kind = F.when(F.col("check") == "duplicate_ids", "duplicate primary ids").when(
+        F.col("check") == "missing value", F.col("check")
     )
+    per_table = whole.select(
+        "dataset", kind.alias("error"), F.lit(None).cast("string").alias("row_id"), F.lit(None).cast("string").alias("value")
+    ).filter("error IS NOT NULL")
+    return per_table.unionByName(_confirmed(candidates, ledger))
 
 
 def write_findings(findings: DataFrame, path: str) -> int:

@@ -378,24 +378,24 @@ def _typed_break(column: str) -> str:
 
 _VIOLATION_ROWS = _union(
     [
-        f"SELECT '{n}' AS dataset, 'duplicate primary ids' AS error, '' AS row_id,"
-        f" '' AS value WHERE EXISTS"
+        f"SELECT '{n}' AS dataset, 'duplicate primary ids' AS error, NULL::VARCHAR AS row_id,"
+        f" NULL::VARCHAR AS value WHERE EXISTS"
         f" (SELECT 1 FROM r_{n} GROUP BY {k} HAVING count(*) > 1)"
         for n, k in _KEYS.items()
     ]
     + [
-        f"SELECT '{n}', 'missing value', '', '' WHERE EXISTS"
+        f"SELECT '{n}', 'missing value', NULL, NULL WHERE EXISTS"
         f" (SELECT 1 FROM {_typed(n)} t WHERE {_empty_cell(n)})"
         for n in _KEYS
     ]
     + [
-        f"SELECT '{n}', 'invalid {c}', coalesce({_KEYS[n]}, ''), {c}::VARCHAR FROM {_typed(n)} t"
+        f"SELECT '{n}', 'invalid {c}', {_KEYS[n]}, {c}::VARCHAR FROM {_typed(n)} t"
         f" WHERE {_typed_break(c)}"
         for n, _, c, _ in _VALUE_RULES
         if c != "stock"
     ]
     + [
-        f"SELECT '{c}', 'Broken FK: {col}', coalesce({_KEYS[c]}, ''), coalesce({col}, '')"
+        f"SELECT '{c}', 'Broken FK: {col}', {_KEYS[c]}, {col}"
         f" FROM r_{c} WHERE {_dangling(c, col, p)}"
         for c, col, p in _USES
     ]
@@ -724,6 +724,11 @@ ORACLE: dict[str, str] = {
                   ORDER BY total_spend DESC, c.customer_key LIMIT 5) t""",
     ),
     "dq_audit": _with(_RAW, _AUDIT),
+    "dq_audit_summary": _with(
+        _RAW,
+        f"""SELECT count(*) AS total_datasets, bool_and(passed) AS overall_passed,
+                   sum(issues)::BIGINT AS total_issues_found FROM ({_AUDIT}) a""",
+    ),
     "dq_missing": _with(
         _RAW,
         _union(

@@ -445,6 +445,11 @@ def dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.audit_report(quality.audit_findings(_raw(spark, sf_dir))).drop("invalid_value_counts")
 
 
+@_register
+def dq_audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.audit_summary(quality.audit_report(quality.audit_findings(_raw(spark, sf_dir))))
+
+
 @_register
 def dq_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_counts(_raw(spark, sf_dir))
@@ -482,8 +487,8 @@ def fk_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def dq_violation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors found; those of a whole table have an empty row id and value."""
-    return quality.violations(_parsed(spark, sf_dir)).fillna("")
+    """Errors found; those of a whole table have neither row id nor value."""
+    return quality.violations(_parsed(spark, sf_dir))
 
 
 @_register
