@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from merchlake.functions import money
 from merchlake.functions.text import date_key
-from merchlake.session import shared_dir
+from merchlake.session import fresh_path
 
 CUSTOMER_ATTRIBUTES = ("name", "email", "signup_channel", "created_at")
 PRODUCT_ATTRIBUTES = ("name", "category", "price")
@@ -60,21 +60,22 @@ def calendar_of(dates: DataFrame, column: str = "order_date") -> DataFrame:
 def number_rows(rows: DataFrame, key: str, name: str, after: Column | None = None) -> DataFrame:
     """Add dense numbers in key order, following ``after``, without sorting in one task.
 
-    The rows are range-partitioned and sorted by key and written as a checkpoint, which fixes
-    the partitions. A row's number is then the size of the partitions before its own plus its
+    The rows are range-partitioned, sorted by key and written down with their partition and their
+    position in it. A row's number is then the size of the partitions before its own plus its
     position; only one row count per partition is brought together.
     """
-    shared_dir(rows.sparkSession)
-    fixed = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).checkpoint()
-    placed = fixed.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_position", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
-    )
-    sizes = fixed.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    spark = rows.sparkSession
+    path = fresh_path(spark, "numbered")
+    part, position = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
+    ordered = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    ordered.select("*", part.alias("_part"), position.alias("_position")).write.parquet(path)
+    placed = spark.read.parquet(path)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
     offsets = sizes.select("_part", before.alias("_before"))
     start = F.lit(0).cast("bigint") if after is None else after
     number = (start + F.col("_before") + F.col("_position") + 1).cast("bigint")
-    # One row per partition of the checkpoint: bounded by the partition count.
+    # One row per partition written: bounded by the partition count.
     return placed.join(F.broadcast(offsets), "_part").select(number.alias(name), *rows.columns)
 
 

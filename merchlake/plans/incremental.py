@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from merchlake.operators import drift, run_metrics
+from merchlake.operators import drift, quality, run_metrics
 from merchlake.sources import keyed_table
 
 TASK = "cdc_incremental_upsert"
@@ -23,11 +25,13 @@ def run_incremental(
     baseline: DataFrame | None = None,
     sequence: str | None = None,
     threshold: float = 0.20,
+    parents: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> dict:
     """Merge ``delta`` into the stored table and return what was found.
 
     The drift reports come back as DataFrames: the delta's schema against ``expected`` and
-    the merged table's column metrics against ``baseline``.
+    the merged table's column metrics against ``baseline``. ``parents`` names, by referring column, the
+    table and key that the merged rows refer to; rows whose reference is lost come back with its column.
     """
     started = time.monotonic()
     summary = keyed_table.upsert(spark, table, delta, key, sequence)
@@ -39,4 +43,11 @@ def run_incremental(
         result["schema_drift"] = drift.schema_drift(expected, drift.declared_types(delta))
     if baseline is not None:
         result["metric_drift"] = drift.metric_drift(baseline, keyed_table.read(spark, table), threshold)
+    if parents:
+        merged = keyed_table.read(spark, table)
+        lost = [
+            quality.dangling_rows(merged, column, parent, parent_key).select(key, F.lit(column).alias("lost"))
+            for column, (parent, parent_key) in parents.items()
+        ]
+        result["lost_references"] = reduce(DataFrame.unionByName, lost)
     return result

@@ -515,6 +515,15 @@ _SCAN_REVIEWS = _scan(
 )
 _STATUS_COUNTS = "customers products orders payments reviews"
 
+def _cell(column: str) -> str:
+    value = column
+    if _TYPES.get(column) == "DOUBLE":
+        value = f"round({column} * 100)::BIGINT"
+    if _TYPES.get(column) == "TIMESTAMP":
+        value = f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+    return f"coalesce(({value})::VARCHAR, '~')"
+
+
 _ADHOC = """
     SELECT customer_id, count(*) AS order_count, sum(quantity)::BIGINT AS units
     FROM c_orders GROUP BY customer_id ORDER BY units DESC, customer_id"""
@@ -532,7 +541,14 @@ ORACLE: dict[str, str] = {
     ),
     "scan_reviews": _SCAN_REVIEWS,
     "scan_json": _SCAN_REVIEWS,
-    "typed_load": _SCAN_ORDERS,
+    "scan_json_array": _SCAN_REVIEWS,
+    "typed_load": _with(
+        "c_customers c_products c_orders c_payments c_reviews",
+        _union(
+            f"SELECT '{t}' AS dataset, concat_ws('|', {', '.join(_cell(c) for c in columns.split())}) AS cells FROM c_{t}"
+            for t, columns in _RAW_COLUMNS.items()
+        ),
+    ),
     "parquet_roundtrip": _with("c_products c_orders", _PRODUCT_SALES),
     "table_row_counts": _with(
         "c_customers c_products c_orders c_payments c_reviews",
@@ -693,6 +709,7 @@ ORACLE: dict[str, str] = {
                  FROM c_orders) r
            WHERE lacking <> ''""",
     ),
+    "warehouse_facts": _with("facts", "SELECT *, true AS ids_are_dense FROM facts"),
     "warehouse_counts": _with(
         "facts",
         """SELECT 'dim_date' AS table_name, count(*) AS row_count FROM days
@@ -791,6 +808,27 @@ ORACLE: dict[str, str] = {
     "cdc_merge": _with("s_orders s_earlier", _MERGED),
     "upsert_orders": _with("s_orders s_earlier", _MERGED),
     "stream_merge": _with("s_orders s_earlier", _MERGED),
+    "upsert_rejects": _with(
+        "c_orders",
+        "SELECT * REPLACE (NULL::VARCHAR AS order_id) FROM c_orders WHERE status = 'Cancelled'",
+    ),
+    "incremental_run": _with(
+        "s_orders s_earlier",
+        f"""SELECT *, concat_ws(',',
+                       CASE WHEN customer_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+                            THEN 'customer_id' END,
+                       CASE WHEN product_id NOT IN (SELECT p_partkey FROM part WHERE p_size >= 6)
+                            THEN 'product_id' END) AS lost,
+                   (SELECT count(*) FROM s_orders) AS run_rows
+            FROM ({_MERGED}) m""",
+    ),
+    "run_records": _with(
+        "c_payments",
+        """SELECT 'write_payments' AS task_name, 'SUCCESS' AS status, count(*) AS row_count,
+                  count(*) - count(payment_method) AS missing_methods FROM c_payments""",
+    ),
+    "json_unreadable": """SELECT count(props) AS cells, count(*) FILTER (WHERE event_type = 'error') AS unreadable
+        FROM events""",
     "schema_drift": _drift({"k": "double", "source": "string"}, _JSON_KEYS),
     "schema_drift_text": _with(
         "r_payments",
@@ -825,3 +863,39 @@ ORACLE: dict[str, str] = {
             FROM ({_CATEGORY_SALES}) c""",
     ),
 }
+
+ORACLE["report_document"] = ORACLE["analytics_summary"]
+ORACLE["analytics_reports"] = _union(
+    _long(section, source, item, metrics)
+    for section, source, item, metrics in (
+        (
+            "executive_kpis", ORACLE["executive_kpis"], "'all'",
+            "total_customers total_products total_orders total_revenue average_order_value"
+            " total_quantity_sold successful_payments average_product_rating",
+        ),
+        (
+            "revenue_reconciliation", ORACLE["reconcile_revenue"], "order_id",
+            "quantity unit_price order_total_price calculated_revenue discrepancy_amount",
+        ),
+        ("orders_by_status", ORACLE["orders_by_status"], "order_status", "order_count total_revenue"),
+        (
+            "category_revenue", ORACLE["revenue_by_category"], "category",
+            "product_count total_quantity_sold total_revenue",
+        ),
+        (
+            "top_selling_products", f"SELECT * FROM ({ORACLE['top_selling_products']}) ORDER BY total_revenue DESC,"
+            " product_id LIMIT 5", "product_id::VARCHAR", "unit_price total_quantity_sold total_revenue",
+        ),
+        (
+            "customer_analytics", f"SELECT * FROM ({ORACLE['customer_analytics']}) ORDER BY total_spend DESC,"
+            " customer_id LIMIT 5", "customer_id::VARCHAR",
+            "total_orders total_items_purchased total_spend avg_order_spend",
+        ),
+        ("payment_methods", ORACLE["payment_method_distribution"], "payment_method", "payment_count total_amount"),
+        ("sentiment", ORACLE["rating_distribution"], "sentiment_category", "review_count percentage"),
+        (
+            "monthly_trends", ORACLE["monthly_trends"], "order_month",
+            "total_orders total_units_sold monthly_revenue avg_order_value",
+        ),
+    )
+)

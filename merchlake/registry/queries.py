@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, TimestampType
 
 from merchlake import model
 from merchlake.functions.text import standard_moment
-from merchlake.operators import cdc, drift, quality, reports, transform, warehouse
-from merchlake.plans import etl, lake, report_files, warehouse_build
+from merchlake.operators import cdc, drift, quality, reports, run_metrics, transform, warehouse
+from merchlake.plans import etl, incremental, lake, report_files, warehouse_build
 from merchlake.session import configure, fresh_path
 from merchlake.sources import canonical, files, history, keyed_table, raw_feed
 from merchlake.streaming import delta_merge
@@ -108,11 +109,34 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, path, model.REVIEWS)
 
 
+@_register
+def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = files.write_json_arrays(canonical.reviews(spark, sf_dir), fresh_path(spark, "json"), BUCKETS)
+    return files.read_json(spark, path, model.REVIEWS, array=True)
+
+
+def _as_text(field: StructField) -> Column:
+    """A cell as both engines write it: amounts in cents, missing values as a tilde."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, DoubleType):
+        value = F.rint(value * 100).cast("bigint")
+    if isinstance(field.dataType, TimestampType):
+        value = standard_moment(value)
+    return F.coalesce(value.cast("string"), F.lit("~"))
+
+
 @_register
 def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five tables written as CSV and loaded into their types, every row as one text."""
     folder = fresh_path(spark, "processed")
     files.write_tables_csv(canonical.relations(spark, sf_dir), folder)
-    return files.load_processed(spark, folder)["orders"]
+    rows = [
+        table.select(
+            F.lit(name).alias("dataset"), F.concat_ws("|", *[_as_text(f) for f in table.schema.fields]).alias("cells")
+        )
+        for name, table in files.load_processed(spark, folder).items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @_register
@@ -292,15 +316,33 @@ def monthly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def analytics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_files.analytics_summary(
-        {
-            "customers": canonical.accounts(spark, sf_dir),
-            "products": canonical.products(spark, sf_dir),
-            "orders": canonical.orders(spark, sf_dir),
-            "payments": canonical.payments(spark, sf_dir),
-            "reviews": canonical.ratings(spark, sf_dir),
-        }
-    )
+    return report_files.analytics_summary(_report_tables(spark, sf_dir))
+
+
+def _report_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "customers": canonical.accounts(spark, sf_dir),
+        "products": canonical.products(spark, sf_dir),
+        "orders": canonical.orders(spark, sf_dir),
+        "payments": canonical.payments(spark, sf_dir),
+        "reviews": canonical.ratings(spark, sf_dir),
+    }
+
+
+@_register
+def analytics_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine reports written as JSON and read back, every figure a row."""
+    tables = _report_tables(spark, sf_dir)
+    paths = report_files.write_reports(tables, fresh_path(spark, "reports"))
+    return report_files.read_reports(spark, tables, paths)
+
+
+@_register
+def report_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary written as one nested JSON document and read back."""
+    tables = _report_tables(spark, sf_dir)
+    path = report_files.write_document(tables, fresh_path(spark, "summary"))
+    return report_files.read_document(spark, tables, path)
 
 
 _ADHOC = """
@@ -408,6 +450,19 @@ def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_row_counts({name: star[name] for name in warehouse_build.TABLES})
 
 
+@_register
+def warehouse_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts after a second build of the same tables, which changes nothing."""
+    target, _ = built_warehouse(spark, sf_dir)
+    days = _order_days(spark, sf_dir)
+    warehouse_build.build_warehouse(spark, _keyed_relations(spark, sf_dir), target, days, BUCKETS)
+    facts = warehouse_build.read_warehouse(spark, target)["fact_sales"]
+    dense = facts.agg(
+        ((F.count_distinct("sales_fact_id") == F.count(F.lit(1))) & (F.max("sales_fact_id") == F.count(F.lit(1)))).alias("d")
+    )
+    return facts.drop("sales_fact_id").withColumn("ids_are_dense", dense.scalar())
+
+
 @_register
 def dw_category_drilldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
@@ -559,6 +614,54 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_table.read(spark, path)
 
 
+@_register
+def upsert_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept aside because they came without a key: here the cancelled orders lose theirs."""
+    path = f"{fresh_path(spark, 'stored')}/orders"
+    earlier, present = _states(spark, sf_dir)
+    keyed_table.upsert(spark, path, earlier, "order_id", buckets=BUCKETS, unique=True)
+    lost = F.when(F.col("status") != "Cancelled", F.col("order_id"))
+    keyed_table.upsert(spark, path, present.withColumn("order_id", lost), "order_id", "total_price")
+    return keyed_table.rejects(spark, path)
+
+
+@_register
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders after an incremental run, with the references an earlier load of the parents lacks."""
+    work = fresh_path(spark, "incremental")
+    earlier, present = _states(spark, sf_dir)
+    keyed_table.upsert(spark, f"{work}/orders", earlier, "order_id", buckets=BUCKETS, unique=True)
+    parents = {
+        "customer_id": (history.customers_before(spark, sf_dir), "customer_id"),
+        "product_id": (history.products_before(spark, sf_dir), "product_id"),
+    }
+    found = incremental.run_incremental(
+        spark, f"{work}/orders", present, "order_id", f"{work}/runs", sequence="total_price", parents=parents
+    )
+    lost = found["lost_references"].groupBy("order_id").agg(
+        F.array_join(F.sort_array(F.collect_set("lost")), ",").alias("lost")
+    )
+    merged = keyed_table.read(spark, f"{work}/orders").join(lost, "order_id", "left")
+    recorded = spark.read.parquet(f"{work}/runs").agg(F.max("row_count")).scalar()
+    return merged.withColumn("lost", F.coalesce("lost", F.lit(""))).withColumn("run_rows", recorded)
+
+
+@_register
+def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of an observed write: rows written and, of its details, the missing methods."""
+    work = fresh_path(spark, "observed")
+    payments = canonical.payments(spark, sf_dir)
+    run_metrics.observed_write(
+        payments, f"{work}/runs", "write_payments", lambda table: files.export_to_parquet(table, f"{work}/payments")
+    )
+    return spark.read.parquet(f"{work}/runs").select(
+        "task_name",
+        "status",
+        "row_count",
+        F.get_json_object("details", "$.nulls_payment_method").cast("bigint").alias("missing_methods"),
+    )
+
+
 @_register
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The present orders delivered as delta files and merged by a stream."""
@@ -590,6 +693,14 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.schema_drift(expected, drift.observed_json_types(events, "props")).fillna("")
 
 
+@_register
+def json_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of a JSON column and the unreadable ones: error events lose their opening brace."""
+    events = canonical.table(spark, sf_dir, "events")
+    broken = F.when(F.col("event_type") == "error", F.expr("substring(props, 2)")).otherwise(F.col("props"))
+    return drift.unreadable_json(events.withColumn("props", broken), "props")
+
+
 @_register
 def schema_drift_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the raw payments hold against the types payments should have."""

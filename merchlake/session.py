@@ -61,9 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has written to yet; within ``scratch``, below its folder."""
+    return f"{_SCRATCH[-1] if _SCRATCH else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -74,9 +77,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
-    """A fresh path in the shared folder whose contents go when the job that needed them ends."""
+    """A folder that takes all fresh paths of a job and goes, with what they hold, when the job ends."""
     path = fresh_path(spark, name)
+    _SCRATCH.append(path)
     try:
         yield path
     finally:
+        _SCRATCH.pop()
         delete(spark, path)

@@ -109,6 +109,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType, array: bool =
         spark.read.schema(schema)
         .option("timestampFormat", MOMENT_FORMAT)
         .option("multiLine", array)
+        .option("recursiveFileLookup", array)
         .json(path)
     )
 
@@ -132,3 +133,14 @@ def export_to_parquet(table: DataFrame, path: str, mode: str = "overwrite") -> s
 def write_json(table: DataFrame, path: str, mode: str = "overwrite") -> str:
     table.write.mode(mode).option("timestampFormat", MOMENT_FORMAT).json(path)
     return path
+
+
+def write_json_arrays(table: DataFrame, path: str, arrays: int = 64) -> str:
+    """JSON files that each hold one array of records; choose ``arrays`` so that each fits a task."""
+    record = F.to_json(F.struct("*"), {"timestampFormat": MOMENT_FORMAT}).alias("record")
+    part = F.pmod(F.xxhash64("record"), F.lit(arrays)).alias("array")
+    grouped = table.select(record).groupBy(part).agg(F.collect_list("record").alias("records"))
+    text = F.concat(F.lit("["), F.array_join("records", ",\n"), F.lit("]")).alias("value")
+    # A folder for each array, so that no file holds two.
+    grouped.select("array", text).write.mode("overwrite").partitionBy("array").text(path)
+    return path
