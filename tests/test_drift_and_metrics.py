@@ -66,3 +66,13 @@ def test_run_metrics(spark, work):
         run_metrics.observed_write(table, runs, "broken", lambda t: (_ for _ in ()).throw(ValueError()))
     stored = {r.task_name: r.status for r in spark.read.parquet(runs).collect()}
     assert stored == {"copy": "SUCCESS", "broken": "FAILED"}
+
+
+def test_small_prices_drift_and_broken_json_is_counted(spark):
+    old, new = (spark.range(1000).select(F.lit(x).alias("price")) for x in (0.004, 0.001))
+    found = {r.metric: (r.baseline, r.current, r.has_drift) for r in drift.metric_drift(old, new).collect()}
+    assert found["sum"] == (4.0, 1.0, True) and found["mean"] == (0.004, 0.001, True)
+    cells = spark.createDataFrame([('{"a": 1}',), ("{bad",), (None,), ('{"a": 2}',)], "props string")
+    assert tuple(drift.unreadable_json(cells, "props").first()) == (3, 1)
+    types = {r.column_name: r.type for r in drift.observed_json_types(cells, "props").collect()}
+    assert types == {"a": "bigint", drift.UNREADABLE: "string"}

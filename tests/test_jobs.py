@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from merchlake import model
 from merchlake.plans import etl, incremental, lake, report_files
+from merchlake.session import fresh_path, scratch
 from merchlake.sources import files, keyed_table
 
 
@@ -85,6 +86,35 @@ def test_report_files(spark, work, tables):
     assert summary["category_revenue", "Home", "total_revenue"] == 30.0
 
 
+def test_report_document_is_one_nested_record(spark, work, tables):
+    path = report_files.write_document(tables, f"{work}/summary")
+    (line,) = [x for p in Path(path).glob("*.json") for x in p.read_text().splitlines()]
+    document = json.loads(line)
+    assert document["kpis"]["total_revenue"] == 30.0
+    assert {c["category"] for c in document["category_revenue"]} == {"Home", "Sports"}
+    assert len(document["sentiment"]) == 2
+    found = sorted(report_files.read_document(spark, tables, path).collect(), key=repr)
+    assert found == sorted(report_files.analytics_summary(tables).collect(), key=repr)
+
+
+def test_lost_references_after_a_merge(spark, work, tables):
+    path = f"{work}/orders"
+    keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=2)
+    delta = tables["orders"].limit(1).withColumn("order_id", F.lit("ORD-9")).withColumn("customer_id", F.lit("CUST-X"))
+    done = incremental.run_incremental(
+        spark, path, delta, "order_id", f"{work}/runs", parents={"customer_id": (tables["customers"], "customer_id")}
+    )
+    assert [tuple(r) for r in done["lost_references"].collect()] == [("ORD-9", "customer_id")]
+
+
+def test_scratch_goes_with_its_job(spark):
+    with scratch(spark, "job") as folder:
+        path = files.export_to_parquet(spark.range(3), fresh_path(spark, "inner"))
+        assert path.startswith(folder) and files.exists(spark, path)
+    assert not files.exists(spark, folder)
+    assert not fresh_path(spark, "after").startswith(folder)
+
+
 def test_registered_queries_have_sql():
     from merchlake.registry.oracle import ORACLE
     from merchlake.registry.queries import queries

@@ -61,6 +61,14 @@ def test_json_array_and_lines(spark, tmp_path):
     assert sorted(files.read_json(spark, lines, model.ORDERS).collect()) == sorted(read.collect())
 
 
+def test_json_arrays_hold_every_record_once(spark, work):
+    table = spark.range(500).select(F.col("id").cast("string").alias("review_id"), F.lit(3).alias("rating"))
+    path = files.write_json_arrays(table, f"{work}/arrays", 7)
+    assert len(list(Path(path).rglob("part-*"))) == 7
+    read = files.read_json(spark, path, table.schema, array=True)
+    assert read.columns == table.columns and sorted(read.collect()) == sorted(table.collect())
+
+
 def test_parquet_append_and_failure(spark, work, tables):
     path = files.export_to_parquet(tables["orders"], f"{work}/orders")
     files.export_to_parquet(tables["orders"], path, "append")
