@@ -27,7 +27,7 @@ from merchlake.llm.text import is_latin, latin_words, texts_of
 from merchlake.llm.token_counts import byte_names
 
 # Documents for one packer. More packers leave more bins half full at the end.
-DOCS_PER_PACKER = 400_000
+DOCS_PER_PACKER = 50_000
 OPEN_BINS = 16_384
 # Documents whose pieces arrive as one wave, longest first: a wave opens fewer bins than may be open.
 DOCS_PER_WAVE = 10_000
