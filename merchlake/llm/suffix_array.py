@@ -1,10 +1,10 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 Suffixes are classed as smaller or larger than their successor. The leftmost-smaller substrings are
-sorted by inducing from their first symbols, named, and, where names repeat, ordered by the suffix array
-of the string of names; from their order that of all suffixes is induced, linearly. Over small alphabets
-a whole bucket is induced at once: what it pushes into each other bucket keeps the bucket's order, and
-what it pushes into itself forms its next round.
+sorted, named, and, where names repeat, ordered by the suffix array of the string of names; from their
+order that of all suffixes is induced, linearly. Over small alphabets a whole bucket is induced at once:
+what it pushes into each other bucket keeps the bucket's order, and what it pushes into itself forms its
+next round. Over names, the substrings are short and are sorted by radix, and suffixes are induced one by one.
 """
 
 from __future__ import annotations
@@ -72,27 +72,60 @@ def _induce_buckets(text: np.ndarray, symbols: int, smaller: np.ndarray, order:
 def _induce_in_order(text: np.ndarray, symbols: int, smaller: np.ndarray, order: np.ndarray) -> np.ndarray:
     counts = np.bincount(text, minlength=symbols)
     ends = np.cumsum(counts)
-    codes, is_smaller, found = text.tolist(), smaller.tolist(), [-1] * len(text)
-    tails, heads = ends.tolist(), (ends - counts).tolist()
-    for at in order[::-1].tolist():
-        tails[codes[at]] -= 1
-        found[tails[codes[at]]] = at
-    for rank in range(len(found)):
-        before = found[rank] - 1
-        if before >= 0 and not is_smaller[before]:
-            code = codes[before]
-            found[heads[code]] = before
-            heads[code] += 1
-    tails = ends.tolist()
-    for rank in range(len(found) - 1, -1, -1):
-        before = found[rank] - 1
-        if before >= 0 and is_smaller[before]:
-            code = codes[before]
-            tails[code] -= 1
-            found[tails[code]] = before
+    # Symbol before each suffix if that suffix is larger, or smaller, than this one; an empty place has none.
+    before = np.append(text[-1:], text[:-1]).astype(np.int64)
+    before_smaller = np.append(smaller[-1:], smaller[:-1])
+    before[0], none = -1, len(text)
+    larger_before = np.append(np.where(before_smaller, -1, before), -1).tolist()
+    smaller_before = np.append(np.where(before_smaller, before, -1), -1).tolist()
+    found = np.full(len(text), none, np.int64)
+    _push(found, text, ends.copy(), order[::-1], -1)
+    found, heads, tails = found.tolist(), (ends - counts).tolist(), ends.tolist()
+    for suffix in found:  # places ahead fill up on the way
+        code = larger_before[suffix]
+        if code >= 0:
+            place = heads[code]
+            found[place] = suffix - 1
+            heads[code] = place + 1
+    for suffix in reversed(found):
+        code = smaller_before[suffix]
+        if code >= 0:
+            place = tails[code] = tails[code] - 1
+            found[place] = suffix - 1
     return np.array(found, np.int32)
 
 
+def _radix_names(text: np.ndarray, smaller: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Marks in the order of their substrings, and the substrings' numbers in text order, by rounds of two symbols.
+
+    Of equal symbols the smaller suffix's counts as the higher, as induction would have it.
+    """
+    size = np.append(np.diff(marks) + 1, 1)
+    values = np.append((text.astype(np.uint64) << np.uint64(1)) + smaller + np.uint64(1), np.uint64(0))
+    names, left, offset = np.zeros(len(marks), np.int64), np.arange(len(marks)), 0
+    while len(left):
+        key = names[left].astype(np.uint64)
+        for step in (offset, offset + 1):
+            inside = size[left] > step
+            key = (key << np.uint64(22)) | values[np.where(inside, marks[left] + step, len(text))]
+        # Members of a group stay within the numbers that the group spans.
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        fresh = np.append(True, ordered[1:] != ordered[:-1])
+        first = np.maximum.accumulate(np.where(fresh, np.arange(len(left)), 0))
+        group = names[left][order]
+        start = np.maximum.accumulate(np.where(np.append(True, group[1:] != group[:-1]), np.arange(len(left)), 0))
+        names[left[order]] = group + first - start
+        sizes = np.diff(np.append(np.flatnonzero(fresh), len(left)))
+        offset += 2
+        tied = np.repeat(sizes > 1, sizes)
+        left = left[order][tied]
+        left = np.sort(left[size[left] > offset])
+    ordered = marks[np.argsort(names, kind="stable")]
+    distinct, dense = np.unique(names, return_inverse=True)
+    return ordered, dense.astype(np.int32), len(distinct)
+
+
 def _names(text: np.ndarray, marks: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, int]:
     """Number of each leftmost-smaller substring in sorted order, equal ones alike, listed in text order."""
     size = np.full(len(text), 1, np.int32)  # symbols from one mark to the next, both included
@@ -117,14 +150,18 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     """Starts of the suffixes in order; ``text`` holds numbers below ``symbols`` and ends with its only 0."""
     if len(text) == 1:
         return np.zeros(1, np.int32)
-    induce = _induce_buckets if symbols <= BUCKET_ALPHABET else _induce_in_order
+    by_bucket = symbols <= BUCKET_ALPHABET
+    induce = _induce_buckets if by_bucket else _induce_in_order
     smaller = _smaller(text)
     is_mark = np.zeros(len(text), bool)
     is_mark[1:] = smaller[1:] & ~smaller[:-1]
     marks = np.flatnonzero(is_mark).astype(np.int32)
-    found = induce(text, symbols, smaller, marks)
-    ordered = found[is_mark[found]]
-    names, distinct = _names(text, marks, ordered)
+    if by_bucket or symbols >= 1 << 20:  # symbols too large to be packed
+        found = induce(text, symbols, smaller, marks)
+        ordered = found[is_mark[found]]
+        names, distinct = _names(text, marks, ordered)
+    else:
+        ordered, names, distinct = _radix_names(text, smaller, marks)
     if distinct < len(marks):
         ordered = marks[suffix_array(names, distinct)]
     return induce(text, symbols, smaller, ordered)
