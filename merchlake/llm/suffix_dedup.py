@@ -244,7 +244,8 @@ def repeated_strings(
 
     Copies of a text are not "elsewhere" here; see ``strip_repeats``.
     """
-    found = _segment_table(keyed, length)
+    # Written once: cutting the texts costs more than the table, and it is read twice.
+    found = _written(_segment_table(keyed, length), "all-segments")
     place = F.xxhash64("key_a", "key_b", "start")
     # Only hashes that occur at two places can have repeated strings.
     places = found.groupBy("gram").agg(

@@ -17,7 +17,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD_BYTE = np.array(
     [chr(b).isalnum() or b == 0x5F if b < 0x80 else True for b in range(256)], dtype=bool
 )
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
