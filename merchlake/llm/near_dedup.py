@@ -4,15 +4,18 @@ A document's k-mers are its five-word shingles, each labelled with how many equa
 A sketch takes the k-mers with the smallest hashes and keeps them in text order, so that two documents
 agree on it only where they share k-mers in the same order: the sketch follows edit similarity rather
 than set similarity. Documents that agree on a sketch of two k-mers meet in a bucket. A small bucket
-gives its pairs; in a larger one every document is paired with the bucket's first and last only, and the
-bucket is divided by longer sketches (four, then eight k-mers), so that documents which merely share a
-common passage part, no bucket is ever paired out, and the pairs grow with the documents.
+gives its pairs; in a larger one every document is first paired with the bucket's first and last only, and
+the bucket is divided by longer sketches (four, then eight k-mers), which joins most of what belongs together.
+Whatever large bucket is then still of several classes is compared in full: its documents are dealt to
+blocks, and each pair of blocks is one small task that counts shared shingles by a matrix product and aligns
+only what may be similar. The largest class of a bucket isn't compared with itself, so this work grows with
+what the first step left apart, times the bucket.
 
 Pairs are verified by aligning the two word sequences within a band of diagonals that widens by one for
 each edit; the similarity is that of the shingles the alignment matches, out of all of both documents.
 Verified pairs are joined to classes as connected components. Equal texts are one node throughout.
 
-Per pair, ten sketches miss a similarity of 0.8 with probability (1 - 0.8 * 0.8)^10, about 4 in 100,000.
+Whichever way, every pair that agrees on a sketch of two k-mers ends in one class or is compared. Per pair, ten sketches miss a similarity of 0.8 with probability (1 - 0.8 * 0.8)^10, about 4 in 100,000.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ SIMILARITY = 0.8
 SKETCHES = 10
 DEPTHS = (2, 4, 8)
 SMALL_BUCKET = 8
+# Texts and bytes of a block of a large bucket, and the shingles a matrix product takes at once.
+BLOCK_TEXTS, BLOCK_BYTES, PRODUCT_SHINGLES = 512, 4 << 20, 4096
 # How many of the smallest hashes are looked at first; twice and more what a sketch takes.
 _EXPECTED = 24
 
@@ -97,7 +102,7 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch_table(keyed: DataFrame) -> DataFrame:
-    """key and bucket numbers (SKETCHES arrays of DEPTHS), once for each distinct text with k-mers."""
+    """key, bucket numbers (SKETCHES arrays of DEPTHS) and bytes, once for each distinct text with k-mers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,10 +113,11 @@ def _sketch_table(keyed: DataFrame) -> DataFrame:
                 inner = pa.FixedSizeListArray.from_arrays(flat, len(DEPTHS)).cast(pa.list_(pa.int64()))
                 outer = pa.FixedSizeListArray.from_arrays(inner, SKETCHES).cast(pa.list_(pa.list_(pa.int64())))
                 keys = batch.column("key").slice(first, end - first).take(pa.array(having))
-                yield pa.RecordBatch.from_arrays([keys, outer], ["key", "sketches"])
+                sizes = pa.array([len(texts[first + n]) for n in having], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, outer, sizes], ["key", "sketches", "size"])
 
-    found = keyed.mapInArrow(sketch, "key binary, sketches array<array<bigint>>")
-    return found.groupBy("key").agg(F.first("sketches").alias("sketches"))
+    found = keyed.mapInArrow(sketch, "key binary, sketches array<array<bigint>>, size bigint")
+    return found.groupBy("key").agg(F.first("sketches").alias("sketches"), F.first("size").alias("size"))
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
@@ -204,13 +210,121 @@ def verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     )
 
 
+# --- large buckets of several classes -----------------------------------------------------
+
+
+def open_cells(sketched: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, low and high block, and the block, key and root of each text of the large buckets with several roots.
+
+    A text has a row for each pair of blocks that its own is part of; blocks of a bucket's largest class
+    aren't paired with each other.
+    """
+    rooted = sketched.join(roots, sketched["key"] == roots["node"], "left").select(
+        "key", F.coalesce("root", "key").alias("root"), "size", F.transform("sketches", lambda b: b[0]).alias("b")
+    )
+    met = rooted.select("key", "root", "size", F.explode("b").alias("bucket"))
+    by_root = met.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    whole = by_root.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.sum("size").alias("bytes"), F.max(F.struct("n", "size", "root")).alias("major")
+    )
+
+    def blocks(texts: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(texts / BLOCK_TEXTS), F.ceil(size / BLOCK_BYTES), F.lit(1))
+
+    several = whole.where((F.col("n") > SMALL_BUCKET) & (F.col("n") > F.col("major.n"))).select(
+        "bucket",
+        F.col("major.root").alias("major"),
+        blocks(F.col("n") - F.col("major.n"), F.col("bytes") - F.col("major.size")).alias("minors"),
+        blocks(F.col("major.n"), F.col("major.size")).alias("majors"),
+    )
+    minor = F.col("root") != F.col("major")
+    dealt = met.join(several, "bucket").withColumn(
+        "block",
+        F.when(minor, F.pmod(F.xxhash64("key"), "minors")).otherwise(F.col("minors") + F.pmod(F.xxhash64("key"), "majors")),
+    )
+    others = F.sequence(F.lit(0).cast("bigint"), F.col("minors") + F.when(minor, F.col("majors")).otherwise(0) - 1)
+    return dealt.withColumn("other", F.explode(others)).select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "root"
+    )
+
+
+def _shared_counts(row: np.ndarray, codes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shingles in common of the texts ``left`` with the texts ``right``; ``codes`` are labelled, ``row`` their texts."""
+    _, number, times = np.unique(codes, return_inverse=True, return_counts=True)
+    common = times > 1
+    number, row = (np.cumsum(common) - 1)[number[common[number]]], row[common[number]]
+    order = np.argsort(number, kind="stable")
+    number, row = number[order], row[order]
+    n_texts = 1 + max(left.max(), right.max())
+    result = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(common.sum()), PRODUCT_SHINGLES):
+        start, end = np.searchsorted(number, [first, first + PRODUCT_SHINGLES])
+        has = np.zeros((n_texts, PRODUCT_SHINGLES), np.float32)
+        has[row[start:end], number[start:end] - first] = 1
+        result += has[left] @ has[right].T
+    return result
+
+
+def _cell_links(cell: pa.Table) -> pa.Table:
+    """Similar pairs (a < b) of a cell's two blocks that join different roots; pairs that meet in a sketch before are left to it."""
+    keys, roots = cell.column("key").to_pylist(), cell.column("root").to_pylist()
+    bucket, low, high = (cell.column(name)[0].as_py() for name in ("bucket", "low", "high"))
+    block, met = cell.column("block").to_numpy(), np.array(cell.column("b").to_pylist(), np.int64)
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    found = []
+    if len(left) and len(right):
+        words = words_of([text.encode() for text in cell.column("text").to_pylist()])
+        codes, whole = shingles(words, SHINGLE)
+        codes, row = codes[whole], words.text[: len(codes)][whole]
+        counts = np.bincount(row, minlength=len(keys))
+        shared = _shared_counts(row, _labelled(codes, row), left, right)
+        maybe = shared >= SIMILARITY * (counts[left][:, None] + counts[right][None, :] - shared) - 1e-3
+        joined: dict[bytes, bytes] = {}
+
+        def root(node: bytes) -> bytes:
+            while node in joined:
+                node = joined[node]
+            return node
+
+        for i, j in zip(*np.nonzero(maybe)):
+            x, y = int(left[i]), int(right[j])
+            if low == high and x >= y or met[x][np.argmax(met[x] == met[y])] != bucket:
+                continue
+            first, second = root(roots[x]), root(roots[y])
+            if first == second:
+                continue  # in one class already, or by a pair of this cell
+            a, b = (words.hashes[words.bounds[n] : words.bounds[n + 1]] for n in (x, y))
+            if aligned_similarity(a, b, SIMILARITY):
+                joined[first] = second
+                found.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())})
+
+
+def links_left(sketched: DataFrame, roots: DataFrame, keyed: DataFrame) -> DataFrame | None:
+    """Similar pairs (a, b) of different roots that share a large bucket; None if no large bucket has several roots."""
+    cells = _written(open_cells(sketched, roots), "cells")
+    if cells.isEmpty():
+        return None
+    needed = cells.select("key").distinct()
+    firsts = sketched.select("key", F.transform("sketches", lambda b: b[0]).alias("b"))
+    texts = _written(
+        keyed.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).join(firsts, "key"), "open-texts"
+    )
+    found = cells.join(texts, "key").groupBy("bucket", "low", "high").applyInArrow(_cell_links, "a binary, b binary")
+    return _written(found, "links-left")
+
+
 # --- classes ----------------------------------------------------------------------------
 
 
 def class_roots(keyed: DataFrame) -> DataFrame:
     """(node, root) of distinct texts (key, text) that are near a text with a smaller key."""
-    pairs = _written(candidate_pairs(_written(_sketch_table(keyed), "sketches")), "pairs")
-    return components(verified(pairs, keyed))
+    sketched = _written(_sketch_table(keyed), "sketches")
+    pairs = _written(candidate_pairs(sketched), "pairs")
+    near = _written(verified(pairs, keyed), "near")
+    roots = components(near)
+    more = links_left(sketched, roots, keyed)
+    return roots if more is None or more.isEmpty() else components(near.unionByName(more))
 
 
 def _rooted(ids: DataFrame, roots: DataFrame) -> DataFrame:

@@ -121,6 +121,24 @@ def test_large_groups_and_common_passages(spark):
     assert all(found[i] == (i if 200 <= i < 400 else 0) for i, _ in rows)
 
 
+def test_large_group_of_edited_copies_matches_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    base, texts = [word() for _ in range(300)], {}
+    for n in range(700):  # most pairs are just under the threshold, few above
+        copy = list(base)
+        for at in rng.sample(range(300), rng.randint(4, 8)):
+            copy[at] = word()
+        texts[n] = " ".join(copy)
+    held = {i: grams(words(text)) for i, text in texts.items()}
+    sets = {i: set(g) for i, g in held.items()}
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    expected = partition(texts, [(a, b) for a, b in near if similar(texts[a].encode(), texts[b].encode())])
+    assert 50 < len(set(expected.values())) < 700
+    found = classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == expected
+
+
 def test_nulls_short_texts_repeats_and_clashes(spark):
     text = "one two three four five six seven eight nine ten " * 3
     schema = "doc_id long, text string, key string, class_id int"
