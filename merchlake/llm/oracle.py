@@ -47,3 +47,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     NOT base_failed AND remaining >= 10 AND 100 * remaining >= 30 * n_words AS kept, n_removed_words
 FROM judged
 """
+
+ORACLE["op12_ranked_lexical_search"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), q AS (
+    SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+    FROM benchmark
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS all_terms FROM d WHERE len(terms) > 0
+), tf AS (
+    SELECT id, doc_id, n, term, count(*) AS tf FROM (SELECT id, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+    GROUP BY id, doc_id, n, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tf, totals GROUP BY term, n_docs
+), impacts AS (
+    SELECT id, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // all_terms)) AS impact
+    FROM tf, totals
+), scored AS (
+    SELECT item, item_id, id, doc_id, sum(w * impact)::BIGINT AS score
+    FROM (SELECT item, item_id, unnest(terms) AS term FROM q) JOIN weights USING (term) JOIN impacts USING (term)
+    GROUP BY item, item_id, id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

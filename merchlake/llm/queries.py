@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import decontaminate, language_id, line_quality, near_dedup, packing, passages, sharding, suffix_dedup, token_counts, toxicity
+from merchlake.llm import (
+    decontaminate,
+    impact_search,
+    language_id,
+    line_quality,
+    near_dedup,
+    packing,
+    passages,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    whitening,
+)
 from merchlake.llm.shipping import ship_package
 from merchlake.session import configure
 
@@ -112,3 +125,15 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fuzzy passages of 50 words and more that documents share."""
     return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of all for each benchmark item."""
+    return impact_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_register
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 32 whitened components of every usable vector."""
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
