@@ -20,6 +20,7 @@ from merchlake.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    url_rules,
     whitening,
 )
 from merchlake.llm.shipping import ship_package
@@ -32,6 +33,13 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 1024
 END_ID = 2
 SHARDS = 24
+# The site rules of the query on URLs.
+SITE_RULES = (
+    url_rules.SiteRule("block", "net", "/"),
+    url_rules.SiteRule("allow", "example.net", "/en/"),
+    url_rules.SiteRule("block", "example.com", "/de/"),
+    url_rules.SiteRule("allow", "org", "/fr/"),
+)
 
 
 def _register(query: Query) -> Query:
@@ -127,6 +135,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL, by site rules and by token rules mined from the labels."""
+    pages = _table(spark, sf_dir, "pages")
+    mined = url_rules.mine(url_rules.labelled_urls(pages, _table(spark, sf_dir, "labels")))
+    return url_rules.judge(pages, SITE_RULES, mined)
+
+
 @_register
 def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of all for each benchmark item."""
