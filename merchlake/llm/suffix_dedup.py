@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from merchlake.llm.passages import sliding
 from merchlake.llm.suffix_array import repeated_windows
+from merchlake.llm.text import packed_texts
 from merchlake.llm.words import chunks, mix
 from merchlake.session import fresh_path
 
@@ -126,27 +127,13 @@ def _segment_table(keyed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _packed(keyed: DataFrame) -> DataFrame:
-    """The rows with their texts compressed."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = pa.array([t if t is None else squeeze(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
-            yield batch.set_column(at, "text", texts)
-
-    schema = ", ".join(f"{name} {'binary' if name == 'text' else kind}" for name, kind in keyed.dtypes)
-    return keyed.mapInArrow(pack, schema)
-
-
 def _segment_texts(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
     """The wanted segments (gram, content, strings, lead, large, key_a, key_b, start) with their bytes."""
     lists = wanted.groupBy("key_a", "key_b").agg(
         F.collect_list(F.struct("gram", "content", "strings", "lead", "large", "start", "length")).alias("wants")
     )
     # Copies of a text collapse where they are read; a text's list is no longer than the text.
-    texts = _packed(keyed).groupBy("key_a", "key_b").agg(F.first("text").alias("text"))
+    texts = packed_texts(keyed).groupBy("key_a", "key_b").agg(F.first("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -319,7 +306,7 @@ def strip_repeats(
     )
     # A list holds at most a run for every few bytes of its text.
     lists = near.unionByName(copies).groupBy("key_a", "key_b").agg(F.collect_set(F.struct("first", "repeated")).alias("runs"))
-    joined = _packed(rows.select("doc_id", *_key(F.col("text")), "text")).join(lists, ["key_a", "key_b"], "left")
+    joined = packed_texts(rows.select("doc_id", *_key(F.col("text")), "text")).join(lists, ["key_a", "key_b"], "left")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

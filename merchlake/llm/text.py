@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 
@@ -23,6 +25,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 
 
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """The rows with their column ``text`` compressed, a null as it is."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = pa.array([t if t is None else squeeze(t.encode()) for t in batch.column(at).to_pylist()], pa.binary())
+            yield batch.set_column(at, "text", texts)
+
+    schema = ", ".join(f"{name} {'binary' if name == 'text' else kind}" for name, kind in rows.dtypes)
+    return rows.mapInArrow(pack, schema)
+
+
 def _ranges(points: list[int]) -> str:
     spans: list[list[int]] = []
     for point in points:
