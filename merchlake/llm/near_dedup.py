@@ -25,12 +25,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake.llm.alignment import align
 from merchlake.llm.components import components
-from merchlake.llm.text import spare_name
+from merchlake.llm.text import packed_texts, spare_name
 from merchlake.llm.words import chunks, mix, shingles, words_of
 from merchlake.session import fresh_path
 
@@ -194,13 +195,14 @@ def verified(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
     needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     # Copies collapse before the shuffle; only texts that are in a pair go on.
     texts = _written(
-        keyed.groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi"), "paired-texts"
+        packed_texts(keyed).groupBy("key").agg(F.first("text").alias("text")).join(needed, "key", "left_semi"), "paired-texts"
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            same = [similar(a.encode(), b.encode()) for a, b in zip(left, right)]
+            same = [similar(unpack(a), unpack(b)) for a, b in zip(left, right)]
             yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     first = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
@@ -273,7 +275,8 @@ def _cell_links(cell: pa.Table) -> pa.Table:
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
     found = []
     if len(left) and len(right):
-        words = words_of([text.encode() for text in cell.column("text").to_pylist()])
+        unpack = zstandard.ZstdDecompressor().decompress
+        words = words_of([unpack(text) for text in cell.column("text").to_pylist()])
         codes, whole = shingles(words, SHINGLE)
         codes, row = codes[whole], words.text[: len(codes)][whole]
         counts = np.bincount(row, minlength=len(keys))
@@ -308,7 +311,8 @@ def links_left(sketched: DataFrame, roots: DataFrame, keyed: DataFrame) -> DataF
     needed = cells.select("key").distinct()
     firsts = sketched.select("key", F.transform("sketches", lambda b: b[0]).alias("b"))
     texts = _written(
-        keyed.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")).join(firsts, "key"), "open-texts"
+        packed_texts(keyed.join(needed, "key", "left_semi")).groupBy("key").agg(F.first("text").alias("text")).join(firsts, "key"),
+        "open-texts",
     )
     found = cells.join(texts, "key").groupBy("bucket", "low", "high").applyInArrow(_cell_links, "a binary, b binary")
     return _written(found, "links-left")

@@ -79,7 +79,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without the 400-byte strings that start at another place too."""
     kept = suffix_dedup.strip_repeats(_table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", digest, (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 @_register

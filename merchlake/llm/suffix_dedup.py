@@ -227,7 +227,8 @@ def repeated_strings(
     shard_bytes: int = SHARD_BYTES,
     max_group_bytes: int = MAX_GROUP_BYTES,
 ) -> DataFrame:
-    """key_a, key_b, first, repeated: runs of string starts, in each distinct text (key_a, key_b, text), that occur elsewhere.
+    """key_a, key_b, start, runs (first, repeated): runs of string starts that occur elsewhere, counted from ``start``, a byte
+    of the distinct text (key_a, key_b, text).
 
     Copies of a text are not "elsewhere" here; see ``strip_repeats``.
     """
@@ -262,9 +263,27 @@ def repeated_strings(
     runs = _by_suffix_arrays(cut.where("not large"), length, shard_bytes).unionByName(
         _by_counting(cut.where("large"), length)
     )
-    return members.join(runs, ["gram", "content", "strings"]).select(
-        "key_a", "key_b", (F.col("start") + F.col("first")).alias("first"), "repeated"
-    )
+    segment = ["gram", "content", "strings"]
+    # A segment's runs are one row, so that the join makes one row for each member, however many strings repeat.
+    by_segment = runs.groupBy(*segment).agg(F.collect_list(F.struct("first", "repeated")).alias("runs"))
+    joined = by_segment.mapInArrow(_joined_runs, by_segment.schema)
+    return members.join(joined, segment).select("key_a", "key_b", "start", "runs")
+
+
+def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with ``runs`` (first, repeated) that follow each other made one."""
+    for batch in batches:
+        found = []
+        for runs in batch.column("runs").to_pylist():
+            joined: list[list[int]] = []
+            for first, count in sorted((r["first"], r["repeated"]) for r in runs):
+                if joined and first <= joined[-1][0] + joined[-1][1]:
+                    joined[-1][1] = max(joined[-1][1], first + count - joined[-1][0])
+                else:
+                    joined.append([first, count])
+            found.append([{"first": first, "repeated": count} for first, count in joined])
+        at = batch.schema.get_field_index("runs")
+        yield batch.set_column(at, "runs", pa.array(found, batch.schema.field(at).type))
 
 
 def removed_spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -302,10 +321,15 @@ def strip_repeats(
         .groupBy("key_a", "key_b")
         .agg(F.count("*").alias("n"), F.first("size").alias("size"))
         .where("n > 1")
-        .select("key_a", "key_b", F.lit(0).alias("first"), (F.col("size") - length + 1).alias("repeated"))
+        .select(
+            "key_a",
+            "key_b",
+            F.lit(0).alias("start"),
+            F.array(F.struct(F.lit(0).alias("first"), (F.col("size") - length + 1).alias("repeated"))).alias("runs"),
+        )
     )
     # A list holds at most a run for every few bytes of its text.
-    lists = near.unionByName(copies).groupBy("key_a", "key_b").agg(F.collect_set(F.struct("first", "repeated")).alias("runs"))
+    lists = near.unionByName(copies).groupBy("key_a", "key_b").agg(F.collect_set(F.struct("start", "runs")).alias("runs"))
     joined = packed_texts(rows.select("doc_id", *_key(F.col("text")), "text")).join(lists, ["key_a", "key_b"], "left")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +338,8 @@ def strip_repeats(
             found = []
             for packed, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
                 data = unpack(packed)
-                spans = removed_spans([(r["first"], r["repeated"]) for r in runs or ()], length)
+                own = [(part["start"] + r["first"], r["repeated"]) for part in runs or () for r in part["runs"]]
+                spans = removed_spans(own, length)
                 edges = [0, *(edge for span in spans for edge in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 found.append((len(data), len(data) - len(kept), len(spans), kept))
