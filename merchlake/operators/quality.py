@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from merchlake.functions.skew import SALT, for_every_salt, salted
+from merchlake.functions.skew import hot_keys_of, spread_join
 from merchlake.functions.text import is_moment, missing_as_null
 from merchlake.model import RELATIONS, Relation, ValueRule
+from merchlake.session import fresh_path
 from merchlake.sources.files import write_json
 
 
@@ -153,18 +154,25 @@ def dangling_rows(
 ) -> DataFrame:
     """Child rows whose reference finds no parent.
 
-    Only the distinct references are compared with the parent; the few that fail are then
-    looked up in the child, as a broadcast when Spark finds them small, else by a salted join.
+    Only the distinct references are compared with the parent. The few that fail are stored with their numbers
+    of rows and looked up in the child, the rows of a frequent one spread over several tasks.
     """
     key = F.col(column).cast("string")
     known = parent.select(F.col(parent_key).cast("string").alias("_ref")).filter("_ref IS NOT NULL")
-    used = child.select(key.alias("_ref")).filter("_ref IS NOT NULL").distinct()
-    lost = for_every_salt(used.join(known, "_ref", "left_anti")).withColumnRenamed(SALT, "_lost_salt")
-    found = salted(child).join(lost, (key == lost["_ref"]) & (F.col(SALT) == F.col("_lost_salt")), "left_semi")
-    rows = found.drop(SALT)
+    used = child.select(key.alias("_ref")).filter("_ref IS NOT NULL").groupBy("_ref").agg(F.count("*").alias("_uses"))
+    lost = _stored(used.join(known, "_ref", "left_anti"), "lost-references")
+    hot = hot_keys_of(lost, ["_ref"], "_uses")
+    found = spread_join(child.withColumn("_ref", key), lost.select("_ref"), ["_ref"], "left_semi", hot)
+    rows = found.select(*[F.col(f"`{name}`") for name in child.columns])
     return rows.unionByName(child.filter(F.col(column).isNull())) if nulls_count else rows
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 _CANDIDATE = ("dataset", "error", "row_id", "value", "parent", "ref")
 
 
@@ -175,12 +183,13 @@ def _candidate(name: str, error: str, value: Column, parent: str | None, ref: Co
 
 
 def _confirmed(candidates: list[DataFrame], ledger: DataFrame) -> DataFrame:
-    """The candidates that are errors, by one salted join with the lost keys."""
+    """The candidates that are errors, by one join with the lost keys; the rows of a frequent one are spread."""
     uses = sum((F.col(_count_name(child, column)) for child, column, _ in _uses()), F.lit(0))
     lost = ledger.filter(F.col("key").isNotNull() & (F.col("holds") == 0) & (uses > 0)).select(
-        F.col("relation").alias("parent"), F.col("key").alias("ref"), F.lit(True).alias("lost")
+        F.col("relation").alias("parent"), F.col("key").alias("ref"), uses.alias("uses"), F.lit(True).alias("lost")
     )
-    joined = salted(_union(candidates)).join(for_every_salt(lost), ["parent", "ref", SALT], "left")
+    lost, key = _stored(lost, "lost-keys"), ["parent", "ref"]
+    joined = spread_join(_union(candidates), lost.drop("uses"), key, "left", hot_keys_of(lost, key, "uses"))
     return joined.filter((F.col("parent") == "") | F.col("lost")).select("dataset", "error", "row_id", "value")
 
 
