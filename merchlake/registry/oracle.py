@@ -899,3 +899,29 @@ ORACLE["analytics_reports"] = _union(
         ),
     )
 )
+
+_RAW_LINES = """
+SELECT 'products' AS dataset, p_size >= 49 AS malformed, CASE
+    WHEN p_size = 50 THEN concat_ws(',', p_partkey, p_name, p_type, p_retailprice, p_size, 'surplus')
+    WHEN p_size = 49 THEN concat_ws(',', p_partkey, '"' || p_name, p_type)
+    ELSE '' END AS line
+FROM part
+UNION ALL
+SELECT 'reviews', event_type = 'error', CASE
+    WHEN event_type = 'error' THEN concat_ws(',', event_id, user_id, props ->> '$.k', '5', event_type)
+    ELSE '' END
+FROM events
+"""
+
+ORACLE["scan_malformed"] = f"SELECT dataset, line FROM ({_RAW_LINES}) WHERE malformed"
+
+ORACLE["dq_audit_files"] = f"""
+WITH lines AS (
+    SELECT dataset, count(*) AS rows_checked, count(*) FILTER (WHERE malformed) AS malformed_lines FROM ({_RAW_LINES}) GROUP BY dataset
+), others AS (
+    SELECT 'customers' AS dataset, count(*) AS rows_checked, 0 AS malformed_lines FROM customer
+    UNION ALL SELECT 'orders', count(*), 0 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+    UNION ALL SELECT 'payments', count(*), 0 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+)
+SELECT dataset, rows_checked, malformed_lines, false AS passed FROM (SELECT * FROM lines UNION ALL SELECT * FROM others)
+"""

@@ -139,6 +139,32 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def _raw_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of the five raw files, of which products and reviews hold lines that lost or gained fields on the way."""
+    folder = fresh_path(spark, "raw")
+    tables = raw_feed.tables(spark, sf_dir)
+    for name in ("customers", "orders", "payments"):
+        files.write_csv(tables[name], f"{folder}/{name}.csv")
+    for name, lines in raw_feed.lines(spark, sf_dir).items():
+        files.write_lines(lines, model.RELATIONS[name].columns, f"{folder}/{name}.csv")
+    return folder
+
+
+@_register
+def scan_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw line that doesn't have the fields of its table, as it stands in the file."""
+    return files.malformed_lines(spark, _raw_lines(spark, sf_dir))
+
+
+@_register
+def dq_audit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of raw files, malformed lines counted."""
+    folder = _raw_lines(spark, sf_dir)
+    tables = quality.mark_missing(files.read_text_tables(spark, folder))
+    report = quality.audit_report(quality.audit_findings(tables, files.malformed_lines(spark, folder)))
+    return report.select("dataset", "rows_checked", "malformed_lines", "passed")
+
+
 @_register
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = files.export_to_parquet(product_sales_summary(spark, sf_dir), fresh_path(spark, "export"))
@@ -497,7 +523,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @_register
 def dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.audit_report(quality.audit_findings(_raw(spark, sf_dir))).drop("invalid_value_counts")
+    return quality.audit_report(quality.audit_findings(_raw(spark, sf_dir))).drop("invalid_value_counts", "malformed_lines")
 
 
 @_register

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,6 +22,14 @@ _CSV = {
 }
 
 
+# The column that takes a line which does not have its table's fields.
+MALFORMED = "_malformed"
+
+
+class MalformedLinesError(ValueError):
+    """A raw file holds lines that don't have the fields of its table."""
+
+
 def _as_text(schema: StructType) -> StructType:
     return StructType([StructField(name, StringType(), True) for name in schema.fieldNames()])
 
@@ -83,19 +93,49 @@ def read_text_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return tables
 
 
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(dataset, line) of the raw lines with too few or too many fields, an unclosed quote among the causes.
+
+    The reader keeps such lines whole in a column of their own; read as rows, their missing fields would be NULL
+    and those beyond the last one lost. Blank lines are no rows.
+    """
+    found = []
+    for name, relation in model.RELATIONS.items():
+        schema = _as_text(relation.schema).add(MALFORMED, StringType())
+        # Without pruning every line is parsed whole, whatever columns are asked for.
+        options = {**_CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "columnPruning": False}
+        table = spark.read.options(**options).csv(f"{folder}/{name}.csv", schema=schema)
+        # The reader refuses to give out this column alone; a condition that always holds asks for another one.
+        asked = F.octet_length(F.coalesce(F.col(relation.key), F.lit(""))) >= 0
+        found.append(table.where(F.col(MALFORMED).isNotNull() & asked).select(F.lit(name).alias("dataset"), F.col(MALFORMED).alias("line")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def require_whole_lines(spark: SparkSession, folder: str, path: str) -> None:
+    """Write the malformed lines of a folder's raw tables to ``path`` and raise if there are any."""
+    seen = Observation()
+    malformed_lines(spark, folder).observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
+    if seen.get["n"]:
+        raise MalformedLinesError(f"{seen.get['n']} malformed lines, all listed in {path}")
+
+
 def typed(table: DataFrame, schema: StructType) -> DataFrame:
     """Cast a text table to its schema; a bad value raises (ANSI casts)."""
     return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def load_processed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Processed CSV tables, strictly cast to the base schemas; extra columns are left out."""
+    """Processed CSV tables, strictly cast to the base schemas; extra columns are left out.
+
+    A value that can't be cast raises, and so does a line with more or fewer fields than the header.
+    """
     tables = {}
     for name, relation in model.RELATIONS.items():
         path = f"{folder}/{name}.csv"
         if not exists(spark, path):
             raise FileNotFoundError(f"processed table missing: {path}")
-        text = spark.read.options(**_CSV).csv(path)
+        # Without pruning every line is parsed whole, whatever columns are asked for.
+        text = spark.read.options(**_CSV, mode="FAILFAST", columnPruning=False).csv(path)
         tables[name] = typed(text, relation.schema)
     return tables
 
@@ -120,6 +160,14 @@ def write_csv(table: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_lines(table: DataFrame, columns: list[str], path: str) -> str:
+    """The column ``line`` as it is, line by line, under a header in every part file."""
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    plain |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table.select(F.col("line").alias(",".join(columns))).write.mode("overwrite").options(**plain).csv(path)
+    return path
+
+
 def write_tables_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return {name: write_csv(table, f"{folder}/{name}.csv") for name, table in tables.items()}
 

@@ -23,6 +23,7 @@ OTHER_KEY = "X-"
 RESERVED_STOCK = 10
 URGENT = "1-URGENT"
 VALUE_PER_STAR = 30
+LARGEST_SIZE = 50
 
 
 def _text(column: str) -> Column:
@@ -123,6 +124,29 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lines(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw lines (line) of products and reviews, as they came over a bad connection.
+
+    Products of the largest size have a field too many and those of the next one end in an open quote; errors
+    among the reviews lack their date.
+    """
+    parts = canonical.table(spark, sf_dir, "part")
+    fields = ("p_partkey", "p_name", "p_type", "p_retailprice", "p_size")
+    product = F.concat_ws(",", *[_text(c) for c in fields])
+    product = (
+        F.when(F.col("p_size") == LARGEST_SIZE, F.concat(product, F.lit(",surplus")))
+        .when(F.col("p_size") == LARGEST_SIZE - 1, F.concat_ws(",", _text("p_partkey"), F.concat(F.lit('"'), "p_name"), "p_type"))
+        .otherwise(product)
+    )
+    events = canonical.table(spark, sf_dir, "events")
+    review = (_text("event_id"), _text("user_id"), F.get_json_object("props", "$.k"), F.lit("5"), F.col("event_type"))
+    review = F.when(F.col("event_type") == "error", F.concat_ws(",", *review)).otherwise(F.concat_ws(",", *review, _moment("ts")))
+    return {
+        "products": parts.select(product.alias("line")),
+        "reviews": events.select(review.alias("line")),
+    }
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "customers": customers(spark, sf_dir),

@@ -216,3 +216,50 @@ def test_recorded_batch_is_not_applied_again(spark, work, tables):
     assert "Shipped" not in {r.status for r in keyed_table.read(spark, path).collect()}
     keyed_table.upsert(spark, path, other, "order_id", batch=("another query", 7))
     assert {r.status for r in keyed_table.read(spark, path).collect()} == {"Shipped"}
+
+
+def _raw_folder(tables, work, lines):
+    """The clean tables as CSV, with more lines at the end of reviews."""
+    files.write_tables_csv(tables, work)
+    part = next(Path(f"{work}/reviews.csv").glob("part-*.csv"))
+    part.write_text(part.read_text() + "".join(f"{line}\n" for line in lines))
+    for crc in Path(f"{work}/reviews.csv").glob(".*.crc"):
+        crc.unlink()
+
+
+WHOLE = "R9,C1,P1,5,fine,2025-04-01 00:00:00"
+MALFORMED = [
+    "R1,C1,P1,5,text,2025-04-01 00:00:00,more,and more",
+    "R2,C1,P1",
+    'R3,C1,P1,5,"open quote,2025-04-01 00:00:00',
+    ",,,,,,",
+]
+
+
+def test_malformed_lines_are_kept_whole(spark, work, tables):
+    _raw_folder(tables, work, [*MALFORMED, WHOLE, "", 'R5,C1,P1,5,"a ""quoted, text""",2025-04-01 00:00:00'])
+    found = files.malformed_lines(spark, work)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(("reviews", line) for line in MALFORMED)
+    with pytest.raises(files.MalformedLinesError, match="4 malformed lines"):
+        files.require_whole_lines(spark, work, f"{work}/malformed")
+    assert spark.read.parquet(f"{work}/malformed").count() == 4
+
+
+def test_whole_files_have_no_malformed_lines(spark, work, tables):
+    _raw_folder(tables, work, [WHOLE])
+    assert files.malformed_lines(spark, work).isEmpty()
+    files.require_whole_lines(spark, work, f"{work}/malformed")
+
+
+@pytest.mark.parametrize("line", MALFORMED)
+def test_a_strict_load_raises_on_a_malformed_line(spark, work, tables, line):
+    _raw_folder(tables, work, [line])
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.load_processed(spark, work)["reviews"].select("review_id").collect()
+
+
+def test_lines_are_written_as_they_are(spark, work):
+    lines = ['a,"b', " padded ,x", "é,", '""', "back\\slash,y"]
+    files.write_lines(spark.createDataFrame([(line,) for line in lines], "line string"), ["p", "q"], f"{work}/raw.csv")
+    read = [r.value for r in spark.read.text(f"{work}/raw.csv").collect()]
+    assert sorted(line for line in read if line != "p,q") == sorted(lines) and "p,q" in read
