@@ -3,7 +3,8 @@
 A double sum depends on the order of its rows, and casting every row to a decimal costs about ten
 times the sum itself. Each amount is split into whole units and 10^-8 parts, which are summed as plain
 64-bit integers (the units in a high and a low half): exact to 8 digits in any order, and safe from
-overflow up to 9 * 10**10 rows per group, beyond which the job fails rather than errs.
+overflow up to 9 * 10**10 rows per group, beyond which the job fails rather than errs. It also fails on single
+amounts from 9 * 10**18 on.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ _LIMIT = 9.0e18
 
 
 def known(amount: Column) -> Column:
-    """The amount, or NULL if it is no finite number that can be summed (NaN counts as missing)."""
-    return F.when(F.abs(amount) < _LIMIT, amount)
+    """The amount; NaN counts as missing. An amount that can't be summed, as an infinite one, fails the job."""
+    beyond = F.raise_error(F.concat(F.lit("an amount can't be summed: "), amount.cast("string"))).cast("double")
+    return F.when(F.abs(amount) < _LIMIT, amount).when(amount.isNull() | F.isnan(amount), F.lit(None)).otherwise(beyond)
 
 
 def counted(amount: Column) -> Column:

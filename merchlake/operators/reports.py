@@ -150,12 +150,35 @@ def top_selling_products(orders: DataFrame, products: DataFrame, limit: int = 10
     )
 
 
-def revenue_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
+# Of 2^14 registers the standard error is 0.8 %; a sketch takes 16 kB.
+_LOG_REGISTERS = 14
+
+
+def distinct_sketches(table: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """A HyperLogLog sketch of a column's values for each group; those of stored groups can be merged later."""
+    return table.groupBy(*keys).agg(F.hll_sketch_agg(column, F.lit(_LOG_REGISTERS)).alias("sketch"))
+
+
+def distinct_of(sketch: Column) -> Column:
+    """Aggregate: about how many values the sketches of several groups have seen together."""
+    return F.hll_sketch_estimate(F.hll_union_agg(sketch))
+
+
+def revenue_by_category(orders: DataFrame, products: DataFrame, approximate: bool = False) -> DataFrame:
+    """Products, units and revenue by category; ``approximate`` estimates the number of products by a sketch.
+
+    An exact count shuffles every distinct product of a category, a sketch 16 kB for each task and category.
+    """
+    products_of = (
+        F.hll_sketch_estimate(F.hll_sketch_agg("product_id", F.lit(_LOG_REGISTERS)))
+        if approximate
+        else F.count_distinct("product_id")
+    )
     return (
         products.join(_sales_per(orders, "product_id"), "product_id", "left")
         .groupBy("category")
         .agg(
-            F.count_distinct("product_id").alias("product_count"),
+            products_of.alias("product_count"),
             F.coalesce(F.sum("units"), F.lit(0)).alias("total_quantity_sold"),
             money.rounded(F.sum("revenue")).alias("total_revenue"),
         )
