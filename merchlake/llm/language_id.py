@@ -51,15 +51,23 @@ def fit(labelled: DataFrame) -> dict[str, bytes]:
         .withColumn("n", F.row_number().over(by_rank))
         .where(F.col("n") <= TEXTS_PER_LANGUAGE)
     )
+    number = F.count("*").over(Window.partitionBy("lang")).alias("of")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Equal shares of each text, so that one long text does not fill the dictionary.
+            shares = [max(DICTIONARY_BYTES // of, 512) for of in batch.column("of").to_pylist()]
+            words = [words_only(text)[:share] for text, share in zip(batch.column("text").to_pylist(), shares)]
+            yield batch.select(["lang", "n"]).append_column("words", pa.array(words, pa.string()))
+
+    shares = sample.select("lang", "n", "text", number).mapInArrow(cut, "lang string, n int, words string")
     texts: dict[str, list[str]] = defaultdict(list)
-    for row in sample.orderBy("lang", "n").collect():
-        texts[row.lang].append(words_only(row.text))
-    found = {}
-    for lang, own in sorted(texts.items()):
-        # Equal shares of each text, so that one long text does not fill the dictionary.
-        share = max(DICTIONARY_BYTES // len(own), 512)
-        found[lang] = "\n".join(text[:share] for text in dict.fromkeys(own)).encode()[:DICTIONARY_BYTES]
-    return found
+    # No more than DICTIONARY_BYTES characters for each language.
+    for row in shares.orderBy("lang", "n").collect():
+        texts[row.lang].append(row.words)
+    return {
+        lang: "\n".join(dict.fromkeys(own)).encode()[:DICTIONARY_BYTES] for lang, own in sorted(texts.items())
+    }
 
 
 class Judge:

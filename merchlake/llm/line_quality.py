@@ -117,7 +117,7 @@ def _text_key(text: Column) -> list[Column]:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """host, the text's key, a line's hash and the words of all its occurrences, for each distinct text of a host."""
+    """host, the text's key, a line's hash, the words of all its occurrences, and the text's documents (copies), for each distinct text of a host."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def described(normal: Column) -> Column:
@@ -133,11 +133,11 @@ def document_lines(docs: DataFrame) -> DataFrame:
         *_text_key(text),
         F.filter(lines, lambda line: line["words"] > 0).alias("lines"),
     )
-    distinct = per_row.groupBy("host", "key_a", "key_b").agg(F.first("lines").alias("lines"))
+    distinct = per_row.groupBy("host", "key_a", "key_b").agg(F.first("lines").alias("lines"), F.count("*").alias("copies"))
     return (
-        distinct.select("host", "key_a", "key_b", F.explode("lines").alias("found"))
+        distinct.select("host", "key_a", "key_b", "copies", F.explode("lines").alias("found"))
         .groupBy("host", F.col("found.line").alias("line"), "key_a", "key_b")
-        .agg(F.sum("found.words").alias("words"))
+        .agg(F.sum("found.words").alias("words"), F.first("copies").alias("copies"))
     )
 
 
@@ -152,7 +152,7 @@ def quality(
     """
     lines = document_lines(docs)
     frequent = (
-        lines.groupBy("host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > max_documents)
+        lines.groupBy("host", "line").agg(F.sum("copies").alias("documents")).where(F.col("documents") > max_documents)
     )
     removed = (
         lines.join(frequent, ["host", "line"]).groupBy("host", "key_a", "key_b").agg(F.sum("words").alias("removed"))

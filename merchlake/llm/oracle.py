@@ -21,15 +21,15 @@ WITH d AS (
 ), covered AS (
     SELECT id, count(DISTINCT word) AS n FROM (SELECT id, unnest(range(pos, pos + 5)) AS word FROM repeated) GROUP BY id
 ), texts AS (
-    SELECT DISTINCT host, body, lines FROM split
+    SELECT host, body, lines, count(*) AS copies FROM split GROUP BY host, body, lines
 ), each_line AS (
-    SELECT host, body, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
-    FROM (SELECT host, body, unnest(lines) AS line FROM texts)
+    SELECT host, body, copies, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+    FROM (SELECT host, body, copies, unnest(lines) AS line FROM texts)
 ), per_text AS (
-    SELECT host, body, line, count(*) * (1 + len(line) - len(replace(line, ' ', ''))) AS words
+    SELECT host, body, line, any_value(copies) AS copies, count(*) * (1 + len(line) - len(replace(line, ' ', ''))) AS words
     FROM each_line GROUP BY host, body, line
 ), frequent AS (
-    SELECT host, line FROM per_text GROUP BY host, line HAVING count(*) > 20
+    SELECT host, line FROM per_text GROUP BY host, line HAVING sum(copies) > 20
 ), removed AS (
     SELECT host, body, sum(words)::BIGINT AS n FROM per_text JOIN frequent USING (host, line) GROUP BY host, body
 ), counted AS (

@@ -15,7 +15,7 @@ features, and the small matrices are solved on the driver. Scoring is one pass w
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,9 +29,8 @@ from merchlake.session import fresh_path
 
 # The fit reads at most this many labelled rows.
 SAMPLE_ROWS = 20_000
-# Entries of the lexicon, and how many candidates are counted to find them.
+# Entries of the lexicon: of all that are counted, those of greatest evidence.
 LEXICON_SIZE = 150
-CANDIDATES = 4_000
 MIN_TOXIC_TEXTS = 4
 # How many times likelier in toxic texts an entry must be, after smoothing.
 MIN_RATIO = 4.0
@@ -174,46 +173,33 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def _count_entries(texts: DataFrame, wanted: set[str] | None) -> DataFrame:
-    """entry and the number of texts that use it, for all entries or the wanted ones."""
+def _count_entries(sample: DataFrame) -> DataFrame:
+    """entry, and the number of toxic and of clean texts that use it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
-            for text in texts_of(batch):
-                entries = {e for word in set(_WORD.findall(text.lower())) for e in entries_of(word)}
-                found.update(entries if wanted is None else entries & wanted)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["entry", "n"]
-            )
+            found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for text, label in zip(texts_of(batch), batch.column("label").to_pylist()):
+                for entry in {e for word in set(_WORD.findall(text.lower())) for e in entries_of(word)}:
+                    found[entry][label == 1] += 1
+            clean, toxic = zip(*found.values()) if found else ((), ())
+            columns = [pa.array(list(found), pa.string()), pa.array(toxic, pa.int64()), pa.array(clean, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "toxic", "clean"])
 
-    partial = texts.select("text").mapInArrow(count, "entry string, n bigint")
-    return partial.groupBy("entry").agg(F.sum("n").alias("n"))
+    partial = sample.select("text", "label").mapInArrow(count, "entry string, toxic bigint, clean bigint")
+    return partial.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def _lexicon(sample: DataFrame, toxic: int, clean: int) -> list[str]:
     """The entries that speak most clearly for toxic texts; of one word's beginnings with equal counts, the longest."""
-    common = (
-        _count_entries(sample.where("label = 1"), None)
-        .where(F.col("n") >= MIN_TOXIC_TEXTS)
-        .orderBy(F.desc("n"), F.length("entry"), "entry")
-        .limit(CANDIDATES)
+    rate, other = (F.col("toxic") - 1) / F.lit(toxic), (F.col("clean") + 1) / F.lit(clean)
+    # The evidence a text with the entry gives, times how many texts it reaches.
+    evidence = F.col("toxic") * F.log(rate / other)
+    speaking = _count_entries(sample).where(F.col("toxic") >= MIN_TOXIC_TEXTS).where(rate / other >= MIN_RATIO)
+    alike = speaking.groupBy(F.substring("entry", 1, 4).alias("stem"), "toxic", "clean").agg(
+        F.max(F.struct(F.length("entry"), F.col("entry").alias("entry")))["entry"].alias("entry")
     )
-    in_toxic = {row.entry: row.n for row in common.collect()}
-    counted = _count_entries(sample.where("label = 0"), set(in_toxic)).collect() if in_toxic else []
-    in_clean = {row.entry: row.n for row in counted}
-    scored = []
-    for entry, n in in_toxic.items():
-        rate, other = (n - 1) / toxic, (in_clean.get(entry, 0) + 1) / clean
-        if rate / other >= MIN_RATIO:
-            # The evidence a text with the entry gives, times how many texts it reaches.
-            scored.append((n * np.log(rate / other), entry))
-    chosen: dict[tuple, str] = {}
-    for _, entry in sorted(scored, key=lambda found: (-found[0], -len(found[1]), found[1])):
-        chosen.setdefault((entry[:4], in_toxic[entry], in_clean.get(entry, 0)), entry)
-        if len(chosen) == LEXICON_SIZE:
-            break
-    return list(chosen.values())
+    return [row.entry for row in alike.orderBy(evidence.desc(), F.length("entry").desc(), "entry").limit(LEXICON_SIZE).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:

@@ -1,5 +1,5 @@
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 from merchlake.llm.line_quality import quality
 
@@ -11,11 +11,9 @@ def normal(line):
 
 
 def brute_force(rows, max_documents, min_left):
-    seen = defaultdict(set)
+    seen = Counter()
     for _, text, host in rows:
-        for line in (text or "").split("\n"):
-            if normal(line):
-                seen[host or "", normal(line)].add(text)
+        seen.update({(host or "", normal(line)) for line in (text or "").split("\n") if normal(line)})
     found = []
     for doc_id, text, host in rows:
         text = text or ""
@@ -24,7 +22,7 @@ def brute_force(rows, max_documents, min_left):
         windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
         counts = Counter(windows)
         covered = {j for i, w in enumerate(windows) if counts[w] > 1 for j in range(i, i + 5)}
-        gone = sum(len(normal(x).split(" ")) for x in lines if len(seen[host or "", normal(x)]) > max_documents)
+        gone = sum(len(normal(x).split(" ")) for x in lines if seen[host or "", normal(x)] > max_documents)
         failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
         left = len(words) - gone
         kept = not failed and left >= 10 and 100 * left >= min_left * len(words)
@@ -47,7 +45,7 @@ def test_matches_brute_force_on_documents(spark):
         assert sorted(map(tuple, quality(docs, max_documents=limit).collect()), key=repr) == brute_force(rows, limit, 30)
 
 
-def test_boilerplate_depletes_and_copies_count_once(spark):
+def test_boilerplate_depletes_and_each_copy_counts(spark):
     shared = "all rights are reserved by the owner of this very page"
     own = [" ".join(f"w{n}x{i}" for i in range(12)) for n in range(6)]
     rows = [(n, f"{shared}\n{own[n]}", "a") for n in range(4)]
@@ -56,8 +54,8 @@ def test_boilerplate_depletes_and_copies_count_once(spark):
     found = run(spark, rows, max_documents=3)
     assert found == brute_force(rows, 3, 30)
     kept = {r[0]: r[7] for r in found}
-    assert kept[0] and kept[10] and kept[None] and not kept[20] and not kept[21] and not kept[22]
-    assert {r[0]: r[8] for r in found}[0] == 11 and {r[0]: r[8] for r in found}[10] == 0
+    assert kept[0] and not kept[10] and kept[None] and not kept[20] and not kept[21] and not kept[22]
+    assert {r[0]: r[8] for r in found}[0] == 11 and {r[0]: r[8] for r in found}[10] == 23
 
 
 def test_repeated_windows_and_empty_table(spark):
@@ -68,3 +66,9 @@ def test_repeated_windows_and_empty_table(spark):
     schema = "doc_id long, text string, source string, words int, line string, host string"
     assert run(spark, rows, schema) == brute_force(rows, 20, 30)
     assert quality(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_copies_of_one_text_on_one_host_are_boilerplate(spark):
+    text = "\n".join(" ".join(f"w{n}x{i}" for i in range(8)) for n in range(5))
+    found = run(spark, [(n, text, "a") for n in range(21)] + [(50 + n, text, "b") for n in range(20)])
+    assert {r[0] for r in found if not r[7]} == set(range(21))
