@@ -62,21 +62,25 @@ def number_rows(rows: DataFrame, key: str, name: str, after: Column | None = Non
 
     The rows are range-partitioned, sorted by key and written down with their partition and their
     position in it. A row's number is then the size of the partitions before its own plus its
-    position; only one row count per partition is brought together.
+    position; only one row count per partition is brought together. Rows that already have a number in the
+    column ``name`` keep it: they are sorted behind the others of their partition and aren't counted.
     """
     spark = rows.sparkSession
     path = fresh_path(spark, "numbered")
+    known = F.col(name) if name in rows.columns else F.lit(None).cast("bigint")
     part, position = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
-    ordered = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key)
+    ordered = rows.withColumn("_known", known).repartitionByRange(F.col(key))
+    ordered = ordered.sortWithinPartitions(F.col("_known").isNotNull(), key)
     ordered.select("*", part.alias("_part"), position.alias("_position")).write.parquet(path)
     placed = spark.read.parquet(path)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = placed.groupBy("_part").agg(F.count_if(F.col("_known").isNull()).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
     offsets = sizes.select("_part", before.alias("_before"))
     start = F.lit(0).cast("bigint") if after is None else after
-    number = (start + F.col("_before") + F.col("_position") + 1).cast("bigint")
+    number = F.coalesce("_known", (start + F.col("_before") + F.col("_position") + 1).cast("bigint"))
+    rest = [c for c in rows.columns if c != name]
     # One row per partition written: bounded by the partition count.
-    return placed.join(F.broadcast(offsets), "_part").select(number.alias(name), *rows.columns)
+    return placed.join(F.broadcast(offsets), "_part").select(number.alias(name), *rest)
 
 
 def load_dimension(
@@ -86,15 +90,16 @@ def load_dimension(
     attributes: Sequence[str],
     current: DataFrame | None = None,
 ) -> DataFrame:
-    """Incoming rows with their surrogate key: the one they have, or the next free one."""
+    """Incoming rows with their surrogate key: the one they have, or the next free one.
+
+    One left join finds the known keys; a current table stored in buckets of the natural key isn't shuffled.
+    """
     rows = incoming.select(natural_key, *attributes)
     if current is None:
         return number_rows(rows, natural_key, surrogate)
-    known = current.select(surrogate, natural_key)
+    known = current.select(natural_key, surrogate)
     highest = known.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    new = number_rows(rows.join(known, natural_key, "left_anti"), natural_key, surrogate, highest)
-    kept = rows.join(known, natural_key).select(surrogate, natural_key, *attributes)
-    return kept.unionByName(new)
+    return number_rows(rows.join(known, natural_key, "left"), natural_key, surrogate, highest)
 
 
 def overlay_dimension(current: DataFrame, loaded: DataFrame, surrogate: str) -> DataFrame:
