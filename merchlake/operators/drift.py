@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, LongType, NumericType
+from pyspark.sql.types import (
+    ArrayType, DataType, DecimalType, DoubleType, FloatType, LongType, NullType, NumericType, StructType, VariantType
+)
 
 from merchlake.functions import money
 
 MISSING, ADDED, RETYPED = "missing", "added", "type_mismatch"
 UNREADABLE = "(unreadable)"
+ROOT, MIXED = "$", "mixed"
 METRICS = ("count", "nulls", "mean", "sum", "min", "max")
+QUANTILES = (0.05, 0.5, 0.95)
 
 # What a cell must look like before it is read as a type; a failed cast is far dearer.
 _SHAPES = {
@@ -88,6 +93,49 @@ def _observe(cells: DataFrame) -> DataFrame:
     )
 
 
+# Names in quotes are passed over, so that a key called "OBJECT<" stays as it is.
+_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
+
+
+def _paths(kind: DataType, path: str) -> Iterator[tuple[str, str]]:
+    if isinstance(kind, StructType):
+        if path:
+            yield path, "object"
+        for field in kind.fields:
+            yield from _paths(field.dataType, f"{path}.{field.name}" if path else field.name)
+        return
+    if isinstance(kind, ArrayType):
+        yield path or ROOT, "array"
+        yield from _paths(kind.elementType, f"{path or ROOT}[]")
+        return
+    if isinstance(kind, VariantType):
+        name = MIXED
+    elif isinstance(kind, DecimalType):
+        name = "double" if kind.scale else "decimal"
+    else:
+        name = kind.simpleString()
+    yield path or ROOT, name
+
+
+def nested_types(table: DataFrame, column: str) -> DataFrame:
+    """(column_name, type) of every path in a JSON column: ``a.b`` within objects, ``a[]`` for the entries of a list.
+
+    Types are those of the JSON values, merged over all rows in one aggregate: whole numbers and fractions
+    together are ``double``, other different types are ``mixed``, and a path that only holds null is ``void``.
+    A value that is no object stands at the path ``$``; cells that are no JSON show as ``UNREADABLE``. One schema
+    text reaches the driver, which is as long as there are different paths.
+    """
+    parsed = F.try_parse_json(column)
+    unreadable = F.col(column).isNotNull() & parsed.isNull()
+    found = table.agg(F.schema_of_variant_agg(parsed).alias("kind"), F.count_if(unreadable).alias("unreadable")).first()
+    text = _OBJECT.sub(lambda match: "STRUCT<" if match[0] == "OBJECT<" else match[0], found.kind)
+    kind = DataType.fromDDL(text)
+    paths = [] if isinstance(kind, NullType) else list(_paths(kind, ""))
+    if found.unreadable:
+        paths.append((UNREADABLE, "string"))
+    return table.sparkSession.createDataFrame(paths, "column_name string, type string")
+
+
 def schema_drift(expected: Mapping[str, str], actual: DataFrame) -> DataFrame:
     """(column_name, kind, expected, actual) of every column that differs; none, no drift."""
     spark: SparkSession = actual.sparkSession
@@ -105,7 +153,13 @@ def schema_drift(expected: Mapping[str, str], actual: DataFrame) -> DataFrame:
 # --- metrics ----------------------------------------------------------------------------
 
 
-def _column_metrics(name: str, kind: NumericType) -> list[Column]:
+_FIGURES = (
+    "column_name string, rows bigint, nulls bigint, filled bigint, total decimal(38,8), low double, high double"
+)
+STATE = f"{_FIGURES}, sketch binary"
+
+
+def _column_state(name: str, kind: NumericType, sketch: bool) -> Column:
     value = F.col(name)
     filled = F.count(value)
     if isinstance(kind, (DoubleType, FloatType)):
@@ -113,39 +167,75 @@ def _column_metrics(name: str, kind: NumericType) -> list[Column]:
     else:
         # 64-bit integers may overflow their own type when summed.
         total = F.sum(value.cast("decimal(20,0)") if isinstance(kind, LongType) else value)
-    figures = (
-        F.count(F.lit(1)),
-        F.count_if(value.isNull()),
-        F.try_divide(total.cast("double"), filled),
-        total,
-        F.min(value),
-        F.max(value),
+    figures = [
+        F.lit(name).alias("column_name"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(value.isNull()).alias("nulls"),
+        filled.alias("filled"),
+        total.cast("decimal(38,8)").alias("total"),
+        F.min(value).cast("double").alias("low"),
+        F.max(value).cast("double").alias("high"),
+    ]
+    if sketch:
+        figures.append(F.kll_sketch_agg_double(value.cast("double")).alias("sketch"))
+    return F.struct(*figures)
+
+
+def metric_states(table: DataFrame, sketches: bool = True) -> DataFrame:
+    """One row per numeric column, from one aggregate, that can be kept and merged with those of other batches.
+
+    Sums are exact to 8 digits. ``sketch`` is a KLL sketch of the values, of bounded size, for quantiles.
+    """
+    numeric = [f for f in table.schema.fields if isinstance(f.dataType, NumericType)]
+    if not numeric:
+        return table.sparkSession.createDataFrame([], STATE if sketches else _FIGURES)
+    states = [_column_state(f.name, f.dataType, sketches).alias(f"_{n}") for n, f in enumerate(numeric)]
+    return table.agg(*states).select(F.inline(F.array(*[F.col(f"_{n}") for n in range(len(states))])))
+
+
+def combined_states(states: DataFrame) -> DataFrame:
+    """The states of several batches as those of all their rows; the batches themselves aren't read."""
+    return states.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.sum("filled").alias("filled"),
+        F.sum("total").cast("decimal(38,8)").alias("total"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
     )
-    return [figure.cast("double").alias(f"{name}_{metric}") for metric, figure in zip(METRICS, figures)]
+
+
+def metrics_of(states: DataFrame) -> DataFrame:
+    """(column_name, metric, value) of kept states."""
+    figures = {
+        "count": F.col("rows"),
+        "nulls": F.col("nulls"),
+        "mean": F.try_divide(F.col("total").cast("double"), F.col("filled")),
+        "sum": F.col("total"),
+        "min": F.col("low"),
+        "max": F.col("high"),
+    }
+    return _listed(states, figures)
+
+
+def quantiles_of(states: DataFrame, quantiles: Sequence[float] = QUANTILES) -> DataFrame:
+    """(column_name, metric, value) with the metrics ``p5``, ``p50``, ...; estimates, NULL for a column without values."""
+    n = F.kll_sketch_get_n_double("sketch")
+    figures = {
+        f"p{q * 100:g}": F.when(n > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(q)))) for q in quantiles
+    }
+    return _listed(states, figures)
+
+
+def _listed(states: DataFrame, figures: Mapping[str, Column]) -> DataFrame:
+    lines = [F.struct(F.lit(m).alias("metric"), f.cast("double").alias("value")) for m, f in figures.items()]
+    return states.select("column_name", F.inline(F.array(*lines)))
 
 
 def column_metrics(table: DataFrame) -> DataFrame:
     """(column_name, metric, value) of every numeric column, from one aggregate."""
-    numeric = [f for f in table.schema.fields if isinstance(f.dataType, NumericType)]
-    measured = table.agg(
-        *[
-            metric
-            for f in numeric
-            for metric in _column_metrics(f.name, f.dataType)
-        ]
-    )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(metric).alias("metric"),
-                F.col(f"{f.name}_{metric}").alias("value"),
-            )
-            for f in numeric
-            for metric in METRICS
-        ]
-    )
-    return measured.select(F.inline(lines))
+    return metrics_of(metric_states(table, sketches=False))
 
 
 def metric_drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.20) -> DataFrame:
@@ -153,8 +243,12 @@ def metric_drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.2
 
     Over a baseline of zero the change is the current value itself.
     """
-    old = column_metrics(baseline).withColumnRenamed("value", "baseline")
-    new = column_metrics(current).withColumnRenamed("value", "current")
+    return compared(column_metrics(baseline), column_metrics(current), threshold)
+
+
+def compared(baseline: DataFrame, current: DataFrame, threshold: float = 0.20) -> DataFrame:
+    """Drift between two lists of metrics, measured now or taken from kept states."""
+    old, new = baseline.withColumnRenamed("value", "baseline"), current.withColumnRenamed("value", "current")
     change = F.when(F.col("baseline") == 0, F.abs("current")).otherwise(
         F.abs(F.col("current") - F.col("baseline")) / F.abs("baseline")
     )

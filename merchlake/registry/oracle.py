@@ -459,11 +459,12 @@ def _metrics(view: str) -> str:
     return _union(parts)
 
 
-_METRIC_DRIFT = f"""
+def _metric_drift(baseline: str, current: str) -> str:
+    return f"""
     SELECT column_name, metric, b.value AS baseline, c.value AS current,
            round(change::DECIMAL(38,10), 4)::DOUBLE AS relative_change, 0.2::DOUBLE AS threshold,
            change > 0.2::DOUBLE AS has_drift
-    FROM ({_metrics("s_earlier")}) b JOIN ({_metrics("c_orders")}) c USING (column_name, metric),
+    FROM ({_metrics(baseline)}) b JOIN ({_metrics(current)}) c USING (column_name, metric),
          LATERAL (SELECT CASE WHEN b.value = 0 THEN abs(c.value)
                               ELSE abs(c.value - b.value) / abs(b.value) END AS change) x"""
 
@@ -494,6 +495,49 @@ _JSON_KEYS = f"""
           FROM (SELECT props, unnest(json_keys(props)) AS key FROM events) k) v
     GROUP BY key"""
 
+_DOCUMENTS = """
+    SELECT ('{"kind": "' || event_type || '", "user": {"account": {"id": '
+            || CASE WHEN event_type = 'error' THEN '"' || user_id || '"' ELSE user_id::VARCHAR END
+            || '}, "props": ' || props || '}, "lines": ['
+            || CASE WHEN event_type = 'purchase' THEN '{"amount": ' || value::VARCHAR || '}' ELSE '' END
+            || ']}')::JSON AS d
+    FROM events"""
+
+_VALUES_BY_PATH = _union(
+    f"SELECT '{path}' AS column_name, {value} AS value FROM documents"
+    for path, value in {
+        "kind": "d -> '$.kind'",
+        "user": "d -> '$.user'",
+        "user.account": "d -> '$.user.account'",
+        "user.account.id": "d -> '$.user.account.id'",
+        "user.props": "d -> '$.user.props'",
+        "user.props.k": "d -> '$.user.props.k'",
+        "user.props.source": "d -> '$.user.props.source'",
+        "lines": "d -> '$.lines'",
+        "lines[]": "unnest(d -> '$.lines[*]')",
+        "lines[].amount": "unnest(d -> '$.lines[*].amount')",
+    }.items()
+)
+
+_NESTED_TYPES = f"""
+    WITH documents AS ({_DOCUMENTS}), kinds AS (
+        SELECT column_name, CASE json_type(value) WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'bigint'
+                   ELSE lower(json_type(value)) END AS kind
+        FROM ({_VALUES_BY_PATH}) WHERE value IS NOT NULL)
+    SELECT column_name,
+           CASE WHEN count(DISTINCT kind) = 1 THEN max(kind)
+                WHEN bool_and(kind IN ('bigint', 'double')) THEN 'double' ELSE 'mixed' END AS actual
+    FROM kinds GROUP BY column_name"""
+
+_NESTED_DRIFT = _drift(
+    {
+        "kind": "string", "user": "object", "user.account": "object", "user.account.id": "bigint",
+        "user.props": "object", "user.props.k": "double", "user.props.source": "string",
+        "lines": "array", "lines[]": "object", "lines[].amount": "double",
+    },
+    _NESTED_TYPES,
+)
+
 _PAYMENT_TYPES = _union(
     f"SELECT '{c}' AS column_name, {_fits(c)} AS actual FROM r_payments"
     for c in _RAW_COLUMNS["payments"].split()
@@ -806,6 +850,7 @@ ORACLE: dict[str, str] = {
             FROM ({_CLASSIFIED}) c""",
     ),
     "cdc_merge": _with("s_orders s_earlier", _MERGED),
+    "cdc_merge_stored": _with("s_orders s_earlier", _MERGED),
     "upsert_orders": _with("s_orders s_earlier", _MERGED),
     "stream_merge": _with("s_orders s_earlier", _MERGED),
     "upsert_rejects": _with(
@@ -840,7 +885,16 @@ ORACLE: dict[str, str] = {
             _PAYMENT_TYPES,
         ),
     ),
-    "metric_drift": _with("c_orders s_earlier", _METRIC_DRIFT),
+    "metric_drift": _with("c_orders s_earlier", _metric_drift("s_earlier", "c_orders")),
+    "metric_drift_kept": _with(
+        "c_orders s_earlier",
+        _metric_drift(
+            "s_earlier",
+            """(SELECT * FROM s_earlier UNION ALL BY NAME
+                SELECT * FROM c_orders WHERE order_date >= TIMESTAMP '2000-07-01') u""",
+        ),
+    ),
+    "schema_drift_nested": _NESTED_DRIFT,
     "etl_row_counts": _with(
         "c_customers c_products c_orders c_payments c_reviews",
         _union(
@@ -925,3 +979,5 @@ WITH lines AS (
 )
 SELECT dataset, rows_checked, malformed_lines, false AS passed FROM (SELECT * FROM lines UNION ALL SELECT * FROM others)
 """
+
+ORACLE["dim_customer_stored"] = ORACLE["dim_customer_reload"]

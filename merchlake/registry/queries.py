@@ -6,6 +6,7 @@ the shared folder first, each time to a new path.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +19,7 @@ from merchlake.functions.text import standard_moment
 from merchlake.operators import cdc, drift, quality, reports, run_metrics, transform, warehouse
 from merchlake.plans import etl, incremental, lake, report_files, warehouse_build
 from merchlake.session import configure, fresh_path
-from merchlake.sources import canonical, files, history, keyed_table, raw_feed
+from merchlake.sources import bucketed, canonical, files, history, keyed_table, raw_feed
 from merchlake.streaming import delta_merge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -630,6 +631,24 @@ def cdc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.merge(*_states(spark, sf_dir), "order_id", "total_price")
 
 
+@_register
+def cdc_merge_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a catalog table in buckets of the key, which isn't shuffled."""
+    name = f"orders_{uuid.uuid4().hex}"
+    earlier, present = _states(spark, sf_dir)
+    bucketed.store(earlier, name, "order_id", BUCKETS)
+    return bucketed.merge(spark, name, present, "order_id", "total_price")
+
+
+@_register
+def dim_customer_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load of customers against a dimension stored in buckets of the natural key."""
+    name = f"dim_customer_{uuid.uuid4().hex}"
+    first = warehouse.dim_customer(history.customers_before(spark, sf_dir))
+    current = bucketed.store(first, name, "customer_id", BUCKETS)
+    return warehouse.dim_customer(canonical.customers(spark, sf_dir), current)
+
+
 @_register
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earlier orders stored by key, then the present ones upserted into them."""
@@ -740,6 +759,46 @@ def metric_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.metric_drift(*_states(spark, sf_dir))
 
 
+@_register
+def metric_drift_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept metrics of the earlier orders against theirs with a batch of later orders; only the batch is read then."""
+    kept = f"{fresh_path(spark, 'kept')}/states"
+    earlier, present = _states(spark, sf_dir)
+    later = present.filter(F.col("order_date") >= F.lit(history.CUTOVER).cast("timestamp"))
+    run_metrics.keep_states(drift.metric_states(earlier), kept, "orders", "before")
+    run_metrics.keep_states(drift.metric_states(later), kept, "orders", "later")
+    states = run_metrics.kept_states(spark, kept, "orders")
+    before, both = drift.combined_states(states.filter("batch = 'before'")), drift.combined_states(states)
+    return drift.compared(drift.metrics_of(before), drift.metrics_of(both))
+
+
+def _event_documents(events: DataFrame) -> DataFrame:
+    """Events as nested JSON; errors give the user's number as text, and only purchases have a line."""
+    user = F.col("user_id").cast("string")
+    return events.select(
+        F.format_string(
+            '{"kind": "%s", "user": {"account": {"id": %s}, "props": %s}, "lines": [%s]}',
+            F.col("event_type"),
+            F.when(F.col("event_type") == "error", F.concat(F.lit('"'), user, F.lit('"'))).otherwise(user),
+            F.col("props"),
+            F.when(F.col("event_type") == "purchase", F.concat(F.lit('{"amount": '), F.col("value").cast("string"), F.lit("}")))
+            .otherwise(""),
+        ).alias("document")
+    )
+
+
+@_register
+def schema_drift_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types by path in nested documents against the expected ones, down to the third level."""
+    expected = {
+        "kind": "string", "user": "object", "user.account": "object", "user.account.id": "bigint",
+        "user.props": "object", "user.props.k": "double", "user.props.source": "string",
+        "lines": "array", "lines[]": "object", "lines[].amount": "double",
+    }
+    documents = _event_documents(canonical.table(spark, sf_dir, "events"))
+    return drift.schema_drift(expected, drift.nested_types(documents, "document")).fillna("")
+
+
 # --- jobs -------------------------------------------------------------------------------
 
 

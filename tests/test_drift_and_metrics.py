@@ -76,3 +76,58 @@ def test_small_prices_drift_and_broken_json_is_counted(spark):
     assert tuple(drift.unreadable_json(cells, "props").first()) == (3, 1)
     types = {r.column_name: r.type for r in drift.observed_json_types(cells, "props").collect()}
     assert types == {"a": "bigint", drift.UNREADABLE: "string"}
+
+
+def test_types_by_path(spark):
+    rows = [
+        ('{"a": {"b": 1, "c d": [{"x": 1}, {"x": 2.5}]}, "z": null}',), ('{"a": {"b": "q"}, "OBJECT<": true}',),
+        ("{bad",), (None,), ('{"n": [], "a": {"t": 3}}',),
+    ]
+    table = spark.createDataFrame(rows, "doc string")
+    assert {tuple(r) for r in drift.nested_types(table, "doc").collect()} == {
+        ("a", "object"), ("a.b", "mixed"), ("a.c d", "array"), ("a.c d[]", "object"), ("a.c d[].x", "double"),
+        ("a.t", "bigint"), ("z", "void"), ("OBJECT<", "boolean"), ("n", "array"), ("n[]", "void"),
+        (drift.UNREADABLE, "string"),
+    }
+    changed = drift.schema_drift({"a": "object", "a.b": "bigint"}, drift.nested_types(table.limit(2), "doc"))
+    assert ("a.b", "type_mismatch", "bigint", "mixed") in [tuple(r) for r in changed.collect()]
+
+
+@pytest.mark.parametrize(
+    ("cells", "found"),
+    [([], set()), ([None], set()), (["5"], {("$", "bigint")}), (["[1]"], {("$", "array"), ("$[]", "bigint")}), (["{}"], set())],
+)
+def test_types_of_roots(spark, cells, found):
+    table = spark.createDataFrame([(c,) for c in cells], "doc string")
+    assert {tuple(r) for r in drift.nested_types(table, "doc").collect()} == found
+
+
+def test_kept_states_merge_to_those_of_all_rows(spark, work):
+    table = spark.range(20_000).selectExpr(
+        "id", "(id * 7919 % 20000) / 20.0D AS x", "if(id % 3 = 0, int(id), null) AS y", "cast(null AS double) AS nothing"
+    )
+    kept = f"{work}/states"
+    parts = {"a": table.filter("id < 500"), "b": table.filter("id >= 500 AND id < 9000"), "c": table.filter("id >= 9000")}
+    for batch, rows in parts.items():
+        run_metrics.keep_states(drift.metric_states(rows), kept, "load", batch)
+    run_metrics.keep_states(drift.metric_states(parts["b"]), kept, "load", "b")  # given again after a failure
+    run_metrics.keep_states(drift.metric_states(parts["a"]), kept, "other", "a")
+    states = run_metrics.kept_states(spark, kept, "load")
+    assert states.count() == 3 * 4
+    merged = drift.combined_states(states)
+
+    def listed(metrics):
+        return {(r.column_name, r.metric): r.value for r in metrics.collect()}
+
+    assert listed(drift.metrics_of(merged)) == listed(drift.column_metrics(table))
+    estimates = listed(drift.quantiles_of(merged))
+    for q, metric in ((0.05, "p5"), (0.5, "p50"), (0.95, "p95")):
+        assert abs(estimates["x", metric] / 1000 - q) < 0.03  # a KLL sketch of default size ranks within 1.65 %
+        assert estimates["nothing", metric] is None
+    found = drift.compared(drift.metrics_of(merged), drift.column_metrics(table.filter("id < 9000")))
+    assert found.filter("metric = 'count' AND has_drift").count() == 4
+
+
+def test_states_of_a_table_without_numbers(spark):
+    table = spark.createDataFrame([("x",)], "a string")
+    assert drift.metric_states(table).count() == 0 and drift.column_metrics(table).count() == 0
