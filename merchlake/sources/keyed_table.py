@@ -1,186 +1,100 @@
-"""Parquet tables with insert-or-update by primary key.
+"""Parquet tables with insert-or-update by primary key, stored by Spark.
 
-Rows lie in hash buckets of their key. Below the table's path, ``data/<version>`` folders hold buckets and
-``commits/<number>.json`` files name the folder of every bucket. Readers follow the highest complete
-commit and change nothing. An upsert writes the new contents of the buckets its delta falls into to a
-version folder of its own and then adds the next commit, which no two writers can both do; the one who
-comes second starts over from the other's commit. What a lost driver left behind is in no commit and is
-deleted by ``vacuum``. Choose the bucket count so that a bucket holds about a gigabyte.
+The rows are a Parquet table partitioned by hash buckets of their key. A merge reads the buckets its delta falls
+into, writes their new rows to ``next`` and has Spark replace just these partitions. A driver lost before ``next``
+is whole leaves the table as it was; one lost later leaves ``next``, with which the following call ends the merge.
+A table has one writer at a time, and a reader looks before or after a merge, not during one. Choose the bucket
+count so that a bucket holds about a gigabyte.
 
-Rows without a key are kept beside the table (``rejects``). With a ``sequence`` column, the last value
+Rows without a key are kept in a partition of their own (``rejects``). With a ``sequence`` column, the last value
 applied to a row is stored with it, and a delta row with a lower one changes nothing.
 """
 
 from __future__ import annotations
 
 import json
-import re
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from merchlake.operators import cdc
-from merchlake.session import delete
-from merchlake.sources.files import hadoop_path
+from merchlake.session import delete, fresh_path
+from merchlake.sources import files
 
-_BUCKET, _SEQUENCE = "__bucket", "__sequence"
-_NO_KEY = "__HIVE_DEFAULT_PARTITION__"  # the folder Spark writes rows with a NULL bucket to
+_BUCKET, _SEQUENCE, _NO_KEY = "__bucket", "__sequence", -1
 _ACTIONS = (cdc.INSERT, cdc.UPDATE, cdc.NO_CHANGE, cdc.STALE, cdc.REJECT)
-_ATTEMPTS = 5
+_BATCHES = "number bigint, result map<string,bigint>, source string"
 
 
-class ConcurrentWriteError(RuntimeError):
-    """Other writers kept committing first."""
-
-
-@dataclass
-class _Commit:
-    number: int
-    buckets: int
-    schema: StructType  # the table's columns, and the stored sequence if there is one
-    folders: dict[str, str] = field(default_factory=dict)  # bucket -> version
-    rejects: list[str] = field(default_factory=list)  # versions
-    batches: dict[str, list] = field(default_factory=dict)  # source -> [last number, its result]
-
-    @property
-    def columns(self) -> list[str]:
-        return [name for name in self.schema.fieldNames() if name != _SEQUENCE]
-
-    def text(self) -> str:
-        return json.dumps({**vars(self), "schema": self.schema.jsonValue(), "complete": True})
-
-
-def _commit_path(path: str, number: int) -> str:
-    return f"{path.rstrip('/')}/commits/{number:012d}.json"
-
-
-def _commit_numbers(spark: SparkSession, path: str) -> list[int]:
-    folder, store = hadoop_path(spark, f"{path.rstrip('/')}/commits")
-    if not store.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in store.listStatus(folder)]
-    return sorted((int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n)), reverse=True)
-
-
-def _read_commit(spark: SparkSession, path: str, number: int) -> _Commit | None:
-    try:
-        stored = json.loads(spark.read.text(_commit_path(path, number), wholetext=True).first()[0])
-    except (ValueError, TypeError):
-        return None  # its writer was lost in the middle
-    if not stored.pop("complete", False):
-        return None
-    return _Commit(**{**stored, "schema": StructType.fromJson(stored["schema"])})
-
-
-def _latest(spark: SparkSession, path: str) -> _Commit | None:
-    for number in _commit_numbers(spark, path):
-        if found := _read_commit(spark, path, number):
-            return found
-    return None
+def is_written(spark: SparkSession, path: str) -> bool:
+    return files.exists(spark, f"{path}/layout")
 
 
-def _add_commit(spark: SparkSession, path: str, commit: _Commit) -> bool:
-    """Write the commit unless its number is taken."""
-    target, store = hadoop_path(spark, _commit_path(path, commit.number))
-    try:
-        out = store.create(target, False)
-    except Py4JJavaError as error:
-        if "AlreadyExists" in error.java_exception.getClass().getName():
-            return False
-        raise
-    out.write(commit.text().encode())
-    out.close()
-    return True
+def _layout(spark: SparkSession, path: str) -> tuple[int, StructType]:
+    """Buckets and columns; the longest entry is the last, as columns are only ever added."""
+    stored = json.loads(max((row[0] for row in spark.read.text(f"{path}/layout").collect()), key=len))
+    return stored["buckets"], StructType.fromJson(stored["schema"])
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    return _latest(spark, path) is not None
+def _add_layout(spark: SparkSession, path: str, buckets: int, schema: StructType) -> None:
+    text = json.dumps({"buckets": buckets, "schema": schema.jsonValue()})
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(f"{path}/layout")
 
 
-def _folder(path: str, version: str, bucket: str) -> str:
-    return f"{path.rstrip('/')}/data/{version}/{_BUCKET}={bucket}"
+def _rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All stored rows with their bucket."""
+    schema = StructType([*schema.fields, StructField(_BUCKET, IntegerType())])
+    if not files.exists(spark, f"{path}/rows"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/rows")
 
 
-def _rows(spark: SparkSession, path: str, commit: _Commit, folders: dict[str, str]) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], commit.schema)
-    paths = [_folder(path, version, bucket) for bucket, version in folders.items()]
-    return spark.read.schema(commit.schema).parquet(*paths)
+def _stored(spark: SparkSession, path: str, which: Column) -> DataFrame:
+    if not is_written(spark, path):
+        raise FileNotFoundError(f"no table at {path}")
+    _, schema = _layout(spark, path)
+    return _rows(spark, path, schema).filter(which).drop(_BUCKET, _SEQUENCE)
 
 
 def read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The table's rows; with a schema given, a table never written to reads as empty."""
-    commit = _latest(spark, path)
-    if commit is None:
-        if schema is None:
-            raise FileNotFoundError(f"no table at {path}")
+    if schema is not None and not is_written(spark, path):
         return spark.createDataFrame([], schema)
-    return _rows(spark, path, commit, commit.folders).select(commit.columns)
+    return _stored(spark, path, F.col(_BUCKET) != _NO_KEY)
 
 
 def rejects(spark: SparkSession, path: str) -> DataFrame:
     """All rows that came without a key."""
-    commit = _latest(spark, path)
-    if commit is None:
-        raise FileNotFoundError(f"no table at {path}")
-    if not commit.rejects:
-        return spark.createDataFrame([], commit.schema).select(commit.columns)
-    paths = [_folder(path, version, _NO_KEY) for version in commit.rejects]
-    return spark.read.schema(commit.schema).parquet(*paths).select(commit.columns)
+    return _stored(spark, path, F.col(_BUCKET) == _NO_KEY)
 
 
 def batches(spark: SparkSession, path: str) -> dict[str, tuple[int, dict[str, int]]]:
     """The last batch applied from each source, with its summary."""
-    commit = _latest(spark, path)
-    return {source: (number, result) for source, (number, result) in commit.batches.items()} if commit else {}
+    if not files.exists(spark, f"{path}/batches"):
+        return {}
+    kept = spark.read.schema(_BATCHES).parquet(f"{path}/batches").collect()
+    return {row["source"]: (row["number"], row["result"]) for row in kept}
 
 
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete what only commits before the last ``keep`` name, and what no commit names.
+def recover(spark: SparkSession, path: str) -> None:
+    """End a merge whose driver was lost after it had written all new rows; drop one that was lost before."""
+    if files.exists(spark, f"{path}/next/_SUCCESS"):
+        _, schema = _layout(spark, path)
+        _replace(spark.read.schema(StructType([*schema.fields, StructField(_BUCKET, IntegerType())])).parquet(f"{path}/next"), path)
+    delete(spark, f"{path}/next")
 
-    No writer may be at work; readers of the kept commits are not disturbed.
-    """
-    numbers = _commit_numbers(spark, path)
-    kept = [c for n in numbers if (c := _read_commit(spark, path, n))][:keep]
-    used = {version for commit in kept for version in (*commit.folders.values(), *commit.rejects)}
-    for part in ("data", "staging"):
-        folder, store = hadoop_path(spark, f"{path.rstrip('/')}/{part}")
-        for status in store.listStatus(folder) if store.exists(folder) else ():
-            if part == "staging" or status.getPath().getName() not in used:
-                store.delete(status.getPath(), True)
-    for number in set(numbers) - {commit.number for commit in kept}:
-        delete(spark, _commit_path(path, number))
+
+def _replace(rows: DataFrame, path: str, part: str = "rows", by: str = _BUCKET) -> None:
+    """Replace the partitions that the given rows fall into."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by).parquet(f"{path}/{part}")
 
 
 def _bucket_of(key: str, buckets: int) -> Column:
     bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-    return F.when(cdc.has_key(key), bucket).alias(_BUCKET)
-
-
-def _write(table: DataFrame, target: str) -> dict[str, int]:
-    """Write a tagged table by bucket, without the tag, and count the tags.
-
-    The count is taken in the tasks that write, after the last exchange, where every task
-    counts once however often it is tried.
-    """
-    seen = Observation()
-    counted = table.hint("rebalance", _BUCKET).observe(
-        seen, *[F.count_if(F.col(cdc.ACTION) == action).alias(action) for action in _ACTIONS]
-    )
-    counted.drop(cdc.ACTION).write.partitionBy(_BUCKET).parquet(target)
-    return dict(seen.get)
-
-
-def _with_sequence(delta: DataFrame, sequence: str | None, columns: Sequence[str]) -> DataFrame:
-    """The delta with its sequence under the stored name; the column itself stays only if the table has it."""
-    if not sequence:
-        return delta
-    return delta.withColumn(_SEQUENCE, F.col(sequence)).select(*[c for c in delta.columns if c in columns], _SEQUENCE)
+    return F.when(cdc.has_key(key), bucket).otherwise(_NO_KEY).alias(_BUCKET)
 
 
 def _result(counts: dict[str, int]) -> dict[str, int]:
@@ -189,6 +103,15 @@ def _result(counts: dict[str, int]) -> dict[str, int]:
     return result
 
 
+def _counting(tagged: DataFrame) -> tuple[DataFrame, Observation]:
+    """Tagged rows by bucket without the tag, counted by it after the last exchange, where each task counts once."""
+    seen = Observation()
+    counted = tagged.hint("rebalance", _BUCKET).observe(
+        seen, *[F.count_if(F.col(cdc.ACTION) == action).alias(action) for action in _ACTIONS]
+    )
+    return counted.drop(cdc.ACTION), seen
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -205,114 +128,85 @@ def upsert(
     ``buckets`` is for a new table. A ``batch`` (its source and number) that is not above the last one
     recorded from its source makes the call a no-op. ``ignore`` names columns whose change alone is no
     update. ``unique`` says that no key repeats, which spares the check; rows without a key are rejected
-    either way.
+    either way. A batch delivered again after its driver was lost between merging and recording it finds its
+    rows merged, and lists those without a key once more.
     """
-    for _ in range(_ATTEMPTS):
-        base = _latest(spark, path)
-        if batch and base and batch[0] in base.batches:
-            number, result = base.batches[batch[0]]
-            if batch[1] <= number:
-                return result if batch[1] == number else _result({})
-        version = uuid.uuid4().hex
-        if base is None:
-            commit, result = _first_load(path, delta, key, sequence, buckets, unique, version)
-        else:
-            commit, result = _merge(spark, path, base, delta, key, sequence, ignore, unique, version)
-        if batch:
-            commit = commit or _Commit(**{**vars(base), "number": base.number + 1, "batches": dict(base.batches)})
-            commit.batches[batch[0]] = [batch[1], result]
-        if commit is None:
-            return result
-        # A number whose writer was lost in the middle stays taken.
-        later = [n for n in _commit_numbers(spark, path) if n >= commit.number]
-        commit.number = max([commit.number - 1, *(n for n in later if _read_commit(spark, path, n) is None)]) + 1
-        if _add_commit(spark, path, commit):
-            return result
-        delete(spark, f"{path.rstrip('/')}/data/{version}")
-    raise ConcurrentWriteError(f"{path}: other writers committed first {_ATTEMPTS} times")
-
-
-def _reduced(delta: DataFrame, key: str, sequence: str | None, unique: bool) -> DataFrame:
-    return delta if unique else cdc.last_per_key(delta, key, sequence)
-
-
-def _version_buckets(spark: SparkSession, target: str) -> list[str]:
-    folder, store = hadoop_path(spark, target)
-    names = [status.getPath().getName() for status in store.listStatus(folder)] if store.exists(folder) else []
-    return [name.partition("=")[2] for name in names if name.startswith(f"{_BUCKET}=")]
+    path = path.rstrip("/")
+    recover(spark, path)
+    if batch and (last := batches(spark, path).get(batch[0])) and batch[1] <= last[0]:
+        return last[1] if batch[1] == last[0] else _result({})
+    if is_written(spark, path):
+        result = _merge(spark, path, delta, key, sequence, ignore, unique)
+    else:
+        result = _first_load(spark, path, delta, key, sequence, buckets, unique)
+    if batch:
+        record = spark.createDataFrame([(batch[1], result, batch[0])], _BATCHES)
+        _replace(record.coalesce(1), path, "batches", "source")
+    return result
+
+
+def _ready(delta: DataFrame, key: str, sequence: str | None, columns: Sequence[str], unique: bool) -> DataFrame:
+    """One row per key, with the sequence under its stored name; the column itself stays only if the table has it."""
+    ready = delta if unique else cdc.last_per_key(delta, key, sequence)
+    if not sequence:
+        return ready
+    return ready.withColumn(_SEQUENCE, F.col(sequence)).select(*[c for c in delta.columns if c in columns], _SEQUENCE)
 
 
 def _first_load(
-    path: str, delta: DataFrame, key: str, sequence: str | None, buckets: int, unique: bool, version: str
-) -> tuple[_Commit, dict[str, int]]:
-    spark = delta.sparkSession
-    ready = _with_sequence(_reduced(delta, key, sequence, unique), sequence, delta.columns)
+    spark: SparkSession, path: str, delta: DataFrame, key: str, sequence: str | None, buckets: int, unique: bool
+) -> dict[str, int]:
+    ready = _ready(delta, key, sequence, delta.columns, unique)
     action = F.when(cdc.has_key(key), cdc.INSERT).otherwise(cdc.REJECT).alias(cdc.ACTION)
-    target = f"{path.rstrip('/')}/data/{version}"
-    counts = _write(ready.select("*", action, _bucket_of(key, buckets)), target)
-    written = _version_buckets(spark, target)
-    folders = {bucket: version for bucket in written if bucket != _NO_KEY}
+    rows, seen = _counting(ready.select("*", _bucket_of(key, buckets), action))
+    _replace(rows, path)
     schema = StructType([StructField(f.name, f.dataType, True) for f in ready.schema.fields])
-    return _Commit(1, buckets, schema, folders, [version] * (_NO_KEY in written)), _result(counts)
+    _add_layout(spark, path, buckets, schema)
+    return _result(seen.get)
 
 
 def _merge(
-    spark: SparkSession,
-    path: str,
-    base: _Commit,
-    delta: DataFrame,
-    key: str,
-    sequence: str | None,
-    ignore: Sequence[str],
-    unique: bool,
-    version: str,
-) -> tuple[_Commit | None, dict[str, int]]:
+    spark: SparkSession, path: str, delta: DataFrame, key: str, sequence: str | None, ignore: Sequence[str], unique: bool
+) -> dict[str, int]:
     """Write the delta down, one row per key, so that it is computed once, and merge it in one join."""
-    target, staged = f"{path.rstrip('/')}/data/{version}", f"{path.rstrip('/')}/staging/{version}"
-    empty = spark.createDataFrame([], base.schema).select(base.columns)
-    ready = _reduced(cdc.aligned(delta, empty, sequence), key, sequence, unique)
-    ready = _with_sequence(ready, sequence, base.columns)
-    ready.select("*", _bucket_of(key, base.buckets)).write.parquet(staged)
+    buckets, schema = _layout(spark, path)
+    columns = [name for name in schema.fieldNames() if name != _SEQUENCE]
+    ready = cdc.aligned(delta, spark.createDataFrame([], schema).select(columns), sequence)
+    ready = _ready(ready, key, sequence, columns, unique)
+    if sequence and _SEQUENCE not in schema.fieldNames():
+        schema = StructType([*schema.fields, StructField(_SEQUENCE, ready.schema[_SEQUENCE].dataType, True)])
+        _add_layout(spark, path, buckets, schema)
+    staged = fresh_path(spark, "delta")
     try:
+        ready.select("*", _bucket_of(key, buckets)).write.parquet(staged)
         ready = spark.read.parquet(staged)
-        # At most one number per bucket comes to the driver.
-        hit = {str(row[0]) for row in ready.select(_BUCKET).distinct().collect()}
-        current = _rows(spark, path, base, {b: v for b, v in base.folders.items() if b in hit})
-        stored_type = next((f.dataType for f in base.schema.fields if f.name == _SEQUENCE), None)
-        if sequence and stored_type is None:
-            stored_type = ready.schema[_SEQUENCE].dataType
-            current = current.withColumn(_SEQUENCE, F.lit(None).cast(stored_type))
-        merged = _merged(current, ready, base.columns, key, stored_type, ignore)
-        counts = _write(merged.select("*", _bucket_of(key, base.buckets)), target)
+        # As many numbers as the table has buckets at most; by them Spark prunes the partitions read.
+        hit = F.broadcast(ready.select(_BUCKET).distinct())
+        current = _rows(spark, path, schema).join(hit, _BUCKET, "left_semi").select(schema.fieldNames())
+        merged = _merged(current, ready.drop(_BUCKET), schema, key, ignore)
+        rows, seen = _counting(merged.select("*", _bucket_of(key, buckets)))
+        rows.write.partitionBy(_BUCKET).parquet(f"{path}/next")
     finally:
         delete(spark, staged)
-    result = _result(counts)
-    changes = any(result[action] for action in (cdc.INSERT, cdc.UPDATE, cdc.REJECT))
-    if not changes and not sequence and not ignore:
-        delete(spark, target)
-        return None, result
-    written = _version_buckets(spark, target)
-    schema = base.schema
-    if stored_type is not None and _SEQUENCE not in schema.fieldNames():
-        schema = StructType([*schema.fields, StructField(_SEQUENCE, stored_type, True)])
-    folders = base.folders | {bucket: version for bucket in written if bucket != _NO_KEY}
-    rejected = base.rejects + [version] * (_NO_KEY in written)
-    return _Commit(base.number + 1, base.buckets, schema, folders, rejected, dict(base.batches)), result
-
-
-def _merged(
-    current: DataFrame, delta: DataFrame, columns: list[str], key: str, stored_type, ignore: Sequence[str]
-) -> DataFrame:
+    result = _result(seen.get)
+    if not any(result[a] for a in (cdc.INSERT, cdc.UPDATE, cdc.REJECT)) and not sequence and not ignore:
+        delete(spark, f"{path}/next")
+    recover(spark, path)
+    return result
+
+
+def _merged(current: DataFrame, delta: DataFrame, schema: StructType, key: str, ignore: Sequence[str]) -> DataFrame:
     """Every row of the buckets and every delta row, tagged, from one full outer join on the key."""
-    given = [c for c in delta.columns if c != _BUCKET]
+    given = delta.columns
     new = delta.select(*[F.col(c).alias(f"_new_{c}") for c in given], F.lit(True).alias("_new"))
-    joined = current.join(new, F.col(key) == F.col(f"_new_{key}"), "full")
-    is_old, has_new = F.col(key).isNotNull(), F.col("_new").isNotNull()
+    same = (F.col(key) == F.col(f"_new_{key}")) & cdc.has_key(f"_new_{key}")
+    joined = current.withColumn("_old", F.lit(True)).join(new, same, "full")
+    is_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
     stale = F.lit(False)
-    if stored_type is not None and _SEQUENCE in given:
-        stale = F.coalesce(is_old & (F.col(f"_new_{_SEQUENCE}").cast(stored_type) < F.col(_SEQUENCE)), F.lit(False))
-    applies = ~stale & F.coalesce(cdc.has_key(f"_new_{key}"), F.lit(False))
-    compared = [c for c in given if c in columns and c != key and c not in ignore]
+    if _SEQUENCE in given:
+        lower = F.col(f"_new_{_SEQUENCE}").cast(schema[_SEQUENCE].dataType) < F.col(_SEQUENCE)
+        stale = F.coalesce(is_old & lower, F.lit(False))
+    compared = [c for c in given if c in schema.fieldNames() and c not in (key, _SEQUENCE) and c not in ignore]
     differs = F.lit(False)
     for column in compared:
         differs = differs | ~F.col(column).eqNullSafe(F.col(f"_new_{column}"))
@@ -324,19 +218,15 @@ def _merged(
         .when(differs, cdc.UPDATE)
         .otherwise(cdc.NO_CHANGE)
     )
-    taken = applies | ~is_old
-
-    def value(column: str) -> Column:
-        if column not in given:
-            return F.col(column)
-        return F.when(taken, F.col(f"_new_{column}")).otherwise(F.col(column)).alias(column)
-
-    out = [value(c) for c in columns]
-    if stored_type is not None:
-        old = F.col(_SEQUENCE)
-        if _SEQUENCE in given:
-            fresh = F.col(f"_new_{_SEQUENCE}").cast(stored_type)
-            old = F.when(taken, F.coalesce(fresh, old)).otherwise(old)
-        out.append(old.alias(_SEQUENCE))
-    return joined.select(*out, action.alias(cdc.ACTION))
-
+    taken = ~is_old | (has_new & ~stale)
+
+    def value(field: StructField) -> Column:
+        name = field.name
+        if name not in given:
+            return F.col(name)
+        fresh = F.col(f"_new_{name}").cast(field.dataType)
+        if name == _SEQUENCE:  # a row without one keeps the last known
+            fresh = F.coalesce(fresh, F.col(name))
+        return F.when(taken, fresh).otherwise(F.col(name)).alias(name)
+
+    return joined.select(*[value(field) for field in schema.fields], action.alias(cdc.ACTION))

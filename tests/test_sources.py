@@ -98,7 +98,7 @@ def test_upsert_is_idempotent_and_touches_only_its_buckets(spark, work, tables):
     second = keyed_table.upsert(spark, path, delta, "order_id")
     assert (second["INSERT"], second["UPDATE"], second["NO_CHANGE"]) == (0, 1, 0)
     after = {f: f.read_bytes() for f in Path(path).rglob("*.parquet")}
-    assert before.items() <= after.items() and len(after) == len(before) + 1
+    assert len(after) == len(before) == 2 and len(before.items() & after.items()) == 1
     third = keyed_table.upsert(spark, path, delta, "order_id")
     assert (third["INSERT"], third["UPDATE"], third["NO_CHANGE"]) == (0, 0, 1)
     stored = {r.order_id: r.status for r in keyed_table.read(spark, path).collect()}
@@ -128,59 +128,67 @@ def _files(path):
     return {f: f.stat().st_mtime_ns for f in Path(path).rglob("*") if f.is_file()}
 
 
-def test_lost_driver_leaves_the_table_as_it_was(spark, work, tables, monkeypatch):
+def _die(*args):
+    raise RuntimeError("driver lost")
+
+
+def test_driver_lost_before_the_new_rows_are_whole(spark, work, tables, monkeypatch):
     path = f"{work}/orders"
     keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=4)
     before = sorted(keyed_table.read(spark, path).collect())
     delta = tables["orders"].withColumn("status", F.lit("Shipped"))
-
-    def die(*args):
-        raise RuntimeError("driver lost")
-
     with monkeypatch.context() as broken:
-        broken.setattr(keyed_table, "_add_commit", die)
+        broken.setattr(keyed_table, "_merged", _die)
         with pytest.raises(RuntimeError):
             keyed_table.upsert(spark, path, delta, "order_id")
+    Path(f"{path}/next/__bucket=0").mkdir(parents=True)
+    Path(f"{path}/next/__bucket=0/part-0.parquet").write_bytes(b"cut off")
     assert sorted(keyed_table.read(spark, path).collect()) == before
-    # A commit cut off in the middle is passed over, and its number stays taken.
-    Path(f"{path}/commits/000000000002.json").write_text('{"number": 2, "fold')
-    assert sorted(keyed_table.read(spark, path).collect()) == before
+    keyed_table.recover(spark, path)
+    assert sorted(keyed_table.read(spark, path).collect()) == before and not Path(f"{path}/next").exists()
     keyed_table.upsert(spark, path, delta, "order_id")
     assert {r.status for r in keyed_table.read(spark, path).collect()} == {"Shipped"}
-    assert Path(f"{path}/commits/000000000003.json").exists()
 
 
-def test_reads_change_nothing_and_vacuum_keeps_what_is_used(spark, work, tables):
+def test_driver_lost_while_partitions_are_replaced(spark, work, tables, monkeypatch):
+    path = f"{work}/orders"
+    keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=16)
+    delta = tables["orders"].withColumn("status", F.lit("Shipped"))
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed_table, "_replace", _die)
+        with pytest.raises(RuntimeError):
+            keyed_table.upsert(spark, path, delta, "order_id")
+    assert {r.status for r in keyed_table.read(spark, path).collect()} == {"Completed", "Cancelled"}
+    # One of the two partitions was deleted already, its successor not yet put in place.
+    part = next(f for f in Path(f"{path}/rows").rglob("*.parquet"))
+    part.unlink()
+    again = keyed_table.upsert(spark, path, delta, "order_id")
+    assert (again["NO_CHANGE"], again["INSERT"]) == (2, 0)
+    assert sorted((r.order_id, r.status) for r in keyed_table.read(spark, path).collect()) == [
+        ("ORD-1", "Shipped"), ("ORD-2", "Shipped")
+    ]
+
+
+def test_reads_change_nothing_and_old_rows_are_gone(spark, work, tables):
     path = f"{work}/orders"
     for status in ("Pending", "Shipped", "Completed", "Cancelled"):
         keyed_table.upsert(spark, path, tables["orders"].withColumn("status", F.lit(status)), "order_id", buckets=4)
-    files_before, held = _files(path), keyed_table.read(spark, path)
-    rows = sorted(held.collect())
+    before = _files(path)
+    rows = keyed_table.read(spark, path).collect()
     keyed_table.rejects(spark, path).collect()
-    assert _files(path) == files_before
-    keyed_table.vacuum(spark, path)
-    assert len(_files(path)) < len(files_before) and sorted(held.collect()) == rows
-    assert sorted(keyed_table.read(spark, path).collect()) == rows and rows[0].status == "Cancelled"
-
-
-def test_second_of_two_writers_starts_over(spark, work, tables, monkeypatch):
-    path = f"{work}/orders"
-    keyed_table.upsert(spark, path, tables["orders"], "order_id", buckets=1)
-    real, raced = keyed_table._add_commit, []
-
-    def race(*args):
-        if not raced:  # another writer commits between this one's read and its commit
-            raced.append(True)
-            other = tables["orders"].filter("order_id = 'ORD-1'").withColumn("status", F.lit("Shipped"))
-            keyed_table.upsert(spark, path, other, "order_id")
-        return real(*args)
-
-    monkeypatch.setattr(keyed_table, "_add_commit", race)
-    delta = tables["orders"].filter("order_id = 'ORD-2'").withColumn("status", F.lit("Pending"))
-    keyed_table.upsert(spark, path, delta, "order_id")
-    assert {r.order_id: r.status for r in keyed_table.read(spark, path).collect()} == {
-        "ORD-1": "Shipped", "ORD-2": "Pending",
-    }
+    assert _files(path) == before and {r.status for r in rows} == {"Cancelled"}
+    assert spark.read.parquet(f"{path}/rows").count() == 2
+
+
+def test_a_merge_reads_only_the_partitions_it_hits(spark, work):
+    path = f"{work}/t"
+    keyed_table.upsert(spark, path, spark.range(1000).withColumn("v", F.lit(0)), "id", buckets=32)
+    before = _files(f"{path}/rows")
+    keyed_table.upsert(spark, path, spark.createDataFrame([(5, 1)], "id bigint, v int"), "id")
+    parts = [f for f in before if f.suffix == ".parquet"]
+    after = _files(f"{path}/rows")
+    assert sum(after.get(f) == before[f] for f in parts) == len(parts) - 1
+    assert keyed_table.read(spark, path).agg(F.count("v"), F.sum("v")).first()[:] == (1000, 1)
 
 
 @pytest.mark.parametrize("unique", [False, True])
