@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping
 from functools import reduce
 
@@ -33,10 +32,8 @@ def run_incremental(
     the merged table's column metrics against ``baseline``. ``parents`` names, by referring column, the
     table and key that the merged rows refer to; rows whose reference is lost come back with its column.
     """
-    started = time.monotonic()
-    summary = keyed_table.upsert(spark, table, delta, key, sequence)
-    run_metrics.record(
-        spark, metrics, TASK, time.monotonic() - started, summary["total_delta_records"], details=summary
+    summary = run_metrics.timed_merge(
+        spark, metrics, TASK, lambda: keyed_table.upsert(spark, table, delta, key, sequence)
     )
     result: dict = {"summary": summary}
     if expected is not None:

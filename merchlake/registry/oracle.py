@@ -902,6 +902,14 @@ ORACLE: dict[str, str] = {
             for t, k in _KEYS.items()
         ),
     ),
+    "etl_run_records": _with(
+        "c_customers c_products c_orders c_payments c_reviews",
+        _union(
+            f"SELECT 'store_{t}' AS task_name, 'SUCCESS' AS status, count(DISTINCT {k}) AS row_count,"
+            f" count(DISTINCT {k}) AS inserted FROM c_{t}"
+            for t, k in _KEYS.items()
+        ),
+    ),
     "etl_stored_orders": _with(
         "s_orders c_products",
         f"""SELECT order_id, o.customer_id::VARCHAR AS customer_id, o.product_id::VARCHAR AS product_id, quantity,

@@ -822,6 +822,13 @@ def _etl_done(spark: SparkSession, sf_dir: str) -> str:
     return _ETL[key]
 
 
+@_register
+def etl_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the loads of one ETL run."""
+    runs = spark.read.parquet(etl.runs_path(_etl_done(spark, sf_dir)))
+    return runs.select("task_name", "status", "row_count", F.get_json_object("details", "$.INSERT").cast("bigint").alias("inserted"))
+
+
 @_register
 def etl_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.etl_row_counts(spark, _etl_done(spark, sf_dir))

@@ -131,3 +131,13 @@ def test_kept_states_merge_to_those_of_all_rows(spark, work):
 def test_states_of_a_table_without_numbers(spark):
     table = spark.createDataFrame([("x",)], "a string")
     assert drift.metric_states(table).count() == 0 and drift.column_metrics(table).count() == 0
+
+
+def test_merges_are_recorded_when_they_fail_too(spark, work):
+    runs = f"{work}/runs"
+    done = run_metrics.timed_merge(spark, runs, "load", lambda: {"INSERT": 2, "total_delta_records": 3})
+    assert done == {"INSERT": 2, "total_delta_records": 3}
+    with pytest.raises(KeyError):
+        run_metrics.timed_merge(spark, runs, "broken", lambda: {}["x"])
+    stored = {r.task_name: (r.status, r.row_count) for r in spark.read.parquet(runs).collect()}
+    assert stored == {"load": ("SUCCESS", 3), "broken": ("FAILED", 0)}

@@ -31,6 +31,8 @@ def test_etl(spark, work, raw):
     }
     stored = sorted(etl.stored_tables(spark, work)["orders"].collect())
     assert etl.run_etl(spark, raw, work) == first
+    runs = spark.read.parquet(etl.runs_path(work))
+    assert runs.count() == 10 and runs.filter("status = 'SUCCESS' AND row_count = 2").count() == 10
     assert sorted(etl.stored_tables(spark, work)["orders"].collect()) == stored
     assert _bytes(raw) == before
     loaded = files.load_processed(spark, f"{work}/processed_csv")
