@@ -146,3 +146,31 @@ def test_small_and_large_deltas_merge_alike(spark, current, delta):
     assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
     tags = [_actions(cdc.classify(current, more, "order_id", small_delta=small)) for small in (False, True)]
     assert tags[0] == tags[1] and tags[0][None] == ("REJECT", [])
+
+
+def test_the_last_rows_are_shuffled_once(spark):
+    """Finding the last row of each key and joining by it takes one exchange of each side beyond its sources'."""
+    schema = "order_id string, total_price double, status string"
+    earlier, present = (spark.createDataFrame([("a", 1.0, "x"), ("a", 2.0, s), (None, 3.0, s), ("", 4.0, s)], schema) for s in "xy")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = cdc.last_per_key(earlier, "order_id", "total_price")
+        tagged = cdc.classify(stored, present, "order_id", "total_price")
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        found = sorted((r.order_id or "", r[cdc.ACTION], r[cdc.CHANGED]) for r in tagged.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [("", "REJECT", []), ("", "REJECT", []), ("a", "UPDATE", ["status"])]
+    assert sorted(r.total_price for r in stored.collect()) == [2.0, 3.0, 4.0]
+
+
+def test_rows_without_a_key_stay_out_of_a_stored_merge(spark, work, current):
+    target = f"{work}/orders"
+    keyless = spark.createDataFrame([(None, "C", 1.0, "s")] * 3 + [("", "C", 2.0, "s")], SCHEMA)
+    assert keyed_table.upsert(spark, target, current.unionByName(keyless), "order_id", buckets=4)["REJECT"] == 4
+    more = current.limit(1).unionByName(keyless)
+    result = keyed_table.upsert(spark, target, more, "order_id")
+    assert (result["REJECT"], result["NO_CHANGE"], result["INSERT"]) == (4, 1, 0)
+    assert keyed_table.rejects(spark, target).count() == 8
+    assert sorted(tuple(r) for r in keyed_table.read(spark, target).collect()) == CURRENT

@@ -142,3 +142,12 @@ def test_halt_lists_every_row_at_fault(spark, work):
         etl.run_etl(spark, f"{work}/raw", work)
     listed = spark.read.parquet(etl.violations_path(work)).filter("error = 'invalid rating'")
     assert listed.count() == 60
+
+
+def test_etl_finds_the_rows_to_load_once(spark, work, raw, monkeypatch):
+    written = []
+    export = files.export_to_parquet
+    monkeypatch.setattr(files, "export_to_parquet", lambda table, path, *rest: written.append(path) or export(table, path, *rest))
+    etl.run_etl(spark, raw, work, buckets=2)
+    ready = [path for path in written if "etl-ready" in path]
+    assert len(ready) == len(model.RELATIONS) and not any(files.exists(spark, path) for path in ready)

@@ -151,3 +151,17 @@ def test_load_verification(tables):
     rows = {r.table_name: r for r in quality.load_verification(tables, stored).collect()}
     assert not rows["orders"].matched and rows["orders"].stored_count == 1
     assert rows["payments"].matched
+
+
+def test_lost_references_are_found_alike_with_and_without_hashes(spark, tables, monkeypatch):
+    tables["orders"] = tables["orders"].withColumn("customer_id", F.concat(F.lit("X-"), "customer_id"))
+    tables["reviews"] = tables["reviews"].withColumn("rating", F.lit(9)).withColumn("product_id", F.lit(None).cast("string"))
+    found = []
+    for most in (quality.MOST_HASHES, 0):
+        monkeypatch.setattr(quality, "MOST_HASHES", most)
+        errors, rows = quality.violations(tables), quality.reference_violation_rows(tables)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert ("_may" in plan) == (most > 0)
+        found.append((sorted(map(str, errors.collect())), sorted(map(str, rows.collect()))))
+    assert found[0] == found[1]
+    assert len(found[0][1]) == 2 and len(found[0][0]) == 7

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from merchlake import model
 from merchlake.sources import canonical, files, keyed_table
@@ -271,3 +272,20 @@ def test_lines_are_written_as_they_are(spark, work):
     files.write_lines(spark.createDataFrame([(line,) for line in lines], "line string"), ["p", "q"], f"{work}/raw.csv")
     read = [r.value for r in spark.read.text(f"{work}/raw.csv").collect()]
     assert sorted(line for line in read if line != "p,q") == sorted(lines) and "p,q" in read
+
+
+def test_json_arrays_become_more_with_the_records(spark, work):
+    table = spark.range(100).select(F.col("id").alias("review_id"), F.lit(1.50).alias("rating"))
+    path = files.write_json_arrays(table, f"{work}/arrays", 2, records=10)
+    assert len(list(Path(path).glob("array=*"))) > 2
+    schema = StructType([StructField("review_id", StringType()), StructField("rating", StringType())])
+    read = files.read_json(spark, path, schema, array=True)
+    assert sorted((int(r.review_id), r.rating) for r in read.collect()) == [(n, "1.5") for n in range(100)]
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1, "b": 2.50}, {"a": "x"}]', '{"a": {"c":  1}}', "[]", " ", "{", '[{"a": 1}, {"b": "x"}]', "null"])
+def test_json_arrays_read_as_the_reader_of_files_does(spark, work, text):
+    (Path(work) / "one.json").write_text(text)
+    schema = StructType([StructField("a", StringType()), StructField("b", DoubleType())])
+    plain = spark.read.schema(schema).option("multiLine", True).json(work)
+    assert files.read_json(spark, work, schema, array=True).collect() == plain.collect()
