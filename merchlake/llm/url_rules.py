@@ -8,9 +8,10 @@ one goes. Rules are kept in an inverted index from token to rules, and a URL is
 Site rules, given by hand, come first: of those whose host is the URL's or a domain above it, and whose path
 starts the URL's, the longest one decides.
 
-What mining can need is bounded: tokens that stand in the same URLs are one, a transaction keeps its tokens of
-greatest evidence, and of the rules the most confident remain. Matching has no such bounds: it takes all tokens of
-every URL.
+Tokens that stand in the same URLs are one. FP-growth lists every combination, which doubles with each token of a
+URL; where URLs hold more tokens than it can take, or it finds too many rules, combinations grow by a token at a time
+instead, and only those go on that can lead to a rule that says more than a shorter one. Both ways give the same
+rules, and neither leaves any out. Matching takes all tokens of every URL.
 """
 
 from __future__ import annotations
@@ -26,15 +27,17 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from merchlake.session import fresh_path, scratch
+
 # Least share of all labelled URLs, and least number, that are bad and hold a rule's tokens.
 MIN_SUPPORT, MIN_COUNT = 0.001, 10
 # Least share of bad ones among the labelled URLs that hold them.
 MIN_CONFIDENCE = 0.6
-# Bounds of mining: frequent tokens, tokens of a transaction, rules; the best by evidence or confidence.
-MAX_TOKENS, MAX_ITEMS, MAX_RULES = 20_000, 16, 20_000
+# Frequent tokens of a URL and rules up to which FP-growth is used; beyond, combinations are grown token by token.
+MAX_ITEMS, MAX_RULES = 16, 20_000
 
 BLOCK, ALLOW = "block", "allow"
-_BAD = "label:bad"  # no token has this mark
+_BAD = -1  # tokens are numbered from 0
 _WORD = re.compile(r"[^\W_]+")
 _SMALL = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 
@@ -158,15 +161,62 @@ def _transactions(labelled: DataFrame) -> DataFrame:
     return rows.mapInArrow(split, "url string, bad boolean, tokens array<string>")
 
 
-def _ranked_tokens(split: DataFrame, least: int, share: float, most: int) -> list[str]:
-    """Tokens of at least ``least`` URLs, greatest evidence first; of tokens that stand in the same URLs one."""
+def _ranked_tokens(split: DataFrame, least: int, share: float) -> list[str]:
+    """Tokens of at least ``least`` bad URLs, greatest evidence first; of tokens that stand in the same URLs one.
+
+    They are no more than the tokens of a URL divided by the support.
+    """
     each = split.select(F.xxhash64("url").cast("decimal(38,0)").alias("row"), "bad", F.explode("tokens").alias("token"))
     counts = each.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), F.sum("row").alias("rows"))
     spread = F.sqrt(F.col("n") * F.lit(share * (1 - share)))
     evidence = F.abs(F.col("n_bad") - F.col("n") * F.lit(share)) / spread
     name = F.min(F.struct(F.length("token"), F.col("token").alias("token")))["token"]
-    alike = counts.where(F.col("n") >= least).groupBy("n", "n_bad", "rows").agg(name.alias("token"), F.first(evidence).alias("evidence"))
-    return [row["token"] for row in alike.orderBy(F.desc("evidence"), "token").limit(most).collect()]
+    alike = counts.where(F.col("n_bad") >= least).groupBy("n", "n_bad", "rows").agg(name.alias("token"), F.first(evidence).alias("evidence"))
+    return [row["token"] for row in alike.orderBy(F.desc("evidence"), "token").collect()]
+
+
+def _by_level(picked: DataFrame, n: int, least: int, min_confidence: float) -> list[tuple[list[int], float, float]]:
+    """Tokens, confidence and support of the rules of transactions (items, bad) that no shorter one makes needless, from combinations of 1, 2, ... tokens.
+
+    A combination goes on if it is frequent with a bad label, holds some URL that isn't bad, and leaves fewer URLs
+    than each of those with one token less, all of which went on: any longer one that doesn't is no more
+    confident than a shorter one.
+    """
+    counts = (F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"))
+    rows = picked.groupBy("items").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    live = _written(rows.where(F.size("items") > 0), "transactions").withColumn("some", F.array().cast("array<int>"))
+    found: list[tuple[list[int], float, float]] = []
+    before = None
+    while True:
+        # A combination rises, so that it comes once; what is left of a row's tokens is all that it can grow by.
+        following = F.transform(
+            "items",
+            lambda token, place: F.struct(
+                F.concat("some", F.array(token)).alias("some"), F.slice("items", place + 2, F.size("items")).alias("items")
+            ),
+        )
+        grown = live.select("n", "n_bad", F.explode(following).alias("next")).select("n", "n_bad", "next.some", "next.items")
+        frequent = _written(grown.groupBy("some").agg(*counts).where(F.col("n_bad") >= least), "combinations")
+        if before is not None:
+            shorter = frequent.select("some", "n", F.explode("some").alias("token")).select(
+                "some", "n", F.array_remove("some", F.col("token")).alias("part")
+            )
+            fewer = shorter.join(before.select(F.col("some").alias("part"), F.col("n").alias("n_part")), "part")
+            parts_left = fewer.where("n_part > n").groupBy("some").count().where(F.col("count") == F.size("some"))
+            frequent = _written(frequent.join(parts_left.select("some"), "some"), "combinations")
+        confidence = (F.col("n_bad") / F.col("n")).alias("confidence")
+        rules = frequent.where(confidence >= min_confidence).select("some", confidence, (F.col("n_bad") / n).alias("support"))
+        found += [tuple(row) for row in rules.collect()]
+        before = _written(frequent.where("n_bad < n"), "combinations")
+        if before.isEmpty():
+            return found
+        live = _written(grown.where(F.size("items") > 0).join(before.select("some"), "some"), "live")
+
+
+def _written(frame: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def mine(
@@ -178,34 +228,36 @@ def mine(
 ) -> list[TokenRule]:
     """Rules from ``labelled`` (url, bad); none if no URL, or every one, is bad.
 
-    Rows without a label, a URL or a ``://`` are passed over; repeated rows count each.
+    Rows without a label, a URL or a ``://`` are passed over; repeated rows count each. ``max_items`` is the number
+    of frequent tokens of a URL up to which FP-growth is used; the rules don't depend on it.
     """
     split = _transactions(labelled)
     n, n_bad = split.agg(F.count("*"), F.count_if("bad")).first()
     if not 0 < n_bad < n:
         return []
     least = max(min_count, math.ceil(min_support * n))
-    rank = {token: at for at, token in enumerate(_ranked_tokens(split, least, n_bad / n, MAX_TOKENS))}
+    rank = {token: at for at, token in enumerate(_ranked_tokens(split, least, n_bad / n))}
     known = labelled.sparkSession.sparkContext.broadcast(rank)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("tokens").to_pylist(), batch.column("bad").to_pylist())
-            items = [
-                sorted((t for t in own if t in known.value), key=known.value.get)[:max_items] + [_BAD] * bad for own, bad in rows
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string()))], ["items"])
-
-    picked = split.mapInArrow(pick, "items array<string>")
-    # A support is compared as a share; half a row less keeps rounding from losing a rule at the limit.
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(picked)
-    found = (
-        model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD)))
-        .orderBy(F.desc("confidence"), F.desc("support"), F.size("antecedent"), "antecedent")
-        .limit(MAX_RULES)
-        .collect()
-    )
-    return shortest(TokenRule(frozenset(row["antecedent"]), row["confidence"], row["support"]) for row in found)
+            items = [sorted(known.value[t] for t in own if t in known.value) for own in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.int32())), batch.column("bad")], ["items", "bad"])
+
+    def named(rules: Iterable[tuple[list[int], float, float]]) -> list[TokenRule]:
+        names = list(rank)
+        return shortest(TokenRule(frozenset(names[t] for t in some), confidence, support) for some, confidence, support in rules)
+
+    picked = split.mapInArrow(pick, "items array<int>, bad boolean")
+    if (picked.agg(F.max(F.size("items"))).first()[0] or 0) <= max_items:
+        marked = picked.select(F.when(F.col("bad"), F.array_append("items", F.lit(_BAD))).otherwise(F.col("items")).alias("items"))
+        # A support is compared as a share; half a row less keeps rounding from losing a rule at the limit.
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(marked)
+        rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(_BAD))).limit(MAX_RULES + 1).collect()
+        if len(rules) <= MAX_RULES:
+            return named((row["antecedent"], row["confidence"], row["support"]) for row in rules)
+    with scratch(labelled.sparkSession, "token-rules"):
+        return named(_by_level(picked, n, least, min_confidence))
 
 
 # --- judging ----------------------------------------------------------------------------

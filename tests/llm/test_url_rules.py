@@ -134,6 +134,32 @@ def test_mining_against_all_combinations(spark):
     assert all(b for b, p in zip(blocked, planted) if p) and sum(blocked) < 1.3 * sum(planted)
 
 
+def test_no_rule_is_lost_to_long_urls(spark):
+    """Bad where two rare words of little evidence alone meet, in URLs of more frequent words than FP-growth takes."""
+    rng, rows = random.Random(5), []
+    for number in range(800):
+        first, second = rng.random() < 0.3, rng.random() < 0.3
+        words = [word for word in map("w{}".format, range(24)) if rng.random() < 0.15]
+        bad = (first and second) or any(w in words and rng.random() < 0.3 for w in ("w1", "w2", "w3", "w4", "w5", "w6"))
+        rows.append((f"http://a.net/{'/'.join([*words, *['one'] * first, *['two'] * second])}/{number}", bad))
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    # A cut after the two strongest tokens loses rules; token by token gives what FP-growth does, which takes up to 40 here.
+    whole, grown = mine(frame, 0.04, 0.6, 5, max_items=40), mine(frame, 0.04, 0.6, 5, max_items=2)
+    assert frozenset({"path:one", "path:two"}) in {r.tokens for r in whole}
+
+    def rounded(rules):
+        return {(r.tokens, round(r.confidence, 9), round(r.support, 9)) for r in rules}
+
+    assert rounded(grown) == rounded(whole)
+
+
+def test_no_rule_is_lost_beyond_a_number_of_them(spark, monkeypatch):
+    frame = spark.createDataFrame(labelled(1), "url string, bad boolean")
+    whole = mine(frame, 0.02, 0.6, 5)
+    monkeypatch.setattr(url_rules, "MAX_RULES", 1)
+    assert len(whole) > 1 and {r.tokens for r in mine(frame, 0.02, 0.6, 5)} == {r.tokens for r in whole}
+
+
 def test_mining_ignores_order_and_partitions(spark):
     frame = spark.createDataFrame(labelled(2), "url string, bad boolean")
     assert set(mine(frame.repartition(1), 0.02)) == set(mine(frame.orderBy("url").repartition(9), 0.02)) != set()
