@@ -1,4 +1,5 @@
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -289,3 +290,33 @@ def test_json_arrays_read_as_the_reader_of_files_does(spark, work, text):
     schema = StructType([StructField("a", StringType()), StructField("b", DoubleType())])
     plain = spark.read.schema(schema).option("multiLine", True).json(work)
     assert files.read_json(spark, work, schema, array=True).collect() == plain.collect()
+
+
+def test_compressed_csv_reads_as_the_plain_one(spark, work, tables):
+    files.write_tables_csv(tables, f"{work}/plain")
+    files.write_tables_csv(tables, f"{work}/small", compression="gzip")
+    for name, relation in model.RELATIONS.items():
+        read = [
+            sorted(map(tuple, files.read_text_tables(spark, f"{work}/{folder}")[name].collect()))
+            for folder in ("plain", "small")
+        ]
+        assert read[0] == read[1] and len(read[0]) == tables[name].count()
+    assert files.malformed_lines(spark, f"{work}/small").count() == 0
+
+
+def test_shuffle_files_go_when_their_query_ends(spark, work):
+    from merchlake.session import configure
+
+    def kept():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(blocks.apply(n).getName().startswith("shuffle_") for n in range(blocks.size()))
+
+    configure(spark)
+    before = kept()
+    spark.range(10_000).repartition(7, "id").write.parquet(f"{work}/rows")
+    for _ in range(50):  # the files are deleted in the background
+        if kept() <= before:
+            break
+        time.sleep(0.1)
+    assert kept() <= before
+    assert spark.read.parquet(f"{work}/rows").count() == 10_000
