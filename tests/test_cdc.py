@@ -174,3 +174,46 @@ def test_rows_without_a_key_stay_out_of_a_stored_merge(spark, work, current):
     assert (result["REJECT"], result["NO_CHANGE"], result["INSERT"]) == (4, 1, 0)
     assert keyed_table.rejects(spark, target).count() == 8
     assert sorted(tuple(r) for r in keyed_table.read(spark, target).collect()) == CURRENT
+
+
+def test_rows_are_not_sorted_before_the_shuffle_to_find_the_last_of_a_key(spark, work):
+    rows = [("A", 1.0, "x"), ("A", 2.0, "y"), ("B", 1.0, None), ("B", None, "z"), (None, 1.0, "k"), (None, 1.0, "k")]
+    spark.createDataFrame(rows, "order_id string, total_price double, status string").write.parquet(f"{work}/delta")
+    last = cdc.last_per_key(spark.read.parquet(f"{work}/delta"), "order_id", "total_price")
+    found = sorted((tuple(r) for r in last.collect()), key=str)
+    assert found == sorted([("A", 2.0, "y"), ("B", 1.0, None), (None, 1.0, "k"), (None, 1.0, "k")], key=str)
+    plan = last._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Sort [") == 1 and "WindowGroupLimit" not in plan
+
+
+def test_a_staged_delta_is_shuffled_by_its_key_once(spark, work, current, monkeypatch):
+    keyed_table.upsert(spark, f"{work}/orders", current, "order_id", buckets=2)
+    plans = []
+    counting = keyed_table._counting
+
+    def spied(tagged):
+        plans.append(tagged._jdf.queryExecution().executedPlan().toString())
+        return counting(tagged)
+
+    monkeypatch.setattr(keyed_table, "_counting", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [("ORD002", "C", 1.0, "Pending", 1), ("ORD002", "C", 2.0, "Shipped", 2), (None, "C", 1.0, "s", 3)]
+        delta = spark.createDataFrame(rows, SCHEMA + ", seq int")
+        result = keyed_table.upsert(spark, f"{work}/orders", delta, "order_id", "seq")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert (result["UPDATE"], result["REJECT"]) == (1, 1)
+    stored = {r.order_id: (r.total_price, r.status) for r in keyed_table.read(spark, f"{work}/orders").collect()}
+    assert stored == {"ORD001": (100.0, "Completed"), "ORD002": (2.0, "Shipped")}
+    # The key's rows are found in the plan of the join, on the shuffle that the join needs.
+    assert "Window [lag" in plans[0] and plans[0].count("Exchange hashpartitioning(order_id") == 2
+
+
+def test_repeated_keys_without_a_sequence_leave_the_stored_table_as_it_was(spark, work, current, delta):
+    path = f"{work}/orders"
+    keyed_table.upsert(spark, path, current, "order_id", buckets=2)
+    with pytest.raises(Exception, match="key repeated in delta"):
+        keyed_table.upsert(spark, path, delta.union(delta), "order_id")
+    assert sorted(tuple(r) for r in keyed_table.read(spark, path).collect()) == sorted(CURRENT)
+    assert keyed_table.upsert(spark, path, delta, "order_id")["INSERT"] == 1
