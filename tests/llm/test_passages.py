@@ -229,3 +229,44 @@ def test_seeds_meet_as_pairs_or_as_many(spark, monkeypatch):
     met = passages._seed_meetings(keyed.repartition(5)).collect()
     assert {tuple(r) for r in met if r.source_key is not None} == anchors and len(anchors) > 100
     assert {tuple(r)[:3] for r in met if r.source_key is None} == many and len(many) > 100
+
+
+def test_all_texts_of_frequent_seeds_are_compared(spark):
+    """Thirty texts have one passage, each with edits of its own: every seed stands in many texts, and no two runs are alike."""
+    rng, shared, texts = random.Random(12), prose(70), []
+    for _ in range(30):
+        changed = list(shared)
+        for at in rng.sample(range(5, 65), 4):
+            changed[at] = word()
+        texts.append(" ".join([*prose(30), *changed, *prose(30)]))
+    assert pairs_of(spark, texts) == {frozenset((a, b)) for a in range(30) for b in range(a)}
+
+
+def test_copies_of_a_run_also_meet_texts_that_have_it_in_part(spark):
+    """Twelve texts share a run of 120 words, of which twelve others have the last 60."""
+    run = prose(120)
+    whole = [" ".join([*prose(20), *run, *prose(20)]) for _ in range(12)]
+    part = [" ".join([*prose(20), *run[60:], *prose(20)]) for _ in range(12)]
+    found = pairs_of(spark, whole + part)
+    assert found >= {frozenset((a, b)) for a in range(12) for b in range(12, 24)}
+    for side in (range(12), range(12, 24)):  # copies are linked by their first one
+        assert any(found >= {frozenset((a, b)) for b in side if a != b} for a in side)
+
+
+def test_telling_places_lose_no_pair_with_seven_seeds():
+    """Against all pairs: whatever two texts share seven frequent seeds within a passage's reach, one place tells of both."""
+    rng = np.random.default_rng(5)
+    texts = [np.sort(rng.choice(150, 40, replace=False)) for _ in range(40)]
+    seeds = [rng.choice(60, 40, replace=False) for _ in texts]
+    df = np.bincount(np.concatenate(seeds), minlength=60)
+    kept = [set(s[passages._telling(s, df[s], np.zeros(40, int), w)].tolist()) for s, w in zip(seeds, texts)]
+    pairs = 0
+    for a in range(40):
+        for b in range(a):
+            common = np.intersect1d(seeds[a], seeds[b])
+            for start in range(0, 300, 10):
+                near = [s for s in common if all(start <= texts[n][seeds[n].tolist().index(s)] <= start + 68 for n in (a, b))]
+                if len(near) >= passages.ENOUGH_SEEDS:
+                    pairs += 1
+                    assert kept[a] & kept[b]
+    assert pairs > 2
