@@ -185,13 +185,48 @@ def _candidate(name: str, error: str, value: Column, parent: str | None, ref: Co
     return F.struct(*[v.cast("string").alias(n) for v, n in zip(values, _CANDIDATE)])
 
 
-def _confirmed(candidates: list[DataFrame], ledger: DataFrame) -> DataFrame:
+def _troubled_keys(tables: dict[str, DataFrame], issues: dict[str, list[Column]] | None = None) -> DataFrame:
+    """relation, key, holds and uses of the keys that are lost (used, but not held), stored.
+
+    With ``issues`` by table (see ``_issue``) also the keys held more than once, and each check with its issues as
+    ``holds``; without them the keys of relations that no other refers to aren't looked at. One number stands for a
+    relation on the way and all references share one count, as nearly every key is shuffled.
+    """
+    numbers = {name: F.lit(n) for n, name in enumerate([*RELATIONS, _ISSUES])}
+    parents = {parent for name in tables for parent in RELATIONS[name].references.values()}
+
+    def entry(relation: str, key: Column, holds: Column, uses: int) -> Column:
+        return F.struct(
+            numbers[relation].alias("number"),
+            key.cast("string").alias("key"),
+            holds.cast("bigint").alias("holds"),
+            F.lit(uses).cast("bigint").alias("uses"),
+        )
+
+    entries = []
+    for name, table in tables.items():
+        relation = RELATIONS[name]
+        found = [F.when(F.col(c).isNotNull(), entry(parent, F.col(c), F.lit(0), 1)) for c, parent in relation.references.items()]
+        if issues is not None or name in parents:
+            found.append(entry(name, F.col(relation.key), F.lit(1), 0))
+        for noted in (issues or {}).get(name, []):
+            found.append(F.when(noted.isNotNull(), entry(_ISSUES, noted["key"], noted["n"], 0)))
+        if found:
+            entries.append(table.select(F.inline(F.array_compact(F.array(*found)))))
+    counted = _union(entries).groupBy("number", "key").agg(F.sum("holds").alias("holds"), F.sum("uses").alias("uses"))
+    wanted = F.col("key").isNotNull() & (F.col("holds") == 0)
+    if issues is not None:
+        wanted |= (F.col("holds") > 1) | (F.col("number") == numbers[_ISSUES])
+    names = F.array(*[F.lit(name) for name in [*RELATIONS, _ISSUES]])
+    return _stored(counted.filter(wanted).select(F.get(names, F.col("number")).alias("relation"), "key", "holds", "uses"), "troubled-keys")
+
+
+def _confirmed(candidates: list[DataFrame], troubled: DataFrame) -> DataFrame:
     """The candidates that are errors, by a join with the lost keys; the rows of a frequent one are spread."""
-    uses = sum((F.col(_count_name(child, column)) for child, column, _ in _uses()), F.lit(0))
-    lost = ledger.filter(F.col("key").isNotNull() & (F.col("holds") == 0) & (uses > 0)).select(
-        F.col("relation").alias("parent"), F.col("key").alias("ref"), uses.alias("uses"), F.lit(True).alias("lost")
+    lost = troubled.filter(F.col("key").isNotNull() & (F.col("holds") == 0)).select(
+        F.col("relation").alias("parent"), F.col("key").alias("ref"), "uses", F.lit(True).alias("lost")
     )
-    lost, key = _stored(lost, "lost-keys"), ["parent", "ref"]
+    key = ["parent", "ref"]
     possible = _union(candidates)
     if lost.count() <= MOST_HASHES:
         # A row whose reference can't be lost by its hash isn't shuffled.
@@ -213,7 +248,7 @@ def reference_violation_rows(tables: dict[str, DataFrame]) -> DataFrame:
                 for c, parent in references.items()
             ]
             candidates.append(table.select(F.inline(F.array_compact(F.array(*found)))))
-    return _confirmed(candidates, key_ledger(tables)).select(
+    return _confirmed(candidates, _troubled_keys(tables)).select(
         "dataset", "row_id", F.col("error").alias("column_name"), F.col("value").alias("missing_key")
     )
 
@@ -394,15 +429,17 @@ def violations(tables: dict[str, DataFrame]) -> DataFrame:
             )
         if found:
             candidates.append(table.select(F.inline(F.array_compact(F.array(*found)))))
-    ledger = key_ledger(tables, gaps)
-    whole = _ledger_findings(ledger).filter("issues > 0")
-    kind = F.when(F.col("check") == "duplicate_ids", "duplicate primary ids").when(
-        F.col("check") == "missing value", F.col("check")
+    troubled = _troubled_keys(tables, gaps)
+    noted = F.col("relation") == _ISSUES
+    dataset = F.when(noted, F.get(F.split("key", "/"), 0)).otherwise(F.col("relation"))
+    kind = F.when(noted, F.get(F.split("key", "/"), 1)).otherwise(F.lit("duplicate primary ids"))
+    per_table = (
+        troubled.filter(noted | (F.col("holds") > 1))
+        .select(dataset.alias("dataset"), kind.alias("error"))
+        .distinct()
+        .withColumns({"row_id": F.lit(None).cast("string"), "value": F.lit(None).cast("string")})
     )
-    per_table = whole.select(
-        "dataset", kind.alias("error"), F.lit(None).cast("string").alias("row_id"), F.lit(None).cast("string").alias("value")
-    ).filter("error IS NOT NULL")
-    return per_table.unionByName(_confirmed(candidates, ledger))
+    return per_table.unionByName(_confirmed(candidates, troubled))
 
 
 def write_findings(findings: DataFrame, path: str) -> int:

@@ -165,3 +165,23 @@ def test_lost_references_are_found_alike_with_and_without_hashes(spark, tables,
         found.append((sorted(map(str, errors.collect())), sorted(map(str, rows.collect()))))
     assert found[0] == found[1]
     assert len(found[0][1]) == 2 and len(found[0][0]) == 7
+
+
+def test_row_level_checks_shuffle_only_keys_that_may_be_in_trouble(spark):
+    """Own keys of relations that none refers to stay out of the reference check; what is found is counted once, then stored."""
+    rows = {
+        "customers": [("C1", "n", "e", "2024-01-01 00:00:00", "web"), ("C1", "n", "e", "2024-01-01 00:00:00", "web"), (None, "n", "e", "2024-01-01 00:00:00", "web"), (None, "n", "e", "2024-01-01 00:00:00", "web")],
+        "products": [("P1", "n", "c", "1", "1")],
+        "orders": [("O1", "C1", "P9", "1", "1", "2024-01-01 00:00:00", "Pending"), ("O2", None, "P9", "1", "1", "2024-01-01 00:00:00", "Pending")],
+        "payments": [("Y1", "O9", "m", "1", "Failed", "2024-01-01 00:00:00"), ("Y1", "O1", "m", "1", "Failed", "2024-01-01 00:00:00")],
+        "reviews": [("R1", "C9", None, "1", "t", "2024-01-01 00:00:00")],
+    }
+    tables = text_tables(spark, rows)
+    lost = {("products", "P9", 0, 2), ("orders", "O9", 0, 1), ("customers", "C9", 0, 1)}
+    assert set(map(tuple, quality._troubled_keys(tables).collect())) == lost
+    gaps = {"orders": [quality._issue("orders", "missing value", "", F.col("customer_id").isNull().cast("int"))]}
+    noted = {("customers", "C1", 2, 1), ("customers", None, 2, 0), ("payments", "Y1", 2, 0), ("#issues", "orders/missing value/", 1, 0)}
+    assert set(map(tuple, quality._troubled_keys(tables, gaps).collect())) == lost | noted
+    errors = quality.violations(tables).where("row_id IS NULL").select("dataset", "error").collect()
+    repeated = {(name, "duplicate primary ids") for name in ("customers", "payments")}
+    assert {tuple(r) for r in errors} >= repeated and len(errors) == len(set(errors))
