@@ -270,3 +270,54 @@ def test_telling_places_lose_no_pair_with_seven_seeds():
                     pairs += 1
                     assert kept[a] & kept[b]
     assert pairs > 2
+
+
+def candidates(spark, texts):
+    keyed = spark.createDataFrame([(t,) for t in texts], "text string").select(passages._key(passages.F.col("text")).alias("key"), "text")
+    at = {r.key: texts.index(r.text) for r in keyed.collect()}
+    return {frozenset((at[r.key], at[r.source_key])) for r in passages.anchored_pairs(keyed).collect()}
+
+
+def test_a_common_line_alone_leads_to_no_pair(spark):
+    """Sixty texts have a line of twelve words; two have a passage around it of which every fifth word differs."""
+    line, texts = prose(12), []
+    for _ in range(60):
+        texts.append(" ".join([*prose(40), *line, *prose(40)]))
+    before, after = prose(19), prose(19)
+    for n in range(2):
+        sides = ([word() if n and at % 5 == 2 else w for at, w in enumerate(side)] for side in (before, after))
+        first, last = sides
+        texts.append(" ".join([*prose(30), *first, *line, *last, *prose(30)]))
+    assert candidates(spark, texts) == {frozenset((60, 61))}
+
+
+def test_candidates_with_a_fifth_of_their_words_edited_are_kept(spark):
+    """Passages of fifty words, every fifth of them replaced; the first twelve pairs' are all the same."""
+    common, texts = prose(50), []
+    for n in range(40):
+        shared = common if n < 12 else prose(50)
+        changed = [word() if at % 5 == 4 else w for at, w in enumerate(shared)]
+        texts += [" ".join([*prose(30), *x, *prose(30)]) for x in (shared, changed)]
+    found = candidates(spark, texts)
+    assert all(frozenset((n, n + 1)) in found for n in range(0, 80, 2))
+
+
+def test_repeated_words_are_found_in_either_text(spark):
+    """A few words, each many times: most places of the source have a seed that stood there before."""
+    words = prose(2)
+    texts = [" ".join([*prose(20), *[words[0]] * 30, *[words[1]] * 30, *prose(20)]) for _ in range(2)]
+    assert pairs_of(spark, texts) == {frozenset((0, 1))}
+
+
+def test_least_seeds_of_three_words_in_reach():
+    """Whatever fifth of a passage's words is replaced, ENOUGH_MEETINGS of its seeds lie within WITHIN_WORDS words."""
+    rng = random.Random(13)
+    for _ in range(3000):
+        size = rng.randint(MIN_WORDS, 130)
+        first, step = rng.randrange(size), rng.choice([2, 3, 3, 3, 4, 5])
+        edited = set(range(first, size, step)[: size // 5])
+        while len(edited) < size // 5:
+            edited.add(rng.randrange(size))
+        seeds = [at for at in range(size - passages.MEETING_WORDS + 1) if not edited & set(range(at, at + passages.MEETING_WORDS))]
+        reach = passages.WITHIN_WORDS - passages.MEETING_WORDS
+        assert max(sum(at <= other <= at + reach for other in seeds) for at in seeds) >= passages.ENOUGH_MEETINGS
