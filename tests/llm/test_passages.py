@@ -321,3 +321,28 @@ def test_least_seeds_of_three_words_in_reach():
         seeds = [at for at in range(size - passages.MEETING_WORDS + 1) if not edited & set(range(at, at + passages.MEETING_WORDS))]
         reach = passages.WITHIN_WORDS - passages.MEETING_WORDS
         assert max(sum(at <= other <= at + reach for other in seeds) for at in seeds) >= passages.ENOUGH_MEETINGS
+
+
+def test_texts_travel_to_cells_not_to_pairs(spark, monkeypatch):
+    """Forty texts, every two of them a pair: in rounds of few bytes no text travels once for each pair, and all pairs are found."""
+    shared, texts = prose(70), []
+    for _ in range(40):
+        changed = list(shared)
+        for at in RNG.sample(range(5, 65), 3):
+            changed[at] = word()
+        texts.append(" ".join([*prose(30), *changed, *prose(30)]))
+    size, sent, whole = sum(map(len, texts)), [], passages._rounds
+    monkeypatch.setattr(passages, "GROUP_BYTES", size // 4)
+    monkeypatch.setattr(passages, "ROUND_SHARE", 1)
+
+    def counted(pairs, packed):
+        total = packed.agg(passages.F.sum(passages.F.octet_length("text"))).first()[0]
+        for cells in whole(pairs, packed):
+            row = cells.agg(passages.F.count("text"), passages.F.sum(passages.F.octet_length("text")), passages.F.count("source_key")).first()
+            sent.append((row[0], row[1] / total, row[2]))
+            yield cells
+
+    monkeypatch.setattr(passages, "_rounds", counted)
+    assert pairs_of(spark, texts) == {frozenset((a, b)) for a in range(40) for b in range(a)}
+    assert len(sent) > 1 and sum(n for *_, n in sent) == 40 * 39 // 2
+    assert sum(n for n, *_ in sent) < 40 * 39 / 4 and max(share for _, share, _ in sent) <= 3
