@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from conftest import at
 from pyspark.sql import functions as F
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from merchlake import model
 from merchlake.operators import warehouse
 from merchlake.plans import warehouse_build
+from merchlake.session import scratch
+from merchlake.sources import keyed_table
 
 
 def test_calendar_of_one_year(spark):
@@ -104,3 +107,38 @@ def test_reports(spark, work, tables):
     assert split == {"Weekend": (2, 3, 30.0, 15.0)}
     best = warehouse.top_customers(star["fact_sales"], star["dim_customer"]).collect()
     assert [tuple(r) for r in best] == [("Alice Smith", "alice@example.com", 2, 30.0)]
+
+
+def test_a_dimension_of_many_rows_is_not_broadcast(spark, tables):
+    """Its file is a few bytes a row: by that alone 14 MB of keys here would go through the driver."""
+    customers = spark.range(600_000).select(
+        F.col("id").cast("string").alias("customer_id"), *[F.lit("x").alias(c) for c in warehouse.CUSTOMER_ATTRIBUTES]
+    )
+    days = warehouse.calendar(spark, 2025, 2025)
+    known, products = warehouse.dim_customer(customers), warehouse.dim_product(tables["products"])
+    rejects = warehouse.fact_rejects(tables["orders"], known, products, days)
+    plan = rejects._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [customer_id" in plan and "BroadcastHashJoin [customer_id" not in plan
+    assert "BroadcastHashJoin [product_id" in plan  # two products
+
+
+def test_steps_towards_the_facts_go_one_by_one(spark, tables):
+    star = _star(tables, tables["orders"], tables["payments"])
+    with scratch(spark, "facts") as folder:
+        facts = warehouse.fact_sales(*star)
+        assert len(os.listdir(folder)) == 1
+        plan = facts._jdf.queryExecution().sparkPlan().toString()
+        assert "order_id" not in "".join(line for line in plan.splitlines() if "Join" in line)
+        assert sorted(r.order_id for r in facts.collect()) == ["ORD-1", "ORD-2"]
+
+
+def test_written_facts_are_not_written_down_again(spark, work, tables, monkeypatch):
+    """Facts are on disk once with their numbers when they are merged, and no delta beside them."""
+    seen, delete = [], keyed_table.delete
+    monkeypatch.setattr(keyed_table, "delete", lambda spark, path: (seen.append((path, os.path.exists(path))), delete(spark, path)))
+    for _ in range(2):
+        warehouse_build.build_warehouse(spark, tables, work, buckets=2)
+    staged = [there for path, there in seen if "/delta-" in path]
+    assert sum(staged) == len(staged) - 1 > 0  # of the second build's merges only that of the facts has none
+    rows = keyed_table.read(spark, f"{work}/fact_sales").collect()
+    assert sorted(r.order_id for r in rows) == ["ORD-1", "ORD-2"]
